@@ -122,13 +122,15 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POW, _INV
 
 
-def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, words per text) of the runs of bytes other than \\x20 and \\x09-\\x0D; a text's end ends a word."""
+def word_spans(raw: np.ndarray, offsets: np.ndarray, word_byte: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, words per text) of the runs of bytes other than \\x20 and \\x09-\\x0D; a text's end ends a word.
+
+    word_byte: another table of the bytes that words are made of."""
     n = len(raw)
     if n == 0:
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(len(offsets) - 1, np.int64)
-    word = ~_SPACE[raw]
+    word = ~_SPACE[raw] if word_byte is None else word_byte[raw]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     before = np.empty(n, bool)
@@ -152,6 +154,29 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tup
     return mix64((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(_U)), counts
 
 
+#: Bytes of words without punctuation: ASCII letters and digits, and all bytes of other characters.
+ALNUM = np.zeros(256, bool)
+ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+
+
+def folded(raw: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z and the capitals of Latin-1 (two bytes in UTF-8) in lower case."""
+    out = _LOWER[raw]
+    second = np.flatnonzero(out[:-1] == 0xC3) + 1 if len(out) > 1 else np.zeros(0, np.int64)
+    second = second[(out[second] >= 0x80) & (out[second] <= 0x9E) & (out[second] != 0x97)]
+    out[second] += 0x20
+    return out
+
+
+def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, total: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of byte spans, and the prefix sums that further spans of the same bytes can reuse."""
+    power, inverse = _powers(len(raw) + 1)
+    if total is None:
+        total = np.zeros(len(raw) + 1, _U)
+        np.cumsum(_BYTE[raw] * power[: len(raw)], out=total[1:])
+    return mix64((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(_U)), total
+
+
 _STEP = _U(0xC2B2AE3D27D4EB4F)
 
 
