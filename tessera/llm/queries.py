@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import chat, minhash, mixing, toxicity
+from . import chat, decontaminate, html, minhash, mixing, pii, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,11 +53,27 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find(docs, pii.fit(docs))
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op5_mix_sources": op5_mix_sources,
     "op6_chat_format": op6_chat_format,
     "op7_toxicity": op7_toxicity,
+    "op8_html_extract": op8_html_extract,
+    "op9_pii": op9_pii,
+    "op10_decontaminate": op10_decontaminate,
 }
 ORACLES: dict[str, str] = {
     "op5_mix_sources": mixing.ORACLE,
