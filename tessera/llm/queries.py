@@ -7,18 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html, minhash, mixing, pii, toxicity
+from . import chat, covertree, decontaminate, html, licences, minhash, mixing, pii, tokens, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_cover_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.search_all(table(spark, sf_dir, "embeddings"))
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def op3_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"), licences.known_digests(spark))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(table(spark, sf_dir, "documents"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
@@ -67,7 +79,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_cover_tree_topk": op1_cover_tree_topk,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_licence_scan": op3_licence_scan,
+    "op4_token_counts": op4_token_counts,
     "op5_mix_sources": op5_mix_sources,
     "op6_chat_format": op6_chat_format,
     "op7_toxicity": op7_toxicity,
@@ -76,6 +91,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontaminate": op10_decontaminate,
 }
 ORACLES: dict[str, str] = {
+    "op1_cover_tree_topk": covertree.ORACLE,
+    "op3_licence_scan": licences.oracle(),
     "op5_mix_sources": mixing.ORACLE,
     "op6_chat_format": chat.ORACLE,
 }
