@@ -1,10 +1,71 @@
-"""The corpus pipeline: stages over documents, each written and read again."""
+"""The corpus pipeline over documents: toxic texts out, one of each near-duplicate group, benchmark items out, personal data
+masked, sources mixed. STAGES are (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame, which is
+written and read again as the next one's docs. All but the last return the columns of documents."""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from tessera.llm import decontaminate, minhash, mixing, pii, toxicity
+from tessera.llm.common import stored
+from tessera.session import ship
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below 0.5; null and empty texts are scored like texts without words."""
+    ship(spark)
+    model = toxicity.fit(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic"))
+    return toxicity.score(docs, model, column="_score").filter("_score < 0.5").drop("_score")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates (five-word shingles, similarity 0.8) the document with the least id. Documents
+    without words and with null ids stay; rows that share an id are one document."""
+    ship(spark)
+    gone = minhash.near_duplicates(docs.select("doc_id", "text")).filter(~F.col("kept")).select(F.col("id").alias("doc_id")).distinct()
+    return docs.join(gone, "doc_id", "left_anti")
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item within its budget of edits."""
+    ship(spark)
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text"))
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data in their texts replaced by its kind in brackets; n_chars follows the text."""
+    ship(spark)
+    masked = pii.redacted(docs, pii.fit(docs.select("doc_id", "text")))
+    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mix takes, with copies (1 or 2), size, source_size, target and taken words."""
+    ship(spark)
+    # Rows that share an id are told apart by their order.
+    nth = F.row_number().over(Window.partitionBy("id").orderBy(F.col("source").asc_nulls_last(), "size"))
+    plan = mixing.mix(docs).filter("size > 0").withColumn("nth", nth).filter("copies > 0")
+    size = mixing.word_count(F.col("text"))
+    rows = docs.filter(size > 0).withColumn("nth", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("source").asc_nulls_last(), size)))
+    plan = plan.select(F.col("id").alias("_id"), F.col("nth").alias("_nth"), "size", "source_size", "target", "taken", "copies")
+    return rows.join(plan, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("nth") == F.col("_nth"))).drop("_id", "_nth", "nth")
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_dedup", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("pii", mask_personal_data),
+    ("mix", mix_sources),
+]
+
+#: The learned stages and the similarity join have no SQL form; tests compare them with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
