@@ -5,8 +5,20 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {"int": T.IntegerType(), "bigint": T.LongType(), "string": T.StringType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "date": T.DateType(), "timestamp": T.TimestampType()}
+
+
+def _type(name: str) -> T.DataType:
+    if name.startswith("array<"):
+        return T.ArrayType(_type(name[6:-1]))
+    if name.startswith("decimal("):
+        return T.DecimalType(*map(int, name[8:-1].split(",")))
+    return _TYPES[name]
+
+
 def _schema(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """name type, name type, …: without a session, unlike the engine's own parser."""
+    return T.StructType([T.StructField(*(n, _type(t))) for n, t in (f.split(" ") for f in text.split(", "))])
 
 
 LISTING = _schema(
