@@ -185,9 +185,9 @@ def shingle_sets(raw: np.ndarray, offsets: np.ndarray, width: int) -> list[np.nd
     words, counts = word_hashes(raw, offsets)
     ends = np.cumsum(counts)
     n = len(words)
-    rolled = np.zeros(n, _U)
-    for k in range(width):
-        rolled[: n - k] = rolled[: n - k] * _STEP + words[k:] if k else words.copy()
+    rolled = words.copy()
+    for k in range(1, min(width, n)):
+        rolled[: n - k] = rolled[: n - k] * _STEP + words[k:]
     rolled = mix64(rolled + _U(width))
     out = []
     for count, end in zip(counts.tolist(), ends.tolist(), strict=True):
