@@ -21,8 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
+_LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
+_HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+# A run of digits matches from its start or not at all: the look-behind keeps long runs linear.
+IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
@@ -41,11 +43,27 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def emails(text: str) -> list[tuple[int, int]]:
+    """Leftmost non-overlapping matches of [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+, found from the at signs: a match
+    starts where the run of characters before its at sign does, or where the match before it ends."""
+    out, floor, at = [], 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > floor and _LOCAL.match(text, start - 1):
+            start -= 1
+        host = _HOST.match(text, at + 1) if start < at else None
+        if host:
+            out.append((start, host.end()))
+        floor = host.end() if host else at + 1
+        at = text.find("@", floor)
+    return out
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end), leftmost non-overlapping per kind; matches that fail a kind's test are dropped without retry."""
     out = []
     if "@" in text:
-        out += [(0, *m.span()) for m in EMAIL.finditer(text)]
+        out += [(0, s, e) for s, e in emails(text)]
     if _DIGIT.search(text):
         for m in IP.finditer(text):
             if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
