@@ -98,7 +98,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
 
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return pairs.hint("merge").join(left, "a").hint("merge").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
 #: Members and shingles of a block of a bucket; a task compares two blocks at a time.
@@ -209,7 +209,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     in_buckets = stored(spread.join(buckets, "bucket"), "buckets")
     pairs = stored(in_buckets.filter("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
     involved = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).join(involved, "id", "left_semi")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).join(involved.hint("merge"), "id", "left_semi")
     # An id with several texts keeps each: a link of any of them is the node's.
     texts = stored(texts, "texts")
     links = stored(_verified(pairs, texts, width, percent).distinct(), "links")
