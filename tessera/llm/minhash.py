@@ -238,3 +238,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labelled = sketches.join(reps, ["d1", "d2"], "left").withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id")))
     labelled = labelled.withColumn("component_id", F.when(F.col("id").isNotNull(), F.col("component_id")))
     return labelled.select("id", "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"), F.when(F.col("id").isNotNull(), F.coalesce("class_id", "id")).alias("class_id"))
+
+
+#: The contract query (two-word shingles, 80 %) in DuckDB SQL, by comparing all pairs that share a shingle.
+ORACLE = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN w IS NULL OR len(w) = 0 THEN [] WHEN len(w) = 1 THEN w ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM w),
+u AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+e AS (SELECT a.doc_id AS a, b.doc_id AS b FROM u a JOIN u b ON a.x = b.x AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) GROUP BY ALL HAVING 100 * count(*) >= 80 * (min(a.n) + min(b.n) - count(*))),
+g AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r AS (SELECT doc_id AS id, doc_id AS reached FROM s UNION SELECT r.id, g.b FROM r JOIN g ON r.reached = g.a),
+c AS (SELECT id, min(reached) AS component_id FROM r GROUP BY id)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept FROM s JOIN c ON c.id = s.doc_id
+"""

@@ -92,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLES: dict[str, str] = {
     "op1_cover_tree_topk": covertree.ORACLE,
+    "op2_minhash_near_dedup": minhash.ORACLE,
     "op3_licence_scan": licences.oracle(),
     "op5_mix_sources": mixing.ORACLE,
     "op6_chat_format": chat.ORACLE,
