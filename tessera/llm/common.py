@@ -3,25 +3,15 @@
 from __future__ import annotations
 
 import atexit
-import tempfile
 import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-_WRITTEN: list[tuple[SparkSession, str]] = []
-
+from tessera.lineage import checkpoint_root
 
-def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder named by spark.checkpoint.dir; a folder of our own only where the setting is absent."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-checkpoints-"))
-    return sc.getCheckpointDir()
+_WRITTEN: list[tuple[SparkSession, str]] = []
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
