@@ -2,9 +2,10 @@
 
 The tokens of a host's pages are tags in their place (the open containers around them) and short pieces of text in theirs.
 Tokens with the same occurrence vector over the pages form a class; a class that is large and frequent enough is valid, and
-the valid classes, nested by their places, are the host's template. What stands between template tokens are slots: the slot
-that holds most of the pages' running text is the article, and the pieces of text that belong to the template are not.
-Occurrence vectors are compared by digests that add up over pages, so that no host's pages are gathered anywhere.
+the valid classes, nested by their places, are the host's template. What stands between template tokens are slots: those
+that hold running text are the article, and the pieces of text that belong to the template are not. The names of tags and
+classes are features of the slots; they alone decide only where a host has no template. Occurrence vectors are compared by
+digests that add up over pages, so that no host's pages are gathered anywhere.
 """
 
 from __future__ import annotations
@@ -19,11 +20,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, stored
+from .common import stored
 
-#: Pages and tokens that a valid class has at least, and the share of its host's pages that a template text must be on.
+#: Pages and tokens (a text has one for each word) that a valid class has at least, and the share of its host's pages that a
+#: template text must be on. Pages that differ only outside of what can be an article count as one.
 SUPPORT, SIZE, TEXT_SHARE = 3, 3, 0.5
-#: Words of a piece of text that can be a template token, at most.
+#: A text with more words is running text.
 SHORT = 8
 
 _PART = re.compile(
@@ -36,35 +38,38 @@ _CONTAINERS = frozenset("html body div section article main nav header footer as
 _BLOCKS = _CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote hr address caption figcaption title head option summary".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _AWAY_TAGS = frozenset("nav footer aside form title head button dialog fieldset menu".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _MAIN_TAGS = frozenset(("article", "main"))
 _AWAY = re.compile(r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|site-header|masthead|topbar|footer|sidebar|side|aside|widget|ads?|advert\w*|banner|promo\w*|sponsor\w*|cookies?|consent|notices?|alert|popup|modal|overlay|newsletter|subscribe|share|sharing|social|related|recommend\w*|comments?|commentlist|disqus|respond|replies|breadcrumbs?|pagination|pager|login|search|toolbar|copyright|contentinfo|complementary)(?:$|[\s_-])", re.I)
 _MAIN = re.compile(r"(?:^|[\s_-])(?:main|article|articlebody|post-content|entry-content|article-body|story-body)(?:$|[\s_-])", re.I)
 
 
 class Block:
-    """A block's text, the containers around it, and how much of it is links."""
+    """A block's text, the containers around it, how much of it is links, and whether it is a heading."""
 
-    __slots__ = ("away", "linked", "main", "path", "text")
+    __slots__ = ("away", "heading", "linked", "main", "path", "text")
 
-    def __init__(self, text: str, path: tuple, linked: int, away: bool, main: bool):
-        self.text, self.path, self.linked, self.away, self.main = text, path, linked, away, main
+    def __init__(self, text: str, path: tuple, linked: int, away: bool, main: bool, heading: bool):
+        self.text, self.path, self.linked, self.away, self.main, self.heading = text, path, linked, away, main, heading
 
 
-def parse(page: str) -> tuple[list[str], list[Block]]:
-    """(tag tokens in order, blocks in order) of a page. A container's token is its name and attributes after its parents'."""
-    tags: list[str] = []
+def parse(page: str) -> tuple[list[tuple[str, bool]], list[Block]]:
+    """(tag tokens and whether they open a container, blocks) of a page, in order, the tags without those of what is named as
+    no article. A container's token is its name and attributes after its parents'."""
+    tags: list[tuple[str, bool]] = []
     blocks: list[Block] = []
     stack: list[tuple[str, str, bool, bool]] = []  # name, token, away, main
     path: tuple = ()
     buffer: list[str] = []
     links = linked = 0
+    heading = False
 
     def flush() -> None:
         nonlocal linked
         if buffer:
             text = " ".join(html.unescape("".join(buffer)).split())
             if text:
-                blocks.append(Block(text, path, linked, bool(stack) and stack[-1][2], bool(stack) and stack[-1][3]))
+                blocks.append(Block(text, path, linked, bool(stack) and stack[-1][2], bool(stack) and stack[-1][3], heading))
             buffer.clear()
         linked = 0
 
@@ -86,34 +91,46 @@ def parse(page: str) -> tuple[list[str], list[Block]]:
         if name not in _BLOCKS and name not in _AWAY_TAGS:
             continue
         flush()
+        heading = name in _HEADINGS and not closing
         holds = name in _CONTAINERS or name in _AWAY_TAGS
         if closing:
+            away = bool(stack) and stack[-1][2]
             if holds and any(x[0] == name for x in stack):
                 while stack:
                     top = stack.pop()
                     if top[0] == name:
                         break
                 path = tuple(x[1] for x in stack)
-            tags.append(f"{path[-1] if path else ''}</{name}>")
+            if not away:
+                tags.append((f"{path[-1] if path else ''}</{name}>", False))
             continue
         names = " ".join(v for a in _NAME.finditer(attributes) for v in (a[2] or a[3] or a[4] or "",)) if attributes else ""
         names = re.sub("[0-9]+", "#", names.lower())
         token = f"{path[-1] if path else ''}<{name} {names}>" if len(path) < 40 else f"<{name} {names}>"
-        tags.append(token)
+        away = bool(stack) and stack[-1][2]
         if holds and name not in _VOID:
             inside_main = bool(stack) and stack[-1][3]
-            away = (bool(stack) and stack[-1][2]) or name in _AWAY_TAGS or (name == "header" and not inside_main) or bool(names and name not in ("html", "body") and _AWAY.search(names))
+            away = away or name in _AWAY_TAGS or (name == "header" and not inside_main) or bool(names and name not in ("html", "body") and _AWAY.search(names))
             main = (inside_main or name in _MAIN_TAGS or bool(names and _MAIN.search(names))) and not away
             stack.append((name, token, away, main))
             path = (*path, token)
+        if not away:
+            tags.append((token, holds))
     if last < len(page):
         buffer.append(page[last:] if "<" not in page[last:] else page[last:].split("<")[0])
     flush()
     return tags, blocks
 
 
-def _text_token(block: Block) -> str | None:
-    return f"{block.path[-1] if block.path else ''}={block.text}" if block.text.count(" ") < SHORT else None
+def _text_tokens(blocks: list[Block]) -> list[str]:
+    """Of each block the token of its text in its place; equal ones are told apart by their order."""
+    out: list[str] = []
+    seen: dict[str, int] = {}
+    for b in blocks:
+        token = f"{b.path[-1] if b.path else ''}={b.text}"
+        seen[token] = k = seen.get(token, 0) + 1
+        out.append(f"{token}#{k}")
+    return out
 
 
 def host_of(url: str | None) -> str:
@@ -121,71 +138,80 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
-def _hash(token: str) -> int:
+def _hash(token: str | bytes) -> int:
     return xxhash.xxh64_intdigest(token) - (1 << 63)
 
 
+def page_tokens(page: str) -> dict[str, list[int]]:
+    """Of each token of a page: its occurrences, 1 if it is a container and 2 if a text, its words, and 1 if running text
+    stands directly in it."""
+    tags, blocks = parse(page)
+    blocks = [b for b in blocks if not b.away]
+    seen: dict[str, list[int]] = {}
+    for t, container in tags:
+        seen.setdefault(t, [0, int(container), 1, 0])[0] += 1
+    for b, t in zip(blocks, _text_tokens(blocks), strict=True):
+        if b.path and b.path[-1] in seen and b.text.count(" ") >= SHORT:
+            seen[b.path[-1]][3] = 1
+        seen[t] = [1, 2, b.text.count(" ") + 1, 0]
+    return seen
+
+
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, template): of every host the tokens of its valid classes, with the running text directly under each.
+    """(host, template): of every host the containers and texts of its valid classes, and whether running text stands
+    directly in a container on some page.
 
     pages: url, html. A class is the tokens of a host with equal occurrence vectors, that is, with as many occurrences on
-    each page; the vector's digest is the exclusive or over pages of a hash of (page, count)."""
-    fields = [("host", pa.string()), ("token", pa.int64()), ("vector", pa.int64()), ("pages", pa.int64()), ("total", pa.int64()), ("mass", pa.int64())]
-    schema = pa.schema(fields)
+    each page; the vector's digest is the exclusive or over pages of a hash of (page, count). Copies of a page count once."""
+    lists = [("token", pa.list_(pa.int64())), ("n", pa.list_(pa.int32())), ("kind", pa.list_(pa.int32())), ("words", pa.list_(pa.int32())), ("running", pa.list_(pa.int32()))]
+    schema = pa.schema([("host", pa.string()), ("page", pa.int64()), *lists])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sums: dict[tuple[str, int], list[int]] = {}
+            rows: dict[tuple[str, int], np.ndarray] = {}
             for url, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                host, page = host_of(url), page or ""
-                tags, blocks = parse(page)
-                seen: dict[int, list[int]] = {}
-                for t in tags:
-                    seen.setdefault(_hash(t), [0, 0])[0] += 1
-                for b in blocks:
-                    if b.path and not b.away:
-                        seen.setdefault(_hash(b.path[-1]), [0, 0])[1] += max(0, len(b.text) - b.linked)
-                    if (t := _text_token(b)) is not None:
-                        seen.setdefault(_hash(t), [0, 0])[0] += 1
-                key = xxhash.xxh64_intdigest(f"{url}\n{page}")
-                tokens = list(seen)
-                counts = np.array([seen[t][0] for t in tokens], np.uint64)
-                places = mix64(np.uint64(key) + mix64(counts + np.uint64(1))).view(np.int64).tolist()
-                for t, place in zip(tokens, places, strict=True):
-                    s = sums.setdefault((host, t), [0, 0, 0, 0])
-                    s[0] ^= place
-                    s[1] += 1
-                    s[2] += seen[t][0]
-                    s[3] += seen[t][1]
-            keys = list(sums)
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int64()), *(pa.array([sums[k][c] for k in keys], pa.int64()) for c in range(4))], schema=schema)
-
-    marks = pages.select("url", "html").mapInArrow(run, "host string, token long, vector long, pages long, total long, mass long")
-    marks = marks.groupBy("host", "token").agg(F.bit_xor("vector").alias("vector"), F.sum("pages").alias("pages"), F.sum("total").alias("total"), F.sum("mass").alias("mass")).filter(F.col("pages") >= SUPPORT)
-    classes = marks.groupBy("host", "vector", "pages", "total").agg(F.collect_list(F.struct("token", "mass")).alias("tokens")).filter(F.size("tokens") >= SIZE)
-    return classes.groupBy("host").agg(F.max("pages").alias("most"), F.collect_list(F.struct("pages", "tokens")).alias("classes")).select("host", F.flatten(F.transform("classes", lambda c: F.transform(c["tokens"], lambda t: F.struct(t["token"].alias("token"), t["mass"].alias("mass"), (c["pages"] >= F.col("most") * TEXT_SHARE).alias("common"))))).alias("template"))
-
-
-def main_text(page: str | None, template: dict[int, tuple[int, bool]] | None = None) -> str:
-    """The article of a page, one line a block. template: of each token of its host's template its running text and
-    whether it is on most pages."""
-    template = template or {}
-    blocks = [b for b in parse(page or "")[1] if not b.away]
-    if any(b.main for b in blocks):
-        return "\n".join(b.text for b in blocks if b.main)
+                seen = page_tokens(page or "")
+                held = np.array([(_hash(t), *s) for t, s in seen.items()], np.int64).reshape(-1, 5)
+                rows.setdefault((host_of(url), _hash(held.tobytes())), held)
+            ends = pa.array(np.cumsum([0, *map(len, rows.values())]), pa.int32())
+            flat = np.concatenate([*rows.values(), np.zeros((0, 5), np.int64)])
+            values = [pa.ListArray.from_arrays(ends, pa.array(flat[:, c], pa.int64()).cast(t.value_type)) for c, (_, t) in enumerate(lists)]
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in rows], pa.string()), pa.array([k[1] for k in rows], pa.int64()), *values], schema=schema)
+
+    names = [name for name, _ in lists]
+    marks = pages.select("url", "html").mapInArrow(run, "host string, page long, token array<long>, n array<int>, kind array<int>, words array<int>, running array<int>")
+    marks = marks.groupBy("host", "page").agg(F.first(F.arrays_zip(*names)).alias("tokens")).select("host", "page", F.inline("tokens"))
+    marks = marks.groupBy("host", "token").agg(F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.count("*").alias("pages"), F.max("kind").alias("kind"), F.max("words").alias("words"), F.max("running").alias("running")).filter(F.col("pages") >= SUPPORT)
+    classes = marks.groupBy("host", "vector", "pages").agg(F.sum("words").alias("size"), F.collect_list(F.struct("token", "kind", "running")).alias("tokens")).filter(F.col("size") >= SIZE)
     # Texts of the template stand on most of the host's pages.
-    blocks = [b for b in blocks if not ((t := _text_token(b)) and template.get(_hash(t), (0, False))[1])]
-    blocks = [b for b in blocks if b.linked * 2 <= len(b.text)]
-    own: dict[str, int] = {}
-    for b in blocks:
-        for depth, container in enumerate(reversed(b.path[-3:])):
-            own[container] = own.get(container, 0) + len(b.text) // (2**depth)
-    if not own:
-        return "\n".join(b.text for b in blocks)
-    # The slot with most running text over the host's pages, else over this page.
-    slots = {c: template[h][0] for c in own if (h := _hash(c)) in template and template[h][0] > 0}
-    best = max(slots or own, key=lambda c: ((slots or own)[c], own[c], c))
-    return "\n".join(b.text for b in blocks if best in b.path)
+    kept = F.transform("classes", lambda c: F.filter(c["tokens"], lambda t: (t["kind"] == 1) | ((t["kind"] == 2) & (c["pages"] >= F.col("most") * TEXT_SHARE))))
+    hosts = classes.groupBy("host").agg(F.max("pages").alias("most"), F.collect_list(F.struct("pages", "tokens")).alias("classes"))
+    return hosts.select("host", F.transform(F.flatten(kept), lambda t: F.struct(t["token"].alias("token"), (t["running"] > 0).alias("running"))).alias("template"))
+
+
+def main_text(page: str | None, template: dict[int, bool] | None = None) -> str:
+    """The article of a page, one line a block. template: the tokens of its host's template, and of a container whether
+    running text stands directly in it on some of the host's pages."""
+    blocks = [b for b in parse(page or "")[1] if not b.away]
+    if not template:
+        if any(b.main for b in blocks):
+            return "\n".join(b.text for b in blocks if b.main)
+        blocks = [b for b in blocks if b.linked * 2 <= len(b.text)]
+        own: dict[str, int] = {}
+        for b in blocks:
+            for depth, container in enumerate(reversed(b.path[-3:])):
+                own[container] = own.get(container, 0) + len(b.text) // (2**depth)
+        if not own:
+            return "\n".join(b.text for b in blocks)
+        best = max(own, key=lambda c: (own[c], c))
+        return "\n".join(b.text for b in blocks if best in b.path)
+    known = {c: template.get(_hash(c)) for c in {c for b in blocks for c in b.path}}
+    blocks = [b for b, t in zip(blocks, _text_tokens(blocks), strict=True) if _hash(t) not in template]
+    # A block's slot is the innermost template container around it. A slot is of the article if running text stands in it or
+    # around it on any page of the host, or on this page; its labels belong to it.
+    slots = [next((c for c in reversed(b.path) if known[c] is not None), "") for b in blocks]
+    running = {s for b, s in zip(blocks, slots, strict=True) if b.text.count(" ") >= SHORT}
+    return "\n".join(b.text for b, s in zip(blocks, slots, strict=True) if b.main or b.heading or s in running or any(known[c] for c in b.path))
 
 
 def extract(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
@@ -211,7 +237,7 @@ def extract(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url")) -> Dat
                 if host not in held:
                     if len(held) > 256:
                         held.clear()
-                    held[host] = {t["token"]: (t["mass"], t["common"]) for t in template.as_py() or ()}
+                    held[host] = {t["token"]: t["running"] for t in template.as_py() or ()}
                 texts.append(main_text(page.as_py(), held[host]))
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(n)), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=names)
 

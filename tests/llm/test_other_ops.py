@@ -111,6 +111,25 @@ def test_template_of_a_host(spark):
     assert html.extract(df).count() == len(pages) and html.extract(df.limit(0)).count() == 0
 
 
+def some_words(draw, n):
+    return " ".join("".join(draw.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+
+
+def extracted(spark, bodies):
+    rows = [(k, f"http://h.example/{k}", PAGE.replace("{body}", body)) for k, body in enumerate(bodies)]
+    return {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+
+
+def test_template_decides_beside_a_marked_element(spark):
+    """Repeated text in <main> goes and text outside of it stays; copies of a page make no template."""
+    draw = random.Random(6)
+    texts = [[some_words(draw, 20) for _ in range(3)] for _ in range(8)]
+    bodies = [f"<main><p>{a}</p><p>Read all our stories here</p><p>{b}</p></main><div class=more><p>{c}</p></div>" for a, b, c in texts]
+    assert extracted(spark, bodies) == {k: "\n".join(t) for k, t in enumerate(texts)}
+    # The page is there nine times under other addresses, and two others once.
+    assert extracted(spark, [f"<main><p>{texts[0][0]}</p></main>"] * 9 + [f"<main><p>{t[0]}</p></main>" for t in texts[1:3]]) == {k: texts[max(0, k - 8)][0] for k in range(11)}
+
+
 # ---------------------------------------------------------------- contract queries
 
 
