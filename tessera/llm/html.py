@@ -45,12 +45,12 @@ _MAIN = re.compile(r"(?:^|[\s_-])(?:main|article|articlebody|post-content|entry-
 
 
 class Block:
-    """A block's text, the containers around it, how much of it is links, and whether it is a heading."""
+    """A block's text, the containers around it, and whether it is a heading."""
 
-    __slots__ = ("away", "heading", "linked", "main", "path", "text")
+    __slots__ = ("away", "heading", "main", "path", "text")
 
-    def __init__(self, text: str, path: tuple, linked: int, away: bool, main: bool, heading: bool):
-        self.text, self.path, self.linked, self.away, self.main, self.heading = text, path, linked, away, main, heading
+    def __init__(self, text: str, path: tuple, away: bool, main: bool, heading: bool):
+        self.text, self.path, self.away, self.main, self.heading = text, path, away, main, heading
 
 
 def parse(page: str) -> tuple[list[tuple[str, bool]], list[Block]]:
@@ -61,31 +61,24 @@ def parse(page: str) -> tuple[list[tuple[str, bool]], list[Block]]:
     stack: list[tuple[str, str, bool, bool]] = []  # name, token, away, main
     path: tuple = ()
     buffer: list[str] = []
-    links = linked = 0
     heading = False
 
     def flush() -> None:
-        nonlocal linked
         if buffer:
             text = " ".join(html.unescape("".join(buffer)).split())
             if text:
-                blocks.append(Block(text, path, linked, bool(stack) and stack[-1][2], bool(stack) and stack[-1][3], heading))
+                blocks.append(Block(text, path, bool(stack) and stack[-1][2], bool(stack) and stack[-1][3], heading))
             buffer.clear()
-        linked = 0
 
     last = 0
     for m in _PART.finditer(page):
         if m.start() > last:
-            piece = page[last : m.start()]
-            buffer.append(piece)
-            linked += len(piece) * (links > 0)
+            buffer.append(page[last : m.start()])
         last = m.end()
         name = m[3]
         if not name:
             continue
         name, closing, attributes = name.lower(), bool(m[2]), m[4]
-        if name == "a":
-            links = 0 if closing else 1
         if name == "br":
             buffer.append(" ")
         if name not in _BLOCKS and name not in _AWAY_TAGS:
@@ -194,17 +187,8 @@ def main_text(page: str | None, template: dict[int, bool] | None = None) -> str:
     running text stands directly in it on some of the host's pages."""
     blocks = [b for b in parse(page or "")[1] if not b.away]
     if not template:
-        if any(b.main for b in blocks):
-            return "\n".join(b.text for b in blocks if b.main)
-        blocks = [b for b in blocks if b.linked * 2 <= len(b.text)]
-        own: dict[str, int] = {}
-        for b in blocks:
-            for depth, container in enumerate(reversed(b.path[-3:])):
-                own[container] = own.get(container, 0) + len(b.text) // (2**depth)
-        if not own:
-            return "\n".join(b.text for b in blocks)
-        best = max(own, key=lambda c: (own[c], c))
-        return "\n".join(b.text for b in blocks if best in b.path)
+        marked = any(b.main for b in blocks)
+        return "\n".join(b.text for b in blocks if b.main or not marked)
     known = {c: template.get(_hash(c)) for c in {c for b in blocks for c in b.path}}
     blocks = [b for b, t in zip(blocks, _text_tokens(blocks), strict=True) if _hash(t) not in template]
     # A block's slot is the innermost template container around it. A slot is of the article if running text stands in it or

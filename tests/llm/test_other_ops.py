@@ -130,6 +130,22 @@ def test_template_decides_beside_a_marked_element(spark):
     assert extracted(spark, [f"<main><p>{texts[0][0]}</p></main>"] * 9 + [f"<main><p>{t[0]}</p></main>" for t in texts[1:3]]) == {k: texts[max(0, k - 8)][0] for k in range(11)}
 
 
+def test_every_slot_of_a_template_is_kept(spark):
+    """Sibling slots, linked paragraphs and items stay; repeated texts go, however long and whether links or not."""
+    draw = random.Random(7)
+    rules, bodies, want = some_words(draw, 30), [], {}
+    for k in range(6):
+        intro, linked, item, body = some_words(draw, 12), some_words(draw, 14), some_words(draw, 3), some_words(draw, 25)
+        bodies.append(
+            f"<div id=content><div class=intro><p>{intro}</p><p>{rules}</p></div><div class=body><p><a href=/x>{linked}</a></p><p>{body}</p>"
+            f"<ul><li><a href=/y>{item}</a></li></ul><p><a href=/all>All of our older stories</a></p></div></div>"
+        )
+        want[k] = "\n".join((intro, linked, body, item))
+    assert extracted(spark, bodies) == want
+    # Without a template nothing beside the named parts is left out.
+    assert html.main_text(PAGE.replace("{body}", f"<div class=intro><p>One.</p></div><div class=body><p>{rules}</p><p><a href=/x>Two</a></p></div>")) == f"One.\n{rules}\nTwo"
+
+
 # ---------------------------------------------------------------- contract queries
 
 
