@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .licence_digests import DIGESTS
+
 # Licence texts and notices, as their authors publish them.
 _WARRANTY_MIT = (
     'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, '
@@ -79,10 +81,14 @@ def canonical(text):
 
 
 def known_digests(spark: SparkSession, licences: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
-    """(digest, licence) of the given texts. Two licences with one normal form: the name that sorts first."""
-    rows = [(name, text) for name, texts in (licences or LICENCES).items() for text in texts]
+    """(digest, licence) of the given texts, else of LICENCES and DIGESTS. Two licences with one normal form: the name that
+    sorts first. The SQL equivalent knows LICENCES alone."""
+    rows = [(name, text) for name, texts in (LICENCES if licences is None else licences).items() for text in texts]
     texts = spark.createDataFrame(rows, "licence string, text string")
-    return texts.select(F.md5(F.replace(canonical(F.col("text")), F.lit("\n"), F.lit(" "))).alias("digest"), "licence").groupBy("digest").agg(F.min("licence").alias("licence"))
+    digests = texts.select(F.md5(F.replace(canonical(F.col("text")), F.lit("\n"), F.lit(" "))).alias("digest"), "licence")
+    if licences is None:
+        digests = digests.union(spark.createDataFrame([(d, name) for name, ds in DIGESTS.items() for d in ds], "digest string, licence string"))
+    return digests.groupBy("digest").agg(F.min("licence").alias("licence"))
 
 
 def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

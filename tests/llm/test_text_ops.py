@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -202,6 +203,32 @@ def test_licence_scan(spark):
     assert licences.scan(df, licences.known_digests(spark).limit(0)).filter("n_notices > 0").count() == 0
 
 
+APACHE_HEADER = """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License.
+"""
+
+
+def test_full_texts_and_headers_are_known(spark):
+    want, rows = {0: "Apache-2.0", 1: "MIT"}, [(0, APACHE_HEADER), (1, "The MIT License (MIT)\n\nCopyright (c) 2020 Somebody\n\n" + licences.LICENCES["MIT"][1])]
+    names = {"Apache-2.0": "Apache-2.0", "GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0", "GFDL-1.3": "GFDL-1.3"}
+    for file, name in names.items():
+        path = Path("/usr/share/common-licenses") / file
+        if path.exists():  # Debian's copies of the published texts
+            want[len(rows)] = name
+            rows.append((len(rows), path.read_text()))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r.doc_id: r.licence for r in licences.scan(df, licences.known_digests(spark)).collect()} == want
+
+
 # ---------------------------------------------------------------- personal data
 
 
