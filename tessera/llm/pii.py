@@ -3,7 +3,7 @@
 The base patterns find e-mail addresses, IP addresses, card and phone numbers. The field looks at stretches of a text that
 hold digits or a written or spelled at sign, cuts them into tokens and scores whole segments of up to LONGEST tokens by
 features of the segment (digits, groups, separators, checksums, what stands before it). A dynamic program over the bounded
-segments jointly chooses boundaries and kinds. It is trained by likelihood on stretches whose segments the base patterns
+segments jointly chooses boundaries and kinds; base spans stay as they are, and stretches are cut at them. It is trained by likelihood on stretches whose segments the base patterns
 mark, some of them rewritten in other forms (spelled at signs, phones without a plus sign), and its spans that meet no base
 span are added.
 """
@@ -31,8 +31,8 @@ _DIGIT = re.compile(r"[0-9]")
 
 #: Documents that training reads at most (those of least id hash with a digit or an at sign).
 TRAIN_ROWS = 300
-#: Tokens of a segment at most, and the log-odds against no entity that an added segment needs.
-LONGEST, MARGIN = 28, 1.0
+#: Characters of a segment at least, its tokens at most, and the log-odds against no entity that an added segment needs.
+SHORTEST, LONGEST, MARGIN = 7, 28, 1.0
 
 
 def luhn(digits: str) -> bool:
@@ -85,13 +85,45 @@ _AT = r"(?:@|[(\[]\s?at\s?[)\]]|\sat\s)"
 _DOT = r"(?:\.|\s?[(\[]\s?dot\s?[)\]]\s?|\sdot\s)"
 #: Stretches that can hold an entity; nothing outside them has a segment.
 STRETCH = re.compile(rf"[A-Za-z0-9._%+-]{{1,64}}\s?{_AT}\s?[A-Za-z0-9-]{{1,63}}(?:{_DOT}[A-Za-z0-9-]{{1,63}}){{1,6}}|[+(]?[0-9](?:[ ().+\-/]{{0,3}}[0-9]){{5,40}}")
-_HINT = re.compile(r"[0-9]|@|[(\[]\s?at\s?[)\]]|\sat\s.{1,40}\sdot\s")
+#: What every stretch holds.
+_HINT = re.compile(rf"[0-9]|@|[(\[]\s?at\s?[)\]]|\sat\s\s?[A-Za-z0-9-]{{1,63}}{_DOT}[A-Za-z0-9-]")
 _TOKEN = re.compile(r"[0-9]+|[A-Za-z]+|\s+|.", re.S)
 _CALL = re.compile(r"(?:tel|phone|call|fon|fax|mobile|móvil|tél)\W*$", re.I)
 _GOES_ON = re.compile(rf"{_DOT}[A-Za-z0-9]|[A-Za-z0-9]|[ -]?[0-9]")
 _NUMBER = re.compile(r"(?:token|key|id|no|nr|version|sha|hash|v)\W*$", re.I)
 
 
+def free_stretches(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """What lies between the base spans of the stretches of the text and of the stretches of what lies between them, where it
+    is long enough for a segment; overlapping ones as one."""
+    if not base:
+        return [m.span() for m in STRETCH.finditer(text)]
+    gaps, at = [], 0
+    for _, a, b in sorted(base, key=lambda x: x[1:]):
+        if a > at:
+            gaps.append((at, a))
+        at = max(at, b)
+    gaps.append((at, len(text)))
+    whole, first = [m.span() for m in STRETCH.finditer(text)], 0
+    out: list[tuple[int, int]] = []
+    for start, end in gaps:
+        found = [m.span() for m in STRETCH.finditer(text, start, end)]
+        while first < len(whole) and whole[first][1] <= start:
+            first += 1
+        k = first
+        while k < len(whole) and whole[k][0] < end:
+            found.append((max(whole[k][0], start), min(whole[k][1], end)))
+            k += 1
+        merged: list[tuple[int, int]] = []
+        for a, b in sorted(found):
+            if merged and a < merged[-1][1]:
+                merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
+            else:
+                merged.append((a, b))
+        out += [(a, b) for a, b in merged if b - a >= SHORTEST]
+    return out
+
+
 def segment_features(text: str, start: int, end: int) -> list[str]:
     """Names of a whole segment's features."""
     piece = text[start:end]
@@ -130,7 +162,7 @@ class Lattice:
             for j in range(i + 1, min(n, i + LONGEST) + 1):
                 last = text[self.cuts[j] - 1]
                 piece = text[self.cuts[i] : self.cuts[j]]
-                if not (last.isalnum() or last == ")") or len(piece) < 7:
+                if not (last.isalnum() or last == ")") or len(piece) < SHORTEST:
                     continue
                 if sum(c.isdigit() for c in piece) < 4 and not re.search(_AT, piece):
                     continue
@@ -176,12 +208,8 @@ class Field:
         """Spans beside the base ones; none overlaps any of them."""
         if not _HINT.search(text):
             return []
-        taken = sorted((a, b) for _, a, b in base)
         out = []
-        for m in STRETCH.finditer(text):
-            a, b = m.span()
-            if any(x < b and a < y for x, y in taken):
-                continue
+        for a, b in free_stretches(text, base):
             out += self.decode(Lattice(text, a, b))
         return out
 

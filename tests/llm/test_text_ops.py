@@ -272,6 +272,30 @@ def test_field_adds_and_keeps(field):
     assert field.extra("clean words only, nothing at all here", []) == []
 
 
+def test_stretches_are_cut_at_base_spans(field):
+    for text, base, other in (
+        ("host 192.168.0.1 017 555-7713 x", "192.168.0.1", "017 555-7713"),
+        ("tel 017 555-7713/+49 171 7654321 x", "+49 171 7654321", "017 555-7713"),
+        ("call 4111 1111 1111 1111 / (017) 555-7713 x", "4111 1111 1111 1111", "(017) 555-7713"),
+    ):
+        spans = pii.base_spans(text)
+        assert [text[s:e] for _, s, e in spans] == [base]
+        assert any(a <= text.index(other) and text.index(other) + len(other) <= b for a, b in pii.free_stretches(text, spans)), text
+        assert all(e <= s2 or e2 <= s for s, e in pii.free_stretches(text, spans) for _, s2, e2 in spans)
+    text = "host 192.168.0.1 (017) 555-7713"
+    assert any(k == 3 and "555-7713" in text[s:e] for k, s, e in field.extra(text, pii.base_spans(text)))
+
+
+def test_every_stretch_has_a_hint(field):
+    draw = random.Random(9)
+    parts = ["jane", " at ", " at", "\n", " ", "example", ".", "com", " dot ", "(at)", "[ at ]", "@", "-", "at ", "(dot)"]
+    for _ in range(20000):
+        text = "".join(draw.choice(parts) for _ in range(draw.randrange(9)))
+        assert not pii.STRETCH.search(text) or pii._HINT.search(text), text
+    text = "mail jane at example.com please"
+    assert [(k, text[s:e]) for k, s, e in field.extra(text, [])] == [(0, "jane at example.com")]
+
+
 def test_decode_is_the_best_segmentation(field):
     """The dynamic program against all segmentations, tried one by one."""
     text = "a [at] b.cz"
