@@ -29,8 +29,9 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 
-#: Documents that training reads at most (those of least id hash with a digit or an at sign).
-TRAIN_ROWS = 300
+#: Distinct texts that training reads at most (those of least hash with a digit or an at sign), and cases it learns from at
+#: most (a random choice of the stretches and rewritten forms in them).
+TRAIN_ROWS, TRAIN_CASES = 300, 1000
 #: Characters of a segment at least, its tokens at most, and the log-odds against no entity that an added segment needs.
 SHORTEST, LONGEST, MARGIN = 7, 28, 1.0
 
@@ -219,8 +220,9 @@ def _logsum(x: list[float]) -> float:
     return top + float(np.log(sum(np.exp(v - top) for v in x)))
 
 
-def train(texts: list[str], epochs: int = 10, rate: float = 0.5, ridge: float = 1e-3, seed: int = 5) -> Field:
-    """Maximum likelihood by AdaGrad over stretches around base spans (entities) and other stretches (none)."""
+def train(texts: list[str], epochs: int = 10, rate: float = 0.5, ridge: float = 1e-3, seed: int = 5, most: int = TRAIN_CASES) -> Field:
+    """Maximum likelihood by AdaGrad over stretches around base spans (entities) and other stretches (none), at most `most`
+    of both, drawn by `seed`."""
     draw = random.Random(seed)
     cases: list[tuple[Lattice, set]] = []
 
@@ -255,7 +257,7 @@ def train(texts: list[str], epochs: int = 10, rate: float = 0.5, ridge: float =
             if not any(s < m.end() and m.start() < e for s, e in spans):
                 add(text[max(0, m.start() - 40) : m.end() + 20], [], m.start() - max(0, m.start() - 40), m.end() - max(0, m.start() - 40))
     draw.shuffle(cases)
-    cases = [c for c in cases if c[0].segments][:1000]
+    cases = [c for c in cases if c[0].segments][:most]
     field = Field({}, np.zeros(len(KINDS)))
     squares: dict[str, np.ndarray] = {}
     bias_squares = np.full(len(KINDS), 1e-6)
@@ -291,13 +293,14 @@ def train(texts: list[str], epochs: int = 10, rate: float = 0.5, ridge: float =
     return field
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = TRAIN_ROWS) -> Field:
-    """Trains on at most `rows` texts that hold a digit or an at sign, cut to what stands near their stretches."""
-    id_, text = F.col(id_col), F.col(text_col).cast("string")
-    found = docs.select(id_.alias("id"), text.alias("text")).filter(F.xxhash64("id") % 8 == 0).filter(F.col("text").rlike("[0-9@]"))
+def fit(docs: DataFrame, text_col: str = "text", rows: int = TRAIN_ROWS, most: int = TRAIN_CASES) -> Field:
+    """Trains on at most `most` cases of at most `rows` distinct texts that hold a digit or an at sign, those of least hash,
+    cut to what stands near their stretches. Copies of a text count once."""
+    found = docs.select(F.col(text_col).cast("string").alias("text")).filter(F.col("text").rlike("[0-9@]")).withColumn("h", F.xxhash64("text"))
+    picked = [r["h"] for r in found.select("h").distinct().orderBy("h").limit(rows).collect()]
     near = F.array_join(F.regexp_extract_all("text", F.lit(r"(?s).{0,40}[0-9@].{0,60}"), 0), "\n")
-    sample = found.select(F.xxhash64("id").alias("h"), "id", near.alias("near")).orderBy("h", "id", "near").limit(rows).collect()
-    return train([r["near"] for r in sample])
+    sample = found.filter(F.col("h").isin(picked)).groupBy("h").agg(F.min(near).alias("near")).collect()
+    return train([r["near"] for r in sorted(sample, key=lambda r: r["h"])], most=most)
 
 
 def digest(spans: list[tuple[int, int, int]]) -> str:

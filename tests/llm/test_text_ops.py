@@ -296,6 +296,18 @@ def test_every_stretch_has_a_hint(field):
     assert [(k, text[s:e]) for k, s, e in field.extra(text, [])] == [(0, "jane at example.com")]
 
 
+def test_training_reads_distinct_texts(spark, monkeypatch):
+    read = []
+    monkeypatch.setattr(pii, "train", lambda texts, **kw: read.append((texts, kw)))
+    rows = [(i % 3 if i else None, f"mail a{i}@b.cz") for i in range(20)] + [(7, "copy 1")] * 50 + [(8, "clean words"), (9, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    pii.fit(df)
+    pii.fit(df.repartition(5), rows=4, most=9)
+    assert sorted(read[0][0]) == sorted({t for _, t in rows[:21]}) and read[1] == (read[0][0][:4], {"most": 9})
+    pii.fit(df.limit(0))
+    assert read[2][0] == []
+
+
 def test_decode_is_the_best_segmentation(field):
     """The dynamic program against all segmentations, tried one by one."""
     text = "a [at] b.cz"
