@@ -6,6 +6,9 @@ the valid classes, nested by their places, are the host's template. What stands
 that hold running text are the article, and the pieces of text that belong to the template are not. The names of tags and
 classes are features of the slots; they alone decide only where a host has no template. Occurrence vectors are compared by
 digests that add up over pages, so that no host's pages are gathered anywhere.
+
+A page is read by one forward scan whose time is linear in its length. What only looks like markup (a < that begins no tag,
+a tag that never ends) is text.
 """
 
 from __future__ import annotations
@@ -17,23 +20,26 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
 
-#: Pages and tokens (a text has one for each word) that a valid class has at least, and the share of its host's pages that a
-#: template text must be on. Pages that differ only outside of what can be an article count as one.
-SUPPORT, SIZE, TEXT_SHARE = 3, 3, 0.5
+#: Pages and tokens (a text has one for each word) that a valid class has at least, and the shares of its host's pages that a
+#: template text and a template container must be on: they bound a template by a multiple of what a page holds on average.
+#: Pages that differ only outside of what can be an article count as one.
+SUPPORT, SIZE, TEXT_SHARE, CONTAINER_SHARE = 3, 3, 0.5, 1 / 64
 #: A text with more words is running text.
 SHORT = 8
 
-_PART = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea|select|object)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S | re.I,
-)
+_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^<>\"']*)>")
+_TAG_NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+_PLAIN = re.compile(r"[^>\"']*")
 _NAME = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+#: Elements whose content is no text of the page; RAW ones run to the page's end if nothing closes them.
+_RAW = frozenset("script style textarea iframe".split())
+_SKIPPED = _RAW | frozenset("noscript template svg select object".split())
+_CLOSES = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in _SKIPPED}
 _CONTAINERS = frozenset("html body div section article main nav header footer aside ul ol dl table tbody thead tr td th form figure details dialog center fieldset".split())
 _BLOCKS = _CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote hr address caption figcaption title head option summary".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -45,40 +51,121 @@ _MAIN = re.compile(r"(?:^|[\s_-])(?:main|article|articlebody|post-content|entry-
 
 
 class Block:
-    """A block's text, the containers around it, and whether it is a heading."""
+    """A block's text, the container around it (its number, -1 if none), and whether it is a heading."""
+
+    __slots__ = ("away", "container", "heading", "main", "text")
+
+    def __init__(self, text: str, container: int, away: bool, main: bool, heading: bool):
+        self.text, self.container, self.away, self.main, self.heading = text, container, away, main, heading
+
+
+class Page:
+    """What a page is made of: its tag tokens (with whether they open a container), the token and the parent of each
+    container, and its blocks, all in order. The tags of what is named as no article are not among the tokens."""
 
-    __slots__ = ("away", "heading", "main", "path", "text")
+    __slots__ = ("blocks", "parents", "tags", "tokens")
 
-    def __init__(self, text: str, path: tuple, away: bool, main: bool, heading: bool):
-        self.text, self.path, self.away, self.main, self.heading = text, path, away, main, heading
+    def __init__(self):
+        self.tags: list[tuple[int, bool]] = []
+        self.tokens: list[int] = []
+        self.parents: list[int] = []
+        self.blocks: list[Block] = []
+
+
+def _hash(token: str | bytes) -> int:
+    return xxhash.xxh64_intdigest(token) - (1 << 63)
 
 
-def parse(page: str) -> tuple[list[tuple[str, bool]], list[Block]]:
-    """(tag tokens and whether they open a container, blocks) of a page, in order, the tags without those of what is named as
-    no article. A container's token is its name and attributes after its parents'."""
-    tags: list[tuple[str, bool]] = []
-    blocks: list[Block] = []
-    stack: list[tuple[str, str, bool, bool]] = []  # name, token, away, main
-    path: tuple = ()
+def _tag_end(page: str, at: int, none: set[str]) -> int:
+    """Where the tag whose attributes begin at `at` ends, after its >, or -1. A quoted value may hold >; a quote that nothing
+    closes is a plain character. none remembers the quotes that are not found any more, so that they are looked for once."""
+    while True:
+        at = _PLAIN.match(page, at).end()
+        if at >= len(page):
+            return -1
+        mark = page[at]
+        if mark == ">":
+            return at + 1
+        end = -1 if mark in none else page.find(mark, at + 1)
+        if end < 0:
+            none.add(mark)
+        at = max(end, at) + 1
+
+
+def scan(page: str):
+    """The parts of a page in order: (text, None, False, "") for text and ("", name, closing, attributes) for a tag.
+
+    One forward scan: comments and skipped elements go whole, and what a search did not find once is not looked for again."""
+    at, n, lost, none = 0, len(page), set(), set()
+    quoted = True  # after a tag that ends only without regard to quotes, quotes are no longer looked at
+    while at < n:
+        lt = page.find("<", at)
+        if lt < 0:
+            yield page[at:], None, False, ""
+            return
+        if lt > at:
+            yield page[at:lt], None, False, ""
+        m = _TAG.match(page, lt)
+        if m:
+            closing, name, attributes, at = bool(m[1]), m[2].lower(), m[3], m.end()
+        elif m := _TAG_NAME.match(page, lt):
+            end = _tag_end(page, m.end(), none) if quoted else -1
+            if end < 0:
+                quoted = False
+                end = 0 if ">" in lost else page.find(">", m.end()) + 1
+                if not end:
+                    lost.add(">")
+                    yield "<", None, False, ""
+                    at = lt + 1
+                    continue
+            closing, name, attributes, at = bool(m[1]), m[2].lower(), page[m.end() : end - 1], end
+        elif page.startswith(("<!", "<?"), lt):
+            close = "-->" if page.startswith("<!--", lt) else ">"
+            end = -1 if close in lost else page.find(close, lt + 2)
+            if end >= 0:
+                at = end + len(close)
+                continue
+            lost.add(close)
+            if close == "-->":  # a comment that nothing closes runs to the end
+                return
+            yield "<", None, False, ""
+            at = lt + 1
+            continue
+        else:
+            yield "<", None, False, ""
+            at = lt + 1
+            continue
+        if not closing and name in _SKIPPED and not attributes.endswith("/"):
+            m = None if name in lost else _CLOSES[name].search(page, at)
+            if m:
+                at = m.end()
+                continue
+            lost.add(name)
+            if name in _RAW:
+                return
+        yield "", name, closing, attributes
+
+
+def parse(page: str) -> Page:
+    """A container's token is its name and attributes after its parent's token."""
+    out = Page()
+    stack: list[tuple[str, int, bool, bool]] = []  # name, container, away, main
+    open_names: dict[str, int] = {}
     buffer: list[str] = []
-    heading = False
+    heading = away = main = False
+    container = -1
 
     def flush() -> None:
         if buffer:
-            text = " ".join(html.unescape("".join(buffer)).split())
+            text = " ".join("".join(buffer).split())
             if text:
-                blocks.append(Block(text, path, bool(stack) and stack[-1][2], bool(stack) and stack[-1][3], heading))
+                out.blocks.append(Block(text, container, away, main, heading))
             buffer.clear()
 
-    last = 0
-    for m in _PART.finditer(page):
-        if m.start() > last:
-            buffer.append(page[last : m.start()])
-        last = m.end()
-        name = m[3]
-        if not name:
+    for text, name, closing, attributes in scan(page):
+        if name is None:
+            buffer.append(html.unescape(text) if "&" in text else text)
             continue
-        name, closing, attributes = name.lower(), bool(m[2]), m[4]
         if name == "br":
             buffer.append(" ")
         if name not in _BLOCKS and name not in _AWAY_TAGS:
@@ -87,42 +174,43 @@ def parse(page: str) -> tuple[list[tuple[str, bool]], list[Block]]:
         heading = name in _HEADINGS and not closing
         holds = name in _CONTAINERS or name in _AWAY_TAGS
         if closing:
-            away = bool(stack) and stack[-1][2]
-            if holds and any(x[0] == name for x in stack):
+            was = away
+            if holds and open_names.get(name):
                 while stack:
-                    top = stack.pop()
-                    if top[0] == name:
+                    top = stack.pop()[0]
+                    open_names[top] -= 1
+                    if top == name:
                         break
-                path = tuple(x[1] for x in stack)
-            if not away:
-                tags.append((f"{path[-1] if path else ''}</{name}>", False))
+                container, away, main = stack[-1][1:] if stack else (-1, False, False)
+            if not was:
+                out.tags.append((_hash(f"{out.tokens[container] if container >= 0 else 0}</{name}>"), False))
             continue
         names = " ".join(v for a in _NAME.finditer(attributes) for v in (a[2] or a[3] or a[4] or "",)) if attributes else ""
-        names = re.sub("[0-9]+", "#", names.lower())
-        token = f"{path[-1] if path else ''}<{name} {names}>" if len(path) < 40 else f"<{name} {names}>"
-        away = bool(stack) and stack[-1][2]
+        names = re.sub("[0-9]{2,}", "#", names.lower())  # numbers of a page, but not those of a column
+        token = _hash(f"{out.tokens[container] if container >= 0 else 0}<{name} {names}>")
+        was = away
         if holds and name not in _VOID:
-            inside_main = bool(stack) and stack[-1][3]
-            away = away or name in _AWAY_TAGS or (name == "header" and not inside_main) or bool(names and name not in ("html", "body") and _AWAY.search(names))
-            main = (inside_main or name in _MAIN_TAGS or bool(names and _MAIN.search(names))) and not away
-            stack.append((name, token, away, main))
-            path = (*path, token)
-        if not away:
-            tags.append((token, holds))
-    if last < len(page):
-        buffer.append(page[last:] if "<" not in page[last:] else page[last:].split("<")[0])
+            away = away or name in _AWAY_TAGS or (name == "header" and not main) or bool(names and name not in ("html", "body") and _AWAY.search(names))
+            main = (main or name in _MAIN_TAGS or bool(names and _MAIN.search(names))) and not away
+            out.parents.append(container)
+            out.tokens.append(token)
+            container = len(out.tokens) - 1
+            stack.append((name, container, away, main))
+            open_names[name] = open_names.get(name, 0) + 1
+        if not was:
+            out.tags.append((token, holds))
     flush()
-    return tags, blocks
+    return out
 
 
-def _text_tokens(blocks: list[Block]) -> list[str]:
+def _text_tokens(page: Page, blocks: list[Block]) -> list[int]:
     """Of each block the token of its text in its place; equal ones are told apart by their order."""
-    out: list[str] = []
-    seen: dict[str, int] = {}
+    out: list[int] = []
+    seen: dict[tuple[int, str], int] = {}
     for b in blocks:
-        token = f"{b.path[-1] if b.path else ''}={b.text}"
-        seen[token] = k = seen.get(token, 0) + 1
-        out.append(f"{token}#{k}")
+        place = page.tokens[b.container] if b.container >= 0 else 0
+        seen[place, b.text] = k = seen.get((place, b.text), 0) + 1
+        out.append(_hash(f"{place}={b.text}#{k}"))
     return out
 
 
@@ -131,21 +219,17 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
-def _hash(token: str | bytes) -> int:
-    return xxhash.xxh64_intdigest(token) - (1 << 63)
-
-
-def page_tokens(page: str) -> dict[str, list[int]]:
+def page_tokens(html_text: str) -> dict[int, list[int]]:
     """Of each token of a page: its occurrences, 1 if it is a container and 2 if a text, its words, and 1 if running text
     stands directly in it."""
-    tags, blocks = parse(page)
-    blocks = [b for b in blocks if not b.away]
-    seen: dict[str, list[int]] = {}
-    for t, container in tags:
+    page = parse(html_text)
+    blocks = [b for b in page.blocks if not b.away]
+    seen: dict[int, list[int]] = {}
+    for t, container in page.tags:
         seen.setdefault(t, [0, int(container), 1, 0])[0] += 1
-    for b, t in zip(blocks, _text_tokens(blocks), strict=True):
-        if b.path and b.path[-1] in seen and b.text.count(" ") >= SHORT:
-            seen[b.path[-1]][3] = 1
+    for b, t in zip(blocks, _text_tokens(page, blocks), strict=True):
+        if b.container >= 0 and page.tokens[b.container] in seen and b.text.count(" ") >= SHORT:
+            seen[page.tokens[b.container]][3] = 1
         seen[t] = [1, 2, b.text.count(" ") + 1, 0]
     return seen
 
@@ -155,16 +239,18 @@ def templates(pages: DataFrame) -> DataFrame:
     directly in a container on some page.
 
     pages: url, html. A class is the tokens of a host with equal occurrence vectors, that is, with as many occurrences on
-    each page; the vector's digest is the exclusive or over pages of a hash of (page, count). Copies of a page count once."""
+    each page. A vector's digest is the sum over the distinct pages of a hash of (page, count), kept as the sums of the
+    hash's two halves; copies of a page count once. A template holds at most 1 / TEXT_SHARE times the texts and
+    1 / CONTAINER_SHARE times the containers that the host's pages hold on average, so its row is bounded by a page's."""
     lists = [("token", pa.list_(pa.int64())), ("n", pa.list_(pa.int32())), ("kind", pa.list_(pa.int32())), ("words", pa.list_(pa.int32())), ("running", pa.list_(pa.int32()))]
     schema = pa.schema([("host", pa.string()), ("page", pa.int64()), *lists])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: dict[tuple[str, int], np.ndarray] = {}
-            for url, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                seen = page_tokens(page or "")
-                held = np.array([(_hash(t), *s) for t, s in seen.items()], np.int64).reshape(-1, 5)
+            for url, page in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                seen = page_tokens(page.as_py() or "")
+                held = np.array([(t, *s) for t, s in seen.items()], np.int64).reshape(-1, 5)
                 rows.setdefault((host_of(url), _hash(held.tobytes())), held)
             ends = pa.array(np.cumsum([0, *map(len, rows.values())]), pa.int32())
             flat = np.concatenate([*rows.values(), np.zeros((0, 5), np.int64)])
@@ -174,28 +260,35 @@ def templates(pages: DataFrame) -> DataFrame:
     names = [name for name, _ in lists]
     marks = pages.select("url", "html").mapInArrow(run, "host string, page long, token array<long>, n array<int>, kind array<int>, words array<int>, running array<int>")
     marks = marks.groupBy("host", "page").agg(F.first(F.arrays_zip(*names)).alias("tokens")).select("host", "page", F.inline("tokens"))
-    marks = marks.groupBy("host", "token").agg(F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.count("*").alias("pages"), F.max("kind").alias("kind"), F.max("words").alias("words"), F.max("running").alias("running")).filter(F.col("pages") >= SUPPORT)
-    classes = marks.groupBy("host", "vector", "pages").agg(F.sum("words").alias("size"), F.collect_list(F.struct("token", "kind", "running")).alias("tokens")).filter(F.col("size") >= SIZE)
-    # Texts of the template stand on most of the host's pages.
-    kept = F.transform("classes", lambda c: F.filter(c["tokens"], lambda t: (t["kind"] == 1) | ((t["kind"] == 2) & (c["pages"] >= F.col("most") * TEXT_SHARE))))
-    hosts = classes.groupBy("host").agg(F.max("pages").alias("most"), F.collect_list(F.struct("pages", "tokens")).alias("classes"))
-    return hosts.select("host", F.transform(F.flatten(kept), lambda t: F.struct(t["token"].alias("token"), (t["running"] > 0).alias("running"))).alias("template"))
-
-
-def main_text(page: str | None, template: dict[int, bool] | None = None) -> str:
+    h = F.xxhash64("page", "n")
+    marks = marks.groupBy("host", "token").agg(F.sum(F.shiftright(h, 32)).alias("high"), F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"), F.count("*").alias("pages"), F.max("kind").alias("kind"), F.max("words").alias("words"), F.max("running").alias("running")).filter(F.col("pages") >= SUPPORT)
+    vector = Window.partitionBy("host", "high", "low", "pages")
+    valid = marks.withColumn("size", F.sum("words").over(vector)).filter((F.col("size") >= SIZE) & (F.col("kind") > 0))
+    # Texts of the template stand on most of the host's pages, containers on some share of them.
+    most = marks.groupBy("host").agg(F.max("pages").alias("most"))
+    share = F.when(F.col("kind") == 1, CONTAINER_SHARE).otherwise(TEXT_SHARE)
+    valid = valid.join(most, "host").filter(F.col("pages") >= F.col("most") * share)
+    return valid.groupBy("host").agg(F.collect_list(F.struct("token", (F.col("running") > 0).alias("running"))).alias("template"))
+
+
+def main_text(html_text: str | None, template: dict[int, bool] | None = None) -> str:
     """The article of a page, one line a block. template: the tokens of its host's template, and of a container whether
     running text stands directly in it on some of the host's pages."""
-    blocks = [b for b in parse(page or "")[1] if not b.away]
+    page = parse(html_text or "")
+    blocks = [b for b in page.blocks if not b.away]
     if not template:
         marked = any(b.main for b in blocks)
         return "\n".join(b.text for b in blocks if b.main or not marked)
-    known = {c: template.get(_hash(c)) for c in {c for b in blocks for c in b.path}}
-    blocks = [b for b, t in zip(blocks, _text_tokens(blocks), strict=True) if _hash(t) not in template]
+    blocks = [b for b, t in zip(blocks, _text_tokens(page, blocks), strict=True) if t not in template]
     # A block's slot is the innermost template container around it. A slot is of the article if running text stands in it or
     # around it on any page of the host, or on this page; its labels belong to it.
-    slots = [next((c for c in reversed(b.path) if known[c] is not None), "") for b in blocks]
-    running = {s for b, s in zip(blocks, slots, strict=True) if b.text.count(" ") >= SHORT}
-    return "\n".join(b.text for b, s in zip(blocks, slots, strict=True) if b.main or b.heading or s in running or any(known[c] for c in b.path))
+    slot, around = [0], [False]  # by container, shifted by one: what is in none comes first
+    for token, parent in zip(page.tokens, page.parents, strict=True):
+        known = template.get(token)
+        slot.append(slot[parent + 1] if known is None else token)
+        around.append(around[parent + 1] or bool(known))
+    running = {slot[b.container + 1] for b in blocks if b.text.count(" ") >= SHORT}
+    return "\n".join(b.text for b in blocks if b.main or b.heading or slot[b.container + 1] in running or around[b.container + 1])
 
 
 def extract(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

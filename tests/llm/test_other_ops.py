@@ -146,6 +146,71 @@ def test_every_slot_of_a_template_is_kept(spark):
     assert html.main_text(PAGE.replace("{body}", f"<div class=intro><p>One.</p></div><div class=body><p>{rules}</p><p><a href=/x>Two</a></p></div>")) == f"One.\n{rules}\nTwo"
 
 
+def test_what_begins_no_tag_is_text():
+    assert html.main_text("<p>first</p>if a < b then the rest of this text stays") == "first\nif a < b then the rest of this text stays"
+    assert html.main_text("a <b never closed") == "a <b never closed" and html.main_text("1 <2 & 3</ 4") == "1 <2 & 3</ 4"
+    assert html.main_text('<p title="a > b">x</p><p title="open>y</p>') == "x\ny" and html.main_text("a<!-- x > y -->b<script>if (a<b) '</p>'</script>c") == "abc"
+    assert html.main_text("&am<b>p;</b> &lt;p&gt;") == "&amp; <p>"
+
+
+@pytest.mark.parametrize("piece", ["a <b ", "<b ", '<a x=">" ', "<a '\">", "<!-- ", "<svg>x", "<div>", "</div>", '<div class="', '<a "x>', "&lt", "<!x", "<p>x"])
+def test_pages_are_read_in_linear_time(piece):
+    import time
+
+    html.main_text(piece * 100)
+    start = time.perf_counter()
+    html.main_text(piece * (1_000_000 // len(piece)))
+    assert time.perf_counter() - start < 8  # a quadratic scan takes minutes
+
+
+def test_templates_equal_occurrence_vectors(spark):
+    """Classes by explicit vectors over the distinct pages of each host; repeated rows change nothing."""
+    draw = random.Random(11)
+    rows = []
+    for host in "abc":
+        labels = [some_words(draw, 3) for _ in range(4)]
+        for k in range(9):
+            parts = "".join(f"<div class={draw.choice('xyz')}><p>{draw.choice([*labels, some_words(draw, 12)])}</p></div>" for _ in range(draw.randint(1, 5)))
+            rows += [(f"http://{host}/{k}", f"<html><body>{parts}<div class=w><p>{labels[0]}</p></div></body></html>")] * draw.randint(1, 3)
+    want = {}
+    for host in "abc":
+        pages = {}
+        for url, page in rows:
+            if html.host_of(url) == host:
+                pages[tuple(sorted((t, *s) for t, s in html.page_tokens(page).items()))] = html.page_tokens(page)
+        vectors = {t: tuple(p.get(t, [0])[0] for p in pages.values()) for t in {t for p in pages.values() for t in p}}
+        facts = {t: [p[t] for p in pages.values() if t in p] for t in vectors}
+        known = {t for t in vectors if len(facts[t]) >= html.SUPPORT}
+        size = {v: sum(max(f[2] for f in facts[t]) for t in known if vectors[t] == v) for v in set(vectors.values())}
+        most = max(len(facts[t]) for t in known)
+        share = {1: html.CONTAINER_SHARE, 2: html.TEXT_SHARE}
+        want[host] = {(t, any(f[3] for f in facts[t])) for t in known if size[vectors[t]] >= html.SIZE and facts[t][0][1] and len(facts[t]) >= most * share[facts[t][0][1]]}
+    got = html.templates(spark.createDataFrame(rows, "url string, html string").repartition(5)).collect()
+    assert {r.host: {(t.token, t.running) for t in r.template} for r in got} == want and all(want.values())
+
+
+def test_neutral_names_and_repeated_pages(spark):
+    """No name says what is what: repeated texts and slots of labels go by the template, and each row given twice gives
+    the same texts, headings too."""
+    draw = random.Random(12)
+    bodies, want = [], {}
+    for k in range(6):
+        title, one, two = some_words(draw, 4), some_words(draw, 25), some_words(draw, 30)
+        links = "".join(f"<li><a href=/{w}>{w}</a></li>" for w in some_words(draw, 5).split())
+        bodies.append(f"<div class=k1><ul>{links}</ul></div><div class=k2><h2>{title}</h2><p>{one}</p><p>{two}</p></div><div class=k3><p>These words stand at the end of every page of this host</p></div>")
+        want[k] = f"{title}\n{one}\n{two}"
+    rows = [(k, f"http://h.example/{k}", f"<html><body>{b}</body></html>", "e", 1) for k, b in enumerate(bodies)] * 2
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string, template int")
+    got = html.extract(df).collect()
+    assert len(got) == 12 and {(r.page_id, r.text, r.n_chars) for r in got} == {(k, t, len(t)) for k, t in want.items()}
+
+
+def test_deep_and_long_pages():
+    deep = html.main_text("<div>" * 20_000 + "<p>below</p>" + "</div>" * 20_000 + "<p>after</p>")
+    assert deep == "below\nafter"
+    assert html.main_text("<p>" + "word " * 400_000 + "</p>").count("word") == 400_000
+
+
 # ---------------------------------------------------------------- contract queries
 
 
