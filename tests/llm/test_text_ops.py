@@ -335,13 +335,76 @@ def test_find_and_redact_rows(spark, field):
 # ---------------------------------------------------------------- toxicity
 
 
-def test_clause_machine():
-    g = toxicity.Grammar(np.zeros(0, np.uint64), np.zeros(0))
-    insult = g.clause([(5, 1, 2.0)])[0]
-    assert g.clause([(4, 3, 0), (5, 1, 2.0)])[0] > insult > g.clause([(4, 4, 0), (5, 1, 2.0)])[0]
-    assert g.clause([(1, 5, 0), (5, 1, 2.0)])[0] < insult
-    assert g.clause([(5, 1, 2.0), (6, 3, 0)])[0] == g.clause([(4, 3, 0), (5, 1, 2.0)])[0]
-    assert g.clause([(5, 2, 0)]) == (0.0, 0.0) and g.clause([(4, 3, 0), (5, 2, 0)])[1] == 1
+def plain_matches(s):
+    """What a clause's matches are, said without machines."""
+    out = []
+    for i, c in enumerate(s):
+        target = any(x == 3 and abs(i - j) <= 4 for j, x in enumerate(s))
+        if c == 1 or (c == 2 and target):
+            out.append((i, 8 * (c == 2) + target + 2 * any(x == 4 for x in s[max(0, i - 3) : i]) + 4 * (5 in s[:i])))
+    return out
+
+
+def test_composed_machine_equals_path_enumeration():
+    machine, draw = toxicity.grammar_machine(), random.Random(1)
+    parts = [toxicity.lexical(), toxicity.threats(), toxicity.targets(), toxicity.negation(), toxicity.reports()]
+    for _ in range(1500):
+        s = [draw.choice([0, 0, 0, 1, 2, 3, 4, 5]) for _ in range(draw.randint(1, 8))]
+        # Composition: the outputs of one machine are the inputs of the next.
+        chain = [(0.0, s)]
+        for part in parts:
+            chain = [(w + v, out) for w, x in chain for v, out in part.paths(x)]
+        assert sorted(chain) == sorted(machine.paths(s))
+        top = max(w for w, _ in chain)
+        best = machine.best(s)
+        assert (top, best) in chain
+        assert [(k, y - 8) for k, y in enumerate(best) if y >= 8] == plain_matches(s)
+
+
+def folded_features(grammar, *texts):
+    raw = [t.encode() for t in texts]
+    return grammar.features(common.folded(np.frombuffer(b"".join(raw), np.uint8)), np.cumsum([0, *map(len, raw)]))
+
+
+def test_clause_scores_bear_marks():
+    key = toxicity._hash_words(["idiot"])
+    g = toxicity.Grammar(key, np.array([3.0]))
+    label = lambda t: np.flatnonzero(folded_features(g, t)[0][:16]).tolist()
+    assert label("an IDIOT here") == [0] and label("you are such an idiot") == [1] and label("idiot, that is what all of you are") == [0] and label("idiot that you are") == [1]
+    assert label("he isn't an idiot") == [3] and label("no idiot") == label("this isn\u2019t an idiot") == label("ce n'est qu'idiot") == [2]
+    assert label("they said: an idiot") == [5] and label("somebody said an idiot") == [4]
+    assert label("kill the lights") == [] and label("i will kill you") == [9] and label("somebody said kill them") == [13]
+    assert label("nothing to see. at all") == [] and label("not good. an idiot") == [0]
+    # A clause's score adds up, a text's is of all clauses, whatever is around them; far apart words do not meet.
+    one, two, far = folded_features(g, "idiot", "idiot and idiot. An idiot", "you " + "x " * 50 + "idiot")
+    assert np.expm1(two[0]) == pytest.approx(3 * np.expm1(one[0])) and np.expm1(two[16]) == pytest.approx(2 * np.expm1(one[16])) and far[0] == one[0]
+    both = folded_features(g, "idiot", "", "you idiot")
+    assert (both[0] == one).all() and not both[1].any() and both[2][1] > 0
+
+
+def test_marks_change_predictions():
+    """On rows whose labels follow the marks, the weights follow them, and without a mark predictions differ."""
+    g = toxicity.Grammar(toxicity._hash_words(["idiot"]), np.array([3.0]))
+    cases = {"you idiot": 1, "you are not an idiot": 0, "somebody said you idiot": 0, "idiot things": 0, "i will kill you": 1, "she said i will kill you": 0}
+    x = folded_features(g, *cases)
+    y = np.array(list(cases.values()), float)
+    beta = toxicity._logistic(np.repeat(x, 60, axis=0), np.repeat(y, 60))
+    for mark, changed in ((0, False), (toxicity.NEGATED, True), (toxicity.REPORTED, True), (toxicity.TARGETED, True)):
+        model = toxicity.Model(toxicity.Grammar(g.keys, g.weights, mark), beta)
+        raw = [t.encode() for t in cases]
+        p = model.scores(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])) >= 0.5
+        assert ((p != y).any()) == changed, mark
+
+
+def test_toxicity_of_repeated_and_long_rows(spark):
+    rows = [(i, "you stupid fool" if i % 2 else "fine words here", "a") for i in range(60)]
+    docs = documents(spark, rows + rows[:20] + [(100, "fine " * 400_000 + "you stupid fool", "a"), (101, "x" * 1_000_000, "b"), (None, "you stupid fool", None)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] * 2 + [(7, 0), (None, 1), (3, None), (8, 9)], "doc_id bigint, toxic int")
+    model = toxicity.fit(docs, labels)
+    got = toxicity.score(docs.withColumn("score", F.lit("x")), model).collect()
+    assert len(got) == 83 and {(r.doc_id, r.score) for r in got if r.doc_id == 5}.__len__() == 1
+    by = {r.doc_id: r.score for r in got}
+    assert by[1] == by[None] > 0.5 > by[0] and by[100] > by[101]
 
 
 def test_toxicity_on_held_out_rows(spark):
@@ -356,5 +419,7 @@ def test_toxicity_edges(spark):
     docs = documents(spark, [(1, None, "a"), (2, "", "a"), (3, "fine words", "a")])
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
     model = toxicity.fit(docs, none)
-    assert [r.score for r in toxicity.score(docs, model).collect()] == [0.5, 0.5, 0.5]
+    scores = {r.score for r in toxicity.score(docs, model).collect()}
+    assert len(scores) == 1 and max(scores) < 0.5
+    assert toxicity.score(documents(spark, [(1, "i will kill you", "a")]), model).first().score > 0.5
     assert toxicity.score(docs.limit(0), model).count() == 0
