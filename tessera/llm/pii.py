@@ -1,11 +1,13 @@
 """Personal data: base patterns, and spans that a semi-Markov conditional random field adds.
 
-The base patterns find e-mail addresses, IP addresses, card and phone numbers. The field looks at stretches of a text that
-hold digits or a written or spelled at sign, cuts them into tokens and scores whole segments of up to LONGEST tokens by
-features of the segment (digits, groups, separators, checksums, what stands before it). A dynamic program over the bounded
-segments jointly chooses boundaries and kinds; base spans stay as they are, and stretches are cut at them. It is trained by likelihood on stretches whose segments the base patterns
-mark, some of them rewritten in other forms (spelled at signs, phones without a plus sign), and its spans that meet no base
-span are added.
+The base patterns find e-mail addresses, IP addresses, card and phone numbers. The field knows secrets too (keys, tokens and
+passwords of letters and digits). It looks at stretches of a text that hold digits or a written or spelled at sign, cuts them
+into tokens and scores whole segments of up to LONGEST tokens by features of the segment (digits, groups, separators,
+checksums, mix of characters, what stands before it). A dynamic program over the bounded segments jointly chooses boundaries
+and kinds; base spans stay as they are, and stretches are cut at them. It is trained by likelihood on stretches whose
+segments the base patterns mark (secrets: what is assigned to a name such as token or password), some of them rewritten in
+other forms or places (spelled at signs, phones without a plus sign, secrets after other words, digests that are none), and
+its spans that meet no base span are added.
 """
 
 from __future__ import annotations
@@ -20,7 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-KINDS = ("email", "ip", "card", "phone")
+#: The kinds of the base patterns, and that which only the field finds.
+BASE_KINDS = ("email", "ip", "card", "phone")
+SECRET = len(BASE_KINDS)
+KINDS = (*BASE_KINDS, "secret")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
 _HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 # A run of digits matches from its start or not at all: the look-behind keeps long runs linear.
@@ -84,14 +89,25 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 _AT = r"(?:@|[(\[]\s?at\s?[)\]]|\sat\s)"
 _DOT = r"(?:\.|\s?[(\[]\s?dot\s?[)\]]\s?|\sdot\s)"
-#: Stretches that can hold an entity; nothing outside them has a segment.
-STRETCH = re.compile(rf"[A-Za-z0-9._%+-]{{1,64}}\s?{_AT}\s?[A-Za-z0-9-]{{1,63}}(?:{_DOT}[A-Za-z0-9-]{{1,63}}){{1,6}}|[+(]?[0-9](?:[ ().+\-/]{{0,3}}[0-9]){{5,40}}")
+_KEY = r"[A-Za-z0-9+/_=-]"
+#: Stretches that can hold an entity; nothing outside them has a segment. Their lengths are bounded, so that a long text takes
+#: time in proportion to its length: what is longer (a run of digits, a key of more than 512 characters) is seen in pieces.
+STRETCH = re.compile(
+    rf"[A-Za-z0-9._%+-]{{1,64}}\s?{_AT}\s?[A-Za-z0-9-]{{1,63}}(?:{_DOT}[A-Za-z0-9-]{{1,63}}){{1,6}}"
+    rf"|(?<!{_KEY})(?={_KEY}{{0,511}}[0-9])(?={_KEY}{{0,511}}[A-Za-z]){_KEY}{{16,512}}|[+(]?[0-9](?:[ ().+\-/]{{0,3}}[0-9]){{5,40}}"
+)
+#: What training takes for a secret: a key that is assigned to such a name.
+SEED = re.compile(rf"(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|auth[_-]?key)[\"']?\s?[:=]\s?[\"']?(?={_KEY}{{0,511}}[0-9])(?={_KEY}{{0,511}}[A-Za-z])({_KEY}{{16,512}})", re.I)
+#: What is written before secrets, and before digests and numbers that are none.
+BEFORE_SECRET = ("password: ", "secret=", "api_key = '", "Authorization: Bearer ", "access key ")
+BEFORE_DIGEST = ("commit ", "sha256:", "md5 ", "revision ", "build id ", "checksum = ", "at ", "")
 #: What every stretch holds.
 _HINT = re.compile(rf"[0-9]|@|[(\[]\s?at\s?[)\]]|\sat\s\s?[A-Za-z0-9-]{{1,63}}{_DOT}[A-Za-z0-9-]")
-_TOKEN = re.compile(r"[0-9]+|[A-Za-z]+|\s+|.", re.S)
+_TOKEN = re.compile(r"(?=[0-9]*[A-Za-z])(?=[A-Za-z]*[0-9])[A-Za-z0-9]{16,}|[0-9]+|[A-Za-z]+|\s+|.", re.S)
 _CALL = re.compile(r"(?:tel|phone|call|fon|fax|mobile|móvil|tél)\W*$", re.I)
 _GOES_ON = re.compile(rf"{_DOT}[A-Za-z0-9]|[A-Za-z0-9]|[ -]?[0-9]")
-_NUMBER = re.compile(r"(?:token|key|id|no|nr|version|sha|hash|v)\W*$", re.I)
+_NUMBER = re.compile(r"(?:\bid|\bno|\bnr|version|revision|commit|checksum|sha|sha1|sha256|md5|hash|\bv)\W*$", re.I)
+_SECRET = re.compile(r"(?:token|secret|key|passw(?:or)?d|pwd|auth|bearer)\W*$", re.I)
 
 
 def free_stretches(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
@@ -130,21 +146,27 @@ def segment_features(text: str, start: int, end: int) -> list[str]:
     piece = text[start:end]
     digits = "".join(c for c in piece if "0" <= c <= "9")
     groups = re.findall(r"[0-9]+", piece)
-    marks = "".join(sorted(set(re.sub(r"[0-9A-Za-z]", "", piece)))) or "none"
+    marks = "".join(sorted(set(re.sub(r"[0-9A-Za-z]", "", re.sub(r"^[^@]*@|^.*?[(\[\s]at\b", "@", piece))))) or "none"
     before = text[max(0, start - 14) : start]
+    letters = len(re.findall("[A-Za-z]", piece))
     edge = (start > 0 and text[start - 1].isalnum()) or (end < len(text) and text[end].isalnum())
     out = [f"digits={min(len(digits), 20)}", f"groups={min(len(groups), 8)}", f"marks={marks[:6]}", f"first={'+' if piece[0] == '+' else '(' if piece[0] == '(' else 'd' if piece[0].isdigit() else 'a'}"]
-    out.append(f"shape={'-'.join(str(min(len(g), 9)) for g in groups[:6])}" if not re.search("[A-Za-z]", piece) else "letters")
-    if re.search("[A-Za-z]", piece):
-        at = len(re.findall(_AT, piece))
-        out.append(f"at={at}&dots={min(len(re.findall(_DOT, piece)), 4)}")
+    out.append(f"shape={'-'.join(str(min(len(g), 9)) for g in groups[:6])}" if not letters else "letters")
+    if letters and digits and not re.search(r"[^A-Za-z0-9+/_=-]", piece):
+        cases = f"{bool(re.search('[a-z]', piece))}{bool(re.search('[A-Z]', piece))}"
+        out.append(f"key={min(len(piece) // 8, 8)}&{cases}&{'hex' if re.fullmatch('[0-9a-fA-F]+', piece) else 'any'}")
+        out.append(f"key after={bool(_SECRET.search(before))}&{bool(_NUMBER.search(before))}")
+        out.append(f"mixed={min(4 * len(digits) // len(piece), 3)}")
+    elif letters:
+        ats = list(re.finditer(_AT, piece))
+        out.append(f"at={len(ats)}&dots={min(len(re.findall(_DOT, piece[ats[-1].end() :] if ats else piece)), 3)}")
         out.append(f"host={bool(re.search(_AT + r'.*' + _DOT, piece))}")
     elif len(groups) == 4 and piece.count(".") == 3:
         out.append(f"octets={all(int(g[-4:]) <= 255 for g in groups)}")
     if 13 <= len(digits) <= 19:
         out.append(f"luhn={luhn(digits)}")
     out.append(f"goes on={bool(_GOES_ON.match(text, end))}&{start > 0 and text[start - 1] in '@._%+-'}")
-    out += [f"inside={edge}", f"call={bool(_CALL.search(before))}", f"number={bool(_NUMBER.search(before))}", f"closed={piece.count('(') == piece.count(')')}"]
+    out += [f"inside={edge}", f"call={bool(_CALL.search(before))}", f"number={bool(_NUMBER.search(before))}", f"secret={bool(_SECRET.search(before))}", f"closed={piece.count('(') == piece.count(')')}"]
     return out
 
 
@@ -165,7 +187,9 @@ class Lattice:
                 piece = text[self.cuts[i] : self.cuts[j]]
                 if not (last.isalnum() or last == ")") or len(piece) < SHORTEST:
                     continue
-                if sum(c.isdigit() for c in piece) < 4 and not re.search(_AT, piece):
+                if 2 * sum(c.isalnum() for c in piece) < len(piece) and not re.search("[A-Za-z]", piece):
+                    continue
+                if sum(c.isdigit() for c in piece) < 4 and not re.search(_AT, piece) and not (len(piece) >= 16 and re.search("[0-9]", piece)):
                     continue
                 self.segments.append((i, j))
                 self.features.append(segment_features(text, self.cuts[i], self.cuts[j]))
@@ -173,14 +197,22 @@ class Lattice:
 
 
 class Field:
-    """Weights by (kind, feature); a token outside entities scores 0."""
+    """Weights by (feature, kind), the last row for features without one; a token outside entities scores 0."""
+
+    def __init__(self, index: dict[str, int], weights: np.ndarray, bias: np.ndarray):
+        self.index, self.weights, self.bias = index, weights, bias
 
-    def __init__(self, weights: dict[str, np.ndarray], bias: np.ndarray):
-        self.weights, self.bias = weights, bias
+    def rows(self, lattice: Lattice) -> tuple[np.ndarray, np.ndarray]:
+        """The weights' rows of all segments' features, one after the other, and where each segment's begin."""
+        none = len(self.index)
+        flat = np.array([self.index.get(f, none) for fs in lattice.features for f in fs], np.int64)
+        return flat, np.cumsum([0, *(len(fs) for fs in lattice.features[:-1])])
 
-    def scores(self, lattice: Lattice) -> np.ndarray:
-        zero = np.zeros(len(KINDS))
-        return np.array([self.bias + sum((self.weights.get(f, zero) for f in fs), zero) for fs in lattice.features]).reshape(len(lattice.features), len(KINDS))
+    def scores(self, lattice: Lattice, rows: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+        if not lattice.features:
+            return np.zeros((0, len(KINDS)))
+        flat, starts = rows or self.rows(lattice)
+        return self.bias + np.add.reduceat(self.weights[flat], starts, axis=0)
 
     def decode(self, lattice: Lattice) -> list[tuple[int, int, int]]:
         """(kind, start, end) of the best segmentation."""
@@ -234,8 +266,17 @@ def train(texts: list[str], epochs: int = 10, rate: float = 0.5, ridge: float =
         if len(wanted) == len(gold) and all((i, j) in spots for i, j, _ in wanted):
             cases.append((lattice, {(spots[i, j], kind) for i, j, kind in wanted}))
 
+    def spelled(at: str, dot: str):
+        def form(s: str) -> str:
+            local, host = s.split("@")
+            local = draw.choice((local, re.sub("[^A-Za-z]", "", local) or local))
+            host = draw.choice((host, ".".join(host.split(".")[-2:])))
+            return local + at + host.replace(".", dot)
+
+        return form
+
     rewrites = {
-        0: (lambda s: s.replace("@", " [at] "), lambda s: s.replace("@", " (at) ").replace(".", " (dot) "), lambda s: s.replace("@", " at ").replace(".", " dot "), lambda s: s.replace("@", " @ ")),
+        0: (spelled(" [at] ", "."), spelled(" (at) ", " (dot) "), spelled(" [at] ", " [dot] "), spelled(" at ", " dot "), spelled(" @ ", ".")),
         3: (lambda s: re.sub(r"^\+[0-9]+[ -]?", "", s), lambda s: "00" + s[1:], lambda s: re.sub("[ ()]+", "-", s.lstrip("+")).strip("-")),
     }
     for text in texts:
@@ -252,44 +293,58 @@ def train(texts: list[str], epochs: int = 10, rate: float = 0.5, ridge: float =
                 m = next((m for m in STRETCH.finditer(around) if m.start() < b and a < m.end()), None)
                 if m:
                     add(around, [(kind, a, b)], min(a, m.start()), max(b, m.end()))
+        for m in SEED.finditer(text):
+            s, e = m.span(1)
+            if any(a < e and s < b for _, a, b in base):
+                continue
+            base.append((SECRET, s, e))
+            # As it stands, after another word that tells a secret, and as a digest, which is none.
+            cases_here = [(text[max(0, s - 40) : s], True), (draw.choice(BEFORE_SECRET), True), (draw.choice(BEFORE_DIGEST), False)]
+            for left, secret in cases_here:
+                around, a = left + text[s:e] + text[e : e + 20], len(left)
+                add(around, [(SECRET, a, a + e - s)] if secret else [], a, a + e - s)
         spans = [(s, e) for _, s, e in base]
         for m in STRETCH.finditer(text):
             if not any(s < m.end() and m.start() < e for s, e in spans):
                 add(text[max(0, m.start() - 40) : m.end() + 20], [], m.start() - max(0, m.start() - 40), m.end() - max(0, m.start() - 40))
     draw.shuffle(cases)
     cases = [c for c in cases if c[0].segments][:most]
-    field = Field({}, np.zeros(len(KINDS)))
-    squares: dict[str, np.ndarray] = {}
-    bias_squares = np.full(len(KINDS), 1e-6)
-    for _ in range(epochs if cases else 0):
-        for lattice, gold in cases:
-            scores = field.scores(lattice)
-            by_end: dict[int, list[int]] = {}
-            by_start: dict[int, list[int]] = {}
-            for k, (i, j) in enumerate(lattice.segments):
-                by_end.setdefault(j, []).append(k)
-                by_start.setdefault(i, []).append(k)
+    index = {f: k for k, f in enumerate(dict.fromkeys(f for lattice, _ in cases for fs in lattice.features for f in fs))}
+    field = Field(index, np.zeros((len(index) + 1, len(KINDS))), np.zeros(len(KINDS)))
+    squares, bias_squares = np.full(field.weights.shape, 1e-6), np.full(len(KINDS), 1e-6)
+    prepared = []
+    for lattice, gold in cases:
+        by_end: dict[int, list[int]] = {}
+        by_start: dict[int, list[int]] = {}
+        for k, (i, j) in enumerate(lattice.segments):
+            by_end.setdefault(j, []).append(k)
+            by_start.setdefault(i, []).append(k)
+        truth = np.zeros((len(lattice.segments), len(KINDS)))
+        for k, kind in gold:
+            truth[k, kind] = 1
+        flat, starts = field.rows(lattice)
+        owner = np.repeat(np.arange(len(lattice.features)), [len(fs) for fs in lattice.features])
+        used, place = np.unique(flat, return_inverse=True)
+        prepared.append((lattice, truth, by_end, by_start, (flat, starts), owner, used, place))
+    for _ in range(epochs):
+        for lattice, truth, by_end, by_start, rows, owner, used, place in prepared:
+            scores = field.scores(lattice, rows)
             mass = np.logaddexp.reduce(scores, axis=1)
             ahead, behind = [0.0] * (lattice.n + 1), [0.0] * (lattice.n + 1)
             for j in range(1, lattice.n + 1):
                 ahead[j] = _logsum([ahead[j - 1], *(ahead[lattice.segments[k][0]] + mass[k] for k in by_end.get(j, ()))])
             for i in range(lattice.n - 1, -1, -1):
                 behind[i] = _logsum([behind[i + 1], *(behind[lattice.segments[k][1]] + mass[k] for k in by_start.get(i, ()))])
-            for k, (i, j) in enumerate(lattice.segments):
-                grad = -np.exp(np.minimum(ahead[i] + behind[j] - ahead[-1] + scores[k], 0))
-                for g, kind in gold:
-                    if g == k:
-                        grad[kind] += 1
-                if np.abs(grad).max() < 1e-4:
-                    continue
-                bias_squares += grad * grad
-                field.bias = field.bias + rate * grad / np.sqrt(bias_squares)
-                for f in lattice.features[k]:
-                    w = field.weights.setdefault(f, np.zeros(len(KINDS)))
-                    q = squares.setdefault(f, np.full(len(KINDS), 1e-6))
-                    step = grad - ridge * w
-                    q += step * step
-                    w += rate * step / np.sqrt(q)
+            around = np.array([ahead[i] + behind[j] for i, j in lattice.segments]) - ahead[-1]
+            grad = truth - np.exp(np.minimum(around[:, None] + scores, 0))
+            total = grad.sum(axis=0)
+            bias_squares += total * total
+            field.bias = field.bias + rate * total / np.sqrt(bias_squares)
+            step = np.zeros((len(used), len(KINDS)))
+            np.add.at(step, place, grad[owner])
+            step -= ridge * field.weights[used]
+            squares[used] += step * step
+            field.weights[used] += rate * step / np.sqrt(squares[used])
     return field
 
 
@@ -310,15 +365,16 @@ def digest(spans: list[tuple[int, int, int]]) -> str:
 def find(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans), one row per row of docs.
 
-    Counts and the digest are of the base spans, spans holds these and the added ones; offsets are code points. Null and
+    Counts and the digest are of the base spans, spans holds these and the added ones (those of secrets last); offsets are
+    code points. Null and
     empty texts have none (the digest is that of an empty string). Long texts are read whole; repeated rows give equal
     rows; an empty table gives an empty result; other columns are ignored."""
-    names = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"]
+    names = ["doc_id", *(f"n_{k}" for k in BASE_KINDS), "base_sha256", "spans"]
     nothing = hashlib.sha256(b"").hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, sha, spans = [[] for _ in KINDS], [], []
+            counts, sha, spans = [[] for _ in BASE_KINDS], [], []
             for text in batch.column(1):
                 text = text.as_py() or ""
                 base = base_spans(text)
@@ -329,7 +385,7 @@ def find(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(sha, pa.string()), pa.array(spans, pa.string())], names=names)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"doc_id {kind}, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string"
+    schema = f"doc_id {kind}, " + ", ".join(f"n_{k} long" for k in BASE_KINDS) + ", base_sha256 string, spans string"
     return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(run, schema)
 
 

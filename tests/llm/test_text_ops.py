@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 from pathlib import Path
 
@@ -253,6 +254,41 @@ def test_base_spans_equal_the_patterns():
     assert pii.base_spans("x" * 300_000 + "@b.cz " + "1" * 300_000) == [(0, 0, 300_005)]
 
 
+def plain_base(text):
+    """The contract's patterns as they stand, and the tests of their matches."""
+    import re
+
+    out = []
+    for kind, pattern in enumerate((r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")):
+        for m in re.finditer(pattern, text):
+            digits = [int(c) for c in re.sub("[^0-9]", "", m[0])]
+            doubled = sum(d if k % 2 == 0 else sum(divmod(2 * d, 10)) for k, d in enumerate(reversed(digits)))
+            if kind == 0 or (kind == 1 and all(int(x) <= 255 for x in m[0].split("."))) or (kind == 2 and 13 <= len(digits) <= 19 and doubled % 10 == 0) or (kind == 3 and 9 <= len(digits) <= 15):
+                out.append((kind, *m.span()))
+    return out
+
+
+def test_base_spans_of_all_kinds_equal_the_patterns():
+    draw = random.Random(18)
+    for _ in range(6000):
+        text = "".join(draw.choice(["4111 1111 1111 1111", "5500-0000-0000-0004", "+420 601 234 567", "1.2.3.4", "a@b.cz", *"0123456789 -.+()ax@"]) for _ in range(draw.randrange(14)))
+        assert pii.base_spans(text) == plain_base(text), text
+
+
+def test_query_equals_the_patterns_on_the_tables(spark):
+    from tessera.llm import queries
+
+    got = {r.doc_id: r for r in queries.op9_pii(spark, "/root/testdata/sf0.001").collect()}
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    assert len(docs) == len(got)
+    for d in docs:
+        base, r = plain_base(d.text or ""), got[d.doc_id]
+        text = ",".join(f"{pii.KINDS[k]}:{s}:{e}" for k, s, e in sorted(base))
+        assert r.base_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(b[0] == k for b in base) for k in range(4)]
+        assert set(filter(None, text.split(","))) <= set(r.spans.split(","))
+
+
 @pytest.fixture(scope="module")
 def field():
     draw = random.Random(2)
@@ -262,6 +298,48 @@ def field():
     return pii.train(texts)
 
 
+def test_field_on_planted_forms(field):
+    """Segments of forms that no base pattern matches: recall and precision over whole spans."""
+    draw = random.Random(31)
+    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(draw.randint(3, 8)))
+    hits = dict.fromkeys((0, 3, 4), 0)
+    wanted, found, right = dict(hits), 0, 0
+    for _ in range(300):
+        forms = [
+            (0, draw.choice([" [at] ", " (at) "]).join((f"{word()}.{draw.randrange(99)}", f"mail{draw.randrange(9)}.example.com"))),
+            (0, f"{word()} at mail{draw.randrange(9)} dot example dot com"),
+            (3, f"({draw.randrange(100, 999)}) 555-{draw.randrange(1000, 9999)}"),
+            (3, f"001 ({draw.randrange(100, 999)}) 555-{draw.randrange(1000, 9999)}"),
+            (4, f"{draw.getrandbits(160):040x}"),
+            (None, f"{draw.getrandbits(160):040x}"),
+            (None, f"{draw.randrange(10**15, 10**16)}"),
+            (None, f"{draw.randrange(1900, 2030)}-{draw.randrange(10, 13)}-{draw.randrange(10, 29)}"),
+        ]
+        kind, form = draw.choice(forms)
+        left = f"{word()} {word()} " + {4: draw.choice(["token = \"", "password: ", "secret="]), None: draw.choice(["commit ", "sha256:"])}.get(kind, "")
+        text = f"{left}{form} {word()} {word()}"
+        base = pii.base_spans(text)
+        spans = field.extra(text, base)
+        span = (kind, len(left), len(left) + len(form))
+        found += len(spans)
+        if kind is not None and not base:
+            wanted[kind] += 1
+            hits[kind] += span in spans
+            right += span in spans
+    assert all(hits[k] >= 0.9 * wanted[k] > 20 for k in hits), (hits, wanted)
+    assert right >= 0.9 * found, (right, found)
+
+
+def test_field_in_linear_time(field):
+    import time
+
+    for piece in ("mail a.b@c.de and 192.168.0.1 then +1 (017) 555-7713 or 017 555 7713 ", "1", "a1B2", "ab12+/", "joe at ", "1.2.3.", "+1 ("):
+        text = piece * (200_000 // len(piece))
+        start = time.perf_counter()
+        field.extra(text, pii.base_spans(text))
+        assert time.perf_counter() - start < 30, piece
+
+
 def test_field_adds_and_keeps(field):
     text = "write joe [at] mail3.example.com or a@b.cz, call (017) 555-7713"
     base = pii.base_spans(text)
