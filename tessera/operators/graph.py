@@ -2,31 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..lineage import cut_lineage
 
 
+def _star(edges: DataFrame, large: bool) -> DataFrame:
+    """One step of the star algorithm on edges (u, v). Each node's least neighbour comes from a partial aggregate and is
+    joined back, so that a node with very many neighbours is never gathered in one task."""
+    if large:
+        both = edges.union(edges.select("v", "u"))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        moved = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    else:
+        down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+        least = down.groupBy("u").agg(F.min("v").alias("m"))
+        moved = down.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+    return moved.filter("u <> v").distinct()
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(id, root): every node of an edge with the least id of its component; self edges and nulls are ignored.
+    """(id, root): every node of an edge with the least id of its component.
 
-    Labels start as ids. In a round every node takes the least label among its neighbours and itself, then the label's own
-    label (pointer jumping), so that chains of n nodes take about log n rounds. It ends when a round changes nothing."""
-    both = edges.filter(F.col(a) != F.col(b)).select(F.col(a).alias("u"), F.col(b).alias("v"))
-    both = cut_lineage(both.union(both.select("v", "u")).distinct(), "edges")
-    labels = cut_lineage(both.select(F.col("u").alias("id")).distinct().withColumn("root", F.col("id")), "labels")
+    Rows with a null end and self edges are left out; repeated rows count once; an empty table gives an empty result. Large
+    and small star steps alternate, each round is one written table, and chains of n nodes take about log n rounds. It ends
+    when a round leaves count and digest of the edges as they were. Jobs run while the result is built."""
+    nodes = edges.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
+    pairs, mark = cut_lineage(nodes, "edges"), None
     while True:
-        near = both.join(labels.select(F.col("id").alias("v"), F.col("root").alias("r")), "v").groupBy("u").agg(F.min("r").alias("near"))
-        lower = labels.join(near, labels["id"] == near["u"]).select("id", F.least("root", "near").alias("root"), F.col("root").alias("was"))
-        # Hooking: the old root takes the label too, then all jump to their label's label.
-        hook = lower.groupBy(F.col("was").alias("h")).agg(F.min("root").alias("hook"))
-        hooked = lower.join(hook, lower["id"] == hook["h"], "left").select("id", F.least("root", F.coalesce("hook", "root")).alias("root"), "was")
-        jump = hooked.select(F.col("id").alias("j"), F.col("root").alias("to"))
-        after = cut_lineage(hooked.join(jump, hooked["root"] == jump["j"], "left").select("id", F.least("root", F.coalesce("to", "root")).alias("root"), "was"), "labels")
-        labels = after.select("id", "root")
-        if after.filter("root <> was").isEmpty():
-            return labels
+        h = F.xxhash64("u", "v")
+        now = pairs.agg(F.count(F.lit(1)), F.sum(F.shiftright(h, 32)), F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF)))).first()
+        if now == mark or not now[0]:
+            return pairs.select(F.col("u").alias("id"), F.col("v").alias("root")).union(pairs.select("v", "v")).distinct()
+        mark = now
+        pairs = cut_lineage(_star(_star(pairs, True), False), "edges")
 
 
 def canonical_members(members: DataFrame, component: str, key: str, ts: str) -> DataFrame:
@@ -49,7 +59,3 @@ def cluster_stats(edges: DataFrame, members: DataFrame, roots: DataFrame, pct: C
 def leader_of(nodes: DataFrame, roots: DataFrame, key: str) -> DataFrame:
     """nodes with canonical: the component's least id, or the node itself if it has no edge."""
     return nodes.join(roots.select(F.col("id").alias(key), F.col("root")), key, "left").withColumn("canonical", F.coalesce("root", key)).drop("root")
-
-
-def first_in_window(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_n = 1").drop("_n")
