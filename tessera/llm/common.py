@@ -2,42 +2,13 @@
 
 from __future__ import annotations
 
-import atexit
-import uuid
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
-
-from tessera.lineage import checkpoint_root
-
-_WRITTEN: list[tuple[SparkSession, str]] = []
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as Parquet into the shared folder and reads it back: lineage ends there and lost executors lose nothing."""
-    spark = df.sparkSession
-    path = f"{checkpoint_root(spark).rstrip('/')}/tessera-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _WRITTEN.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def clear_stored(spark: SparkSession | None = None) -> None:
-    """Deletes the tables that stored() wrote; results that still read them end with it."""
-    for owner, path in list(_WRITTEN):
-        if spark is not None and owner is not spark:
-            continue
-        _WRITTEN.remove((owner, path))
-        try:
-            jvm = owner.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(owner.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # noqa: BLE001  the session may be gone at exit
-            pass
 
+from tessera.lineage import cut_lineage
 
-atexit.register(clear_stored)
+#: Writes a table into the shared folder and reads it back.
+stored = cut_lineage
 
 
 # ---------------------------------------------------------------- Arrow text buffers

@@ -7,7 +7,8 @@ one contiguous slice of it.
 
 Equal shingle sets collapse into one class before banding, so that a group of exact copies is one row whatever its size.
 A band's bucket is first compared with its smallest member alone (a star), which links a group of near copies with as many
-comparisons as it has members. Whatever a star leaves apart is compared in blocks of bounded size.
+comparisons as it has members. Where a star leaves a bucket's members apart, those outside of its largest component are
+compared with all others, in blocks of bounded size.
 
 Recall: a pair of similarity s shares no band with probability (1 - s**ROWS)**BANDS, at 0.8 about 1e-7. A pair that shares
 a band is confirmed on its full shingle sets, held as 64-bit hashes.
@@ -22,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.graph import connected_components
 from .common import jaccard_counts, keyed_groups, mix64, shingle_sets, stored, text_slices
-from .graph import components
 
 CIRCLE_BITS = 20
 BANDS, ROWS = 30, 4
@@ -198,14 +199,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shingles, or its whole word sequence if it is shorter. Texts with 100 * intersection >= percent * union are linked, and
     component_id is the least id that links reach. class_id is the least id with an equal set.
 
-    A null, empty or blank text has n_shingles 0 and stands alone. A null id links nothing, is kept and has a null
+    Ids are longs or what casts to one; another id is an error. Jobs run while the result is built. A null, empty or blank
+    text has n_shingles 0 and stands alone. A null id links nothing, is kept and has a null
     component. Rows that share an id are one node, and all of its rows get the same component. An empty table gives an
     empty result. Other columns of docs are ignored."""
     sketches = stored(sketch(docs, id_col, text_col, width, bands, rows), "sketch")
     linked = sketches.filter("n_shingles > 0 and id is not null")
     classes = stored(linked.groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "classes")
     spread = classes.select("rep", "n", F.explode("bands").alias("bucket"))
-    buckets = spread.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("mass")).filter("size > 1")
+    buckets = spread.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("size")).filter("size > 1").select("bucket", "hub")
     in_buckets = stored(spread.join(buckets, "bucket"), "buckets")
     pairs = stored(in_buckets.filter("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
     involved = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
@@ -217,13 +219,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     same = linked.select("id", "d1", "d2").join(classes.select("d1", "d2", "rep"), ["d1", "d2"]).filter("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     ids_again = linked.groupBy("id").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select(F.col("id").alias("a"))
     links = stored(links.union(same.join(ids_again, "a", "left_semi")), "links")
-    first = components(links, "stars")
+    first = connected_components(links)
 
-    comp = in_buckets.select("bucket", "rep", "n", "size", "mass").join(first.select(F.col("id").alias("rep"), "root"), "rep", "left").withColumn("comp", F.coalesce("root", "rep")).drop("root")
+    comp = in_buckets.select("bucket", "rep", "n").join(first.select(F.col("id").alias("rep"), "root"), "rep", "left").withColumn("comp", F.coalesce("root", "rep")).drop("root")
     comp = stored(comp, "bucket-components")
-    apart = comp.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y").select("bucket")
-    open_rows = comp.join(apart, "bucket").withColumn("blocks", F.greatest(F.lit(1), F.ceil(F.greatest(F.col("size") / BLOCK_MEMBERS, F.col("mass") / BLOCK_SHINGLES))).cast("long"))
-    open_rows = open_rows.withColumn("block", F.expr("pmod(xxhash64(rep), blocks)")).withColumn("other", F.explode(F.expr("sequence(0l, blocks - 1)")))
+    # Buckets with members of several components are open. The members of a bucket's largest component are compared with the
+    # others alone: they are dealt to blocks once for each block of the others, so that a large group with few others in
+    # its buckets costs no more than its size.
+    per = comp.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("m"))
+    apart = per.groupBy("bucket").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("k", "comp", "m")).alias("most"), F.sum("k").alias("size"), F.sum("m").alias("mass")).filter("comps > 1")
+    blocks = lambda k, m: F.ceil(F.greatest(k / BLOCK_MEMBERS, m / BLOCK_SHINGLES)).cast("long")
+    apart = apart.select("bucket", F.col("most.comp").alias("major"), blocks(F.col("most.k"), F.col("most.m")).alias("x"), blocks(F.col("size") - F.col("most.k"), F.col("mass") - F.col("most.m")).alias("y"))
+    open_rows = comp.select("bucket", "rep", "n", "comp").join(apart, "bucket").withColumn("major", F.col("comp") == F.col("major"))
+    open_rows = open_rows.withColumn("block", F.when(F.col("major"), F.expr("pmod(xxhash64(rep), x)")).otherwise(F.col("x") + F.expr("pmod(xxhash64(rep), y)")))
+    open_rows = open_rows.withColumn("other", F.explode(F.when(F.col("major"), F.expr("sequence(x, x + y - 1)")).otherwise(F.expr("sequence(0l, x + y - 1)"))))
     open_rows = open_rows.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", F.col("rep").alias("id"), "comp", "n")
     facts = _fingerprints(texts, width).join(classes.select(F.col("rep").alias("id"), "n", "bands"), "id").select("id", "bands", "low")
     members = open_rows.join(facts, "id").filter(F.array_contains("bands", F.col("bucket"))).select("bucket", "i", "j", "block", "id", "comp", "n", "bands", "low")
@@ -231,7 +240,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     root_of = first.select(F.col("id"), "root")
     more = more.join(root_of.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a", "left").join(root_of.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b", "left")
     more = more.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
-    second = components(more, "across").select(F.col("id").alias("root"), F.col("root").alias("top"))
+    second = connected_components(more).select(F.col("id").alias("root"), F.col("root").alias("top"))
 
     reps = classes.select("d1", "d2", "rep").join(first.select(F.col("id").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     reps = reps.join(second, "root", "left").select("d1", "d2", F.col("rep").alias("class_id"), F.coalesce("top", "root").alias("component_id"))
