@@ -148,74 +148,100 @@ def dual_search(queries: CoverTree, query_ids: np.ndarray, data: CoverTree, ids:
         pending += [(c, nodes) for c in queries.children[q] if c not in small]
 
 
+#: Norm of a quantised vector from which on products could pass 2**53, where 64-bit floats stop to be exact.
+LARGEST_NORM = 2.0**26
+
+
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, factor: int = 256) -> DataFrame:
     """(vec_id, dim, v): floor(factor * x) of every component as 64-bit floats. Rows with a null id, a null or empty vector
-    or a null or non-finite component are left out."""
+    or a null or non-finite component are left out. A vector of norm 2**26 or more is an error: its products could be
+    beyond what 64-bit floats hold exactly, and a rounded score is no score."""
     schema = pa.schema([("vec_id", pa.int64()), ("dim", pa.int64()), ("v", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: tuple[list, list, list] = ([], [], [])
-            for i, v in zip(batch.column(0), batch.column(1), strict=True):
-                if not (i.is_valid and v.is_valid) or len(v) == 0 or v.values.null_count:
-                    continue
-                x = np.floor(factor * v.values.to_numpy(zero_copy_only=False).astype(np.float64))
-                if np.isfinite(x).all():
-                    out[0].append(i.as_py())
-                    out[1].append(len(x))
-                    out[2].append(x.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())], schema=schema)
+            ids, lists = batch.column(0), batch.column(1)
+            lengths = np.where(np.asarray(lists.is_valid()), np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False).astype(float)), 0).astype(np.int64)
+            flat = lists.flatten()  # null lists have no part in it
+            x = np.floor(factor * np.where(np.asarray(flat.is_valid()), flat.to_numpy(zero_copy_only=False), np.nan).astype(np.float64))
+            ends = np.cumsum(lengths)
+            bad = np.concatenate([[0], np.cumsum(~np.isfinite(x))])
+            use = np.flatnonzero(np.asarray(ids.is_valid()) & (lengths > 0) & (bad[ends] == bad[ends - lengths]))
+            square = np.concatenate([[0.0], np.cumsum(np.where(np.isfinite(x), x, 0.0) ** 2)]) if np.abs(np.nan_to_num(x, posinf=0, neginf=0)).max(initial=0) < LARGEST_NORM else None
+            raw = x.tobytes()
+            rows = [raw[8 * (ends[k] - lengths[k]) : 8 * ends[k]] for k in use.tolist()]
+            norms = np.sqrt(square[ends] - square[ends - lengths])[use] if square is not None else np.array([np.sqrt((np.frombuffer(r) ** 2).sum()) for r in rows])
+            if (norms >= LARGEST_NORM).any():
+                raise ValueError(f"a vector of norm 2**26 or more: id {ids[int(use[int(norms.argmax())])].as_py()}")
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(use)).cast(pa.int64()), pa.array(lengths[use]), pa.array(rows, pa.binary())], schema=schema)
 
     return vectors.select(F.col(id_col).cast("long"), F.col(vector_col)).mapInArrow(run, "vec_id long, dim long, v binary")
 
 
+def _block_search(data: DataFrame, rows: list, k: int, number: int) -> DataFrame:
+    """(query_id, key, vec_id, score): each task's best rows of data for one block of queries, whose trees go to the tasks."""
+    trees: dict[int, CoverTree] = {}
+    ids_of: dict[int, np.ndarray] = {}
+    for dim in sorted({r["dim"] for r in rows}):
+        own = [r for r in rows if r["dim"] == dim]
+        ids_of[dim] = np.array([r["vec_id"] for r in own], np.int64)
+        trees[dim] = CoverTree(np.frombuffer(b"".join(bytes(r["v"]) for r in own), np.float64).reshape(len(own), dim))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = {d: Best(len(t.x), k) for d, t in trees.items()}
+        held: dict[int, tuple[list, list, int]] = {}
+
+        def search(dim: int) -> None:
+            ids, raw, _ = held.pop(dim)
+            x = np.concatenate(raw)
+            dual_search(trees[dim], ids_of[dim], CoverTree(x), np.concatenate(ids), best[dim])
+
+        for batch in batches:
+            dims, ids = batch.column(1).to_numpy(), batch.column(0).to_numpy()
+            for dim in np.unique(dims).tolist():
+                if dim not in trees:
+                    continue
+                use = np.flatnonzero(dims == dim)
+                column = batch.column(2).take(pa.array(use))
+                start, end = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset)[[0, -1]] if len(column) else (0, 0)
+                x = np.frombuffer(column.buffers()[2], np.uint8)[start:end].view(np.float64).reshape(len(use), dim)
+                for a in range(0, len(use), TREE_ROWS):
+                    own, raw, n = held.setdefault(dim, ([], [], 0))
+                    own.append(ids[use[a : a + TREE_ROWS]])
+                    raw.append(x[a : a + TREE_ROWS])
+                    held[dim] = (own, raw, n + len(own[-1]))
+                    if held[dim][2] >= TREE_ROWS:
+                        search(dim)
+        for dim in list(held):
+            search(dim)
+        for dim, b in best.items():
+            q, place = np.nonzero(b.score > -np.inf)
+            # Queries of one id and different vectors are told apart by block, length and place.
+            key = pa.array([f"{number}.{dim}.{x}" for x in q.tolist()], pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(ids_of[dim][q]), key, pa.array(b.id[q, place]), pa.array(b.score[q, place].astype(np.int64))], names=["query_id", "key", "vec_id", "score"])
+
+    return data.mapInArrow(run, "query_id long, key string, vec_id long, score long")
+
+
 def top_k(data: DataFrame, queries: DataFrame, k: int = 5, block: int = QUERY_BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k best rows of data by inner product, equal scores by smaller vec_id.
 
     Both are quantised() tables, and only vectors of one length are compared. A row with the query's id is its own and no
     candidate. Repeated data rows count each; queries with equal id and vector are one. Fewer candidates than k give fewer
-    ranks; empty tables give an empty result. Products are exact as long as they stay below 2**53."""
+    ranks; empty tables give an empty result. The stated queries are met with all rows block by block: the driver holds one
+    block's trees at a time, and each block's pass over the data is done and written before the next one's begins."""
+    order = Window.partitionBy("query_id", "key").orderBy(F.desc("score"), "vec_id")
     queries = queries.select("vec_id", "dim", "v").distinct()
-    n = queries.count()
-    blocks = max(1, -(-n // block))
+    blocks = max(1, -(-queries.count() // block))
+    if blocks > 1:
+        queries = stored(queries.withColumn("b", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks))), "queries")
     parts = None
     for number in range(blocks):
-        rows = queries.filter(F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)) == number).orderBy("vec_id", "v").collect()
-        by_dim: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for dim in sorted({r["dim"] for r in rows}):
-            own = [r for r in rows if r["dim"] == dim]
-            by_dim[dim] = (np.array([r["vec_id"] for r in own], np.int64), np.frombuffer(b"".join(bytes(r["v"]) for r in own), np.float64).reshape(len(own), dim))
-
-        def run(batches: Iterator[pa.RecordBatch], by_dim: dict = by_dim, number: int = number) -> Iterator[pa.RecordBatch]:
-            trees = {d: CoverTree(x) for d, (_, x) in by_dim.items()}
-            best = {d: Best(len(x), k) for d, (_, x) in by_dim.items()}
-            held: dict[int, tuple[list, list]] = {}
-
-            def search(dim: int) -> None:
-                ids, raw = held.pop(dim)
-                x = np.frombuffer(b"".join(raw), np.float64).reshape(len(raw), dim)
-                dual_search(trees[dim], by_dim[dim][0], CoverTree(x), np.array(ids, np.int64), best[dim])
-
-            for batch in batches:
-                for i, dim, v in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    if dim not in trees:
-                        continue
-                    ids, raw = held.setdefault(dim, ([], []))
-                    ids.append(i)
-                    raw.append(v)
-                    if len(ids) == TREE_ROWS:
-                        search(dim)
-            for dim in list(held):
-                search(dim)
-            for dim, b in best.items():
-                q, place = np.nonzero(b.score > -np.inf)
-                keys = np.array([number * block * 4 + int(x) for x in q], np.int64) * 4096 + dim % 4096
-                yield pa.RecordBatch.from_arrays([pa.array(by_dim[dim][0][q]), pa.array(keys), pa.array(b.id[q, place]), pa.array(b.score[q, place].astype(np.int64))], names=["query_id", "key", "vec_id", "score"])
-
-        part = data.mapInArrow(run, "query_id long, key long, vec_id long, score long")
-        parts = part if parts is None else parts.unionByName(part)
-    order = Window.partitionBy("query_id", "key").orderBy(F.desc("score"), "vec_id")
-    return parts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        rows = (queries.filter(F.col("b") == number) if blocks > 1 else queries).orderBy("vec_id", "v").collect()
+        found = _block_search(data, rows, k, number).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        found = stored(found, "found") if blocks > 1 else found
+        parts = found if parts is None else parts.unionByName(found)
+    return parts
 
 
 def search_all(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 50, k: int = 5) -> DataFrame:
