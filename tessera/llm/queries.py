@@ -40,8 +40,8 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").filter("conv_id is not null")
     probe = "<|im_end|><|im_start|>assistant ok"
     extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(probe).alias("text"))
-    # Turns make a chain: each message answers the one before it.
-    order = Window.partitionBy("conv_id").orderBy("turn", F.coalesce("role", F.lit("")), F.coalesce("text", F.lit("")))
+    # Turns make a chain: each message answers the one before it; rows without a turn come last.
+    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_last(), F.coalesce("role", F.lit("")), F.coalesce("text", F.lit("")))
     nodes = rows.unionByName(extra).withColumn("node", F.row_number().over(order).cast("long"))
     nodes = nodes.select("conv_id", "node", F.when(F.col("node") > 1, F.col("node") - 1).alias("parent"), "role", "text", F.lit(0.0).alias("score"))
     chats = chat.format_chats(nodes)
