@@ -29,7 +29,7 @@ BLOCK_TOKENS = 1 << 16
 _BLOCK_SCHEMA = pa.schema([("file", pa.string()), ("block", pa.int64()), ("tokens", pa.binary())])
 #: Characters that are encoded at once; a longer text is encoded in pieces that end before a space after a letter or digit.
 PIECE = 1 << 18
-_ENCODERS: dict[int, tiktoken.Encoding] = {}
+_ENCODERS: dict[int, tiktoken.Encoding] = {}  # by the vocabulary's content
 
 
 def load_vocabulary(path: str = VOCABULARY) -> dict[bytes, int]:
@@ -38,7 +38,7 @@ def load_vocabulary(path: str = VOCABULARY) -> dict[bytes, int]:
 
 
 def _encoder(ranks: dict[bytes, int]) -> tiktoken.Encoding:
-    key = len(ranks)
+    key = hash(frozenset(ranks.items()))
     if key not in _ENCODERS:
         _ENCODERS[key] = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
     return _ENCODERS[key]
@@ -63,6 +63,9 @@ def token_blocks(docs: DataFrame, id_col: str, text_col: str, ranks: dict[bytes,
 
     ids names the documents whose separators stand in the block, in order; the scan does not look at it."""
     dtype = {2: "<u2", 4: "<u4"}[width]
+    largest = max([separator, *ranks.values()])
+    if largest >> (8 * width):
+        raise ValueError(f"ids up to {largest} do not fit into {width} bytes")
     kind = docs.schema[id_col].dataType.simpleString()
     names = ["file", "block", "tokens", "ids"]
 
