@@ -2,7 +2,7 @@
 
 A test item may stand in a document with up to an error budget of edits. Cut into one piece more than that, at least one
 piece stands unharmed: exact hits of pieces, found by one automaton over all of them, give the places, and Myers'
-bit-parallel distance verifies each.
+bit-parallel distance verifies each. An item too short for any edit has to stand there as whole words.
 """
 
 from __future__ import annotations
@@ -95,6 +95,9 @@ class Items:
                 if begin in done:
                     continue
                 done.add(begin)
+                whole = (begin <= 0 or text[begin - 1] == " ") and text[begin + len(item) : begin + len(item) + 1] in ("", " ")
+                if not budget and not whole:
+                    continue
                 if text.startswith(item, max(begin, 0)) and begin >= 0:
                     found[key] = (0, begin, begin + len(item))
                     continue
@@ -125,7 +128,8 @@ def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, limit: int = B
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", bytes_per_edit: int = BYTES_PER_EDIT) -> DataFrame:
     """(doc_id, item_id, edits): every item that a document holds within its budget of edits, with the fewest edits.
 
-    Texts are compared in lower case, with every run of other characters than letters and digits as one space. Null, empty
+    Texts are compared in lower case, with every run of other characters than letters and digits as one space. An item of
+    fewer than bytes_per_edit bytes matches whole words only ("cat" is not in "concatenate"). Null, empty
     and wordless items match nothing, null and empty documents hold nothing. Items with equal texts match alike; of items
     that share an id, any may match. Rows of docs are searched one by one, so repeated rows repeat in the result. Long texts
     are searched whole. Empty tables give an empty result; other columns are ignored."""

@@ -54,9 +54,64 @@ def test_search_in_several_blocks(spark):
     assert key(one) == key(many) and one.count() == 150
 
 
+def test_vectors_of_all_kinds_and_too_large_ones(spark):
+    draw = np.random.default_rng(5)
+    rows = [(int(i), draw.normal(size=d).tolist()) for i, d in enumerate(draw.integers(1, 4, 400))] + [(7, None), (8, []), (9, [float("inf"), 1.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(6)
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in covertree.search_all(df).collect()}
+    want = {}
+    for q, x in rows[:400:50]:
+        fit = [(i, int(np.floor(256 * np.array(x)) @ np.floor(256 * np.array(y)))) for i, y in rows[:400] if i != q and len(y) == len(x)]
+        want |= {(q, k): m for k, m in enumerate(sorted(fit, key=lambda m: (-m[1], m[0]))[:5], 1)}
+    assert got == want
+    for big in ([3e5, 0.0], [1e300, 1.0]):
+        with pytest.raises(Exception, match="norm 2"):
+            covertree.search_all(spark.createDataFrame([(0, big), (1, [1.0, 1.0])], "vec_id bigint, embedding array<double>")).collect()
+
+
 # ---------------------------------------------------------------- chat
 
 
+def test_best_paths_equal_enumeration(spark):
+    draw = random.Random(21)
+    rows = []
+    for conv in range(30):
+        for node in range(1, draw.randint(2, 25)):
+            rows.append((conv, node, draw.randrange(node) if node > 1 and draw.random() < 0.9 else None, "user", f"t{node}", float(draw.randint(-3, 3))))
+    twice = rows + rows[:40] + [(0, 1, None, "zzz", "later row of a node", 0.0)]
+    df = spark.createDataFrame(twice, "conv_id bigint, node bigint, parent bigint, role string, text string, score double")
+    got = {(r.conv_id, r["rank"]): (r.leaf, [t.text for t in r.t]) for r in chat.format_chats(df, top=3).select("conv_id", "rank", "leaf", chat.read_turns(F.col("formatted")).alias("t")).collect()}
+    want = {}
+    for conv in range(30):
+        at = {n: (p, x) for c, n, p, _, _, x in rows if c == conv}
+        paths = []
+        for leaf in at.keys() - {p for p, _ in at.values()}:
+            path = [leaf]
+            while at[path[-1]][0] in at:
+                path.append(at[path[-1]][0])
+            paths.append((-sum(at[n][1] for n in path), leaf, [f"t{n}" for n in reversed(path)]))
+        want |= {(conv, k): (leaf, texts) for k, (_, leaf, texts) in enumerate(sorted(paths)[:3], 1)}
+    assert got == want
+
+
+def test_many_leaves_on_a_long_chain(spark):
+    """Only the chosen path is enumerated, however many leaves hang on a chain."""
+    nodes = [(1, k, k - 1 if k > 1 else None, 0.0) for k in range(1, 201)] + [(1, 1000 + k, 200, float(k)) for k in range(300)]
+    df = spark.createDataFrame([(*n[:3], "user", str(n[1]), n[3]) for n in nodes], "conv_id bigint, node bigint, parent bigint, role string, text string, score double")
+    r = chat.format_chats(df).select("leaf", F.size(chat.read_turns(F.col("formatted"))).alias("n")).collect()
+    assert [(x.leaf, x.n) for x in r] == [(1299, 201)]
+
+
+def test_null_turns_come_last_as_in_the_sql(spark, duck, tmp_path):
+    rows = [(1, None, "user", "last"), (1, 0, "user", "first"), (1, 1, "assistant", None), (1, 1, None, "tie"), (1, None, "assistant", "also last"), (None, 0, "user", "gone"), (2, 0, "assistant", "<|im_start|>" * 50_000), (2, 0, "assistant", "<|im_start|>" * 50_000)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "conv_id bigint, turn bigint, role string, text string, node string")
+    df.coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
+    plain = lambda df: sorted(tuple(map(str, row)) for row in df[sorted(df.columns)].values.tolist())
+    assert plain(queries.QUERIES["op6_chat_format"](spark, str(tmp_path)).toPandas()) == plain(con.execute(chat.ORACLE).fetchdf())
+
+
 def test_reply_tree(spark):
     rows = [(1, 1, None, "system", "s", 0.0), (1, 2, 1, "user", "<|im_end|> <\\| <\\\\| é\n", 1.0), (1, 3, 2, "assistant", "good <|", 5.0), (1, 4, 2, "assistant", "bad", -1.0), (1, 5, 4, "user", "x", 0.5), (2, 1, None, None, None, None), (3, 1, 2, "user", "ring", 0.0), (3, 2, 1, "user", "ring", 0.0), (4, 1, 99, "user", "orphan", 0.0), (None, 1, None, "user", "q", 0.0), (5, None, None, "user", "q", 0.0)]
     df = spark.createDataFrame([(*r, "z") for r in rows], "conv_id bigint, node bigint, parent bigint, role string, text string, score double, formatted string")

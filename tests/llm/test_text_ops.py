@@ -59,6 +59,22 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, width):
     assert got[300].n_shingles == got[301].n_shingles == got[302].n_shingles == 0 and got[303].n_shingles == 1
 
 
+def test_near_duplicates_with_large_ids_and_outliers(spark, monkeypatch):
+    """Ids near 2**62, and one group of near copies large enough for several blocks, with few that a star leaves apart."""
+    monkeypatch.setattr(minhash, "BLOCK_MEMBERS", 16)
+    draw = random.Random(77)
+    base, top = [f"w{k}" for k in range(60)], 2**62
+    rows = []
+    for i in range(150):
+        w = list(base)
+        for _ in range(draw.choice([0, 1, 1, 2, 5, 6])):
+            w[draw.randrange(60)] = f"v{draw.randrange(10**6)}"
+        rows.append((top - 3 * i, " ".join(w)))
+    df = spark.createDataFrame([(i, t, "k", t) for i, t in rows], "doc_id bigint, text string, kept string, band string")
+    got = {r.id: r.component_id for r in minhash.near_duplicates(df, width=2).collect()}
+    assert got == brute_components(rows, 2, 80)
+
+
 def test_near_duplicates_of_nothing_and_null_ids(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string")
     assert minhash.near_duplicates(empty).count() == 0
@@ -123,6 +139,17 @@ def test_separator_scan(spark, block, tmp_path):
     assert got == {"a.bin": list(enumerate(lengths)), "b.bin": [(0, 2), (1, 2)]}
 
 
+def test_vocabularies_of_one_size_and_width(spark):
+    ranks = {bytes([k]): k for k in range(256)}
+    one, other = {**ranks, b"ab": 256}, {**ranks, b"cd": 256}
+    assert len(tokens.encode(tokens._encoder(one), "abab")) == 2 and len(tokens.encode(tokens._encoder(other), "abab")) == 4
+    df = spark.createDataFrame([(1, "x")], "doc_id bigint, text string")
+    with pytest.raises(ValueError):
+        tokens.token_blocks(df, "doc_id", "text", one, separator=70_000)
+    wide = tokens.token_blocks(df.withColumn("tokens", F.lit(1)), "doc_id", "text", one, separator=70_000, width=4)
+    assert [r.n_tokens for r in tokens.separator_scan(wide, 70_000, 4).collect()] == [1]
+
+
 def test_count_tokens_equals_encoding(spark, monkeypatch):
     monkeypatch.setattr(tokens, "PIECE", 500)
     long = " ".join(f"word{k} und" for k in range(2000))
@@ -159,7 +186,7 @@ def test_myers_equals_the_table():
 def test_matches_equal_brute_force(spark):
     draw = random.Random(5)
     word = lambda: "".join(draw.choice("abcdef") for _ in range(draw.randint(2, 7)))
-    items = [(k, " ".join(word() for _ in range(draw.randint(4, 30)))) for k in range(12)] + [(50, None), (51, ""), (52, "!!"), (53, "tiny")]
+    items = [(k, " ".join(word() for _ in range(draw.randint(4, 30)))) for k in range(12)] + [(50, None), (51, ""), (52, "!!"), (53, "tiny"), (54, "ab")]
     docs = []
     for i in range(60):
         text = [word() for _ in range(40)]
@@ -169,19 +196,23 @@ def test_matches_equal_brute_force(spark):
                 planted[draw.randrange(len(planted))] = draw.choice("abcdef")
             text.insert(20, "".join(planted).upper() if i % 3 else "".join(planted).replace(" ", ",  "))
         docs.append((i, " ".join(text)))
-    docs += [(100, None), (101, ""), (102, "x tiny y"), (1, docs[1][1])]
+    docs += [(100, None), (101, ""), (102, "x tiny y"), (103, "destiny tinyest"), (104, "zz ab, x"), (105, "long " * 200_000 + items[2][1]), (1, docs[1][1])]
     norm = lambda t: next(iter(decontaminate.normalised(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))))
     want = set()
     for i, t in docs:
         for k, x in items:
-            if t and x and norm(x) and plain_distance(norm(x), norm(t)) <= len(norm(x)) // 20:
+            if i == 105:
+                continue
+            if t and x and norm(x) and plain_distance(norm(x), norm(t)) <= len(norm(x)) // 20 and (len(norm(x)) >= 20 or f" {norm(x)} " in f" {norm(t)} "):
                 want.add((i, k, plain_distance(norm(x), norm(t))))
     d = spark.createDataFrame([(i, t, 1) for i, t in docs], "doc_id bigint, text string, item_id int")
     b = spark.createDataFrame(items, "item_id bigint, text string")
     got = {(r.doc_id, r.item_id, r.edits) for r in decontaminate.matches(d, b).collect()}
+    assert (105, 2, 0) in got
+    got = {m for m in got if m[0] != 105}
     assert got == want and len({i for i, _, _ in want}) > 20
     kept = {r.doc_id for r in decontaminate.clean(d, b).collect()}
-    assert kept == {i for i, _ in docs} - {i for i, _, _ in want}
+    assert kept == {i for i, _ in docs} - {i for i, _, _ in want} - {105}
     assert decontaminate.matches(d, b.limit(0)).count() == 0 and decontaminate.clean(d.limit(0), b).count() == 0
 
 
