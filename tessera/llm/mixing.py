@@ -2,8 +2,10 @@
 
 Each source's documents are shuffled by a seeded digest of their id and queued twice, one pass after the other. A copy's
 virtual finish time is its source's cumulative tokens over the source's target; the copies with the earliest finish times
-fill the budget. Prefix sums run over buckets of the digest, and the cut is found on a grid of finish times, so that no
-source, however large, passes through one task.
+fill the budget. Prefix sums run over buckets of the digest, so that no source, however large, passes through one task. The
+cut is where a global sort by finish time would reach the budget: the ranges of that sort are the cells of a grid of finish
+times, whose sums tell the cell of the cut, and within that cell the copies are sorted one by one. So the copies taken are
+those that a range sort and its truncation take, without moving the rest.
 """
 
 from __future__ import annotations
@@ -42,14 +44,15 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     return t.select("source", "source_size", F.when(F.col("is_full") | line.isNull(), F.col("most")).otherwise(F.col("w") * line).alias("target"), "budget")
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, seed: str = SEED) -> DataFrame:
-    """(id, source, size, source_size, target, taken, copies, first_finish), one row per row of docs.
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, seed: str = SEED, row_col: str | None = None) -> DataFrame:
+    """(id, source, size, source_size, target, taken, copies, first_finish), one row per row of docs; with row_col also row,
+    the value of that column (rows with equal ids, sizes and sources are queued by it).
 
     size counts runs of characters other than \\x20 and \\x09-\\x0D (null text: 0). taken is size times the copies that
     the mix takes, 0 to 2. A null source is a source of its own, last in order. Rows that share an id are queued one after
     the other by size; equal rows are interchangeable, and each is counted. Null ids are shuffled as one id. A document
     without words is never taken. An empty table gives an empty result. Runs agree on equal input."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"), (F.col(row_col) if row_col else F.lit(0)).alias("row"))
     rows = rows.withColumn("h", F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("id").cast("string"), F.lit(""))))).withColumn("p", F.substring("h", 1, PREFIX))
     rows = stored(rows, "mix-sizes")
     sums = stored(rows.groupBy("source", "p").agg(F.sum("size").alias("mass")), "mix-sums")
@@ -57,7 +60,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     before = F.sum("mass").over(Window.partitionBy("source").orderBy("p").rowsBetween(Window.unboundedPreceding, -1))
     base = sums.withColumn("base", F.coalesce(before, F.lit(0))).select(F.col("source").alias("s"), F.col("p").alias("q"), "base")
     base = base.join(goal, F.col("s").eqNullSafe(F.col("source"))).select("s", "q", "base", "source_size", "target", "budget")
-    inner = Window.partitionBy("source", "p").orderBy("h", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    inner = Window.partitionBy("source", "p").orderBy("h", "id", "size", "row").rowsBetween(Window.unboundedPreceding, 0)
     queued = rows.withColumn("upto", F.sum("size").over(inner)).join(base, F.col("source").eqNullSafe(F.col("s")) & (F.col("p") == F.col("q"))).drop("s", "q")
     queued = queued.withColumn("upto", F.col("upto") + F.col("base"))
     for k in range(PASSES):
@@ -88,7 +91,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                 there = F.struct(F.lit(last["finish"]).alias("finish"), F.struct(F.lit(last["source"]["none"]).alias("none"), F.lit(last["source"]["source"]).cast("string").alias("source")).alias("source"), F.lit(last["h"]).alias("h"), F.lit(last["upto"]).alias("upto"), F.lit(last["pass"]).alias("pass"))
                 take = take | ((cell == F.lit(at["edge"])) & (here <= there))
             taken = taken + F.when((F.col("size") > 0) & F.coalesce(take, F.lit(False)), 1).otherwise(0)
-    return queued.withColumn("copies", taken.cast("int")).select("id", "source", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies", F.col("finish0").alias("first_finish"))
+    return queued.withColumn("copies", taken.cast("int")).select("id", "source", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies", F.col("finish0").alias("first_finish"), *(["row"] if row_col else []))
 
 
 #: The same in DuckDB SQL, over all documents.

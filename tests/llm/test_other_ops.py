@@ -307,3 +307,72 @@ def test_pipeline_stages(spark):
     assert final and all(r.taken == r.copies * r.size and r.copies in (1, 2) for r in final)
     texts = [r.text for r in final]
     assert len(set(texts)) == len(texts)
+
+
+@pytest.fixture
+def small_corpus(spark, tmp_path):
+    """Documents with nulls, repeated rows and ids, long texts, a benchmark passage and personal data, and columns whose
+    names the stages use themselves."""
+    draw = random.Random(41)
+    words = [some_words(draw, 1) for _ in range(400)]
+    text = lambda n: " ".join(draw.choice(words) for _ in range(n))
+    passage = text(30)
+    base = text(60)
+    rows = [(k, text(draw.randint(20, 80)), f"s{k % 4}") for k in range(60)]
+    rows += [(100, None, "s1"), (101, "", None), (102, " \n ", "s2"), (None, text(40), "s1"), (None, text(40), None), (5, rows[5][1], "s1"), (5, rows[5][1], "s1")]
+    rows += [(200 + k, base + f" end{k}", "s3") for k in range(8)] + [(300, f"before {passage} after " + text(20), "s1"), (301, "mail a.b@c.example and 192.168.0.1 " + text(30), "s2"), (302, text(50_000), "s1")]
+    fields = "doc_id bigint, text string, lang string, source string, n_chars bigint, size int, score string, nth int, row int, key string, copies string, taken int, kept boolean, id int"
+    docs = spark.createDataFrame([(i, t, "en", s, None if t is None else len(t), 1, "a", 2, 3, "k", "c", 9, True, 7) for i, t, s in rows], fields)
+    spark.createDataFrame([(k, k % 2) for k in range(0, 40)], "doc_id bigint, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, passage), (2, None), (3, "")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    return docs, str(tmp_path), passage
+
+
+def test_stages_on_awkward_rows_equal_brute_force(spark, small_corpus):
+    import corpus_pipeline as P
+    from test_text_ops import brute_components, plain_base
+
+    docs, folder, passage = small_corpus
+    stage = dict(P.STAGES)
+    given = docs.collect()
+    as_rows = lambda df: sorted(map(str, df.collect()))
+
+    model = P.toxicity.fit(docs.select("doc_id", "text"), spark.read.parquet(f"{folder}/labels.parquet"))
+    texts = [r.text or "" for r in given]
+    raw = [t.encode() for t in texts]
+    scores = model.scores(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    assert as_rows(stage["toxicity"](spark, docs, folder)) == sorted(str(r) for r, p in zip(given, scores, strict=True) if p < 0.5)
+
+    roots = brute_components([(r.doc_id, r.text) for r in given if r.doc_id is not None], 5, 80)
+    assert as_rows(stage["near_dedup"](spark, docs, folder).select(*docs.columns)) == sorted(str(r) for r in given if r.doc_id is None or roots[r.doc_id] == r.doc_id)
+
+    assert as_rows(stage["decontamination"](spark, docs, folder)) == sorted(str(r) for r in given if passage not in (r.text or ""))
+
+    masked = {(r.doc_id, r.source): r for r in stage["pii"](spark, docs, folder).collect()}
+    for r in given:
+        m = masked[r.doc_id, r.source] if r.doc_id is not None else None
+        if m and not plain_base(r.text or "") and not any(c.isdigit() for c in r.text or ""):
+            assert m.text == r.text
+    assert masked[301, "s2"].text.startswith("mail [EMAIL] and [IP] ") and masked[301, "s2"].n_chars == len(masked[301, "s2"].text)
+    assert len(masked) == len({(r.doc_id, r.source) for r in given})
+
+    mixed = stage["mix"](spark, docs, folder)
+    out = mixed.collect()
+    kept = [c for c in docs.columns if c not in P.MIX_COLUMNS]
+    assert mixed.columns == [*kept, *P.MIX_COLUMNS]
+    total = sum(len((r.text or "").split()) for r in given)
+    assert all(r.size == len(r.text.split()) and r.copies in (1, 2) and r.taken == r.size * r.copies for r in out)
+    assert total < sum(r.taken for r in out) <= 1.5 * total
+    pool = [str(tuple(r[c] for c in kept)) for r in given]
+    taken = [str(tuple(r[c] for c in kept)) for r in out]
+    assert all(taken.count(x) <= pool.count(x) for x in taken)
+    assert as_rows(mixed) == as_rows(stage["mix"](spark, docs.repartition(5), folder))
+
+
+def test_stages_on_an_empty_table(spark, small_corpus):
+    import corpus_pipeline as P
+
+    docs, folder, _ = small_corpus
+    for name, stage in P.STAGES:
+        out = stage(spark, docs.limit(0), folder)
+        assert out.count() == 0 and (name == "mix" or set(out.columns) == set(docs.columns)), name
