@@ -12,11 +12,20 @@ from tessera.llm.common import stored
 from tessera.session import ship
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name like the given one that docs does not have."""
+    while name in docs.columns:
+        name = f"_{name}"
+    return name
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score is below 0.5; null and empty texts are scored like texts without words."""
+    """Documents whose toxicity score is below 0.5; null and empty texts are scored like texts without words. Labels of ids
+    that docs lacks are ignored; an empty table stays empty; all columns stay."""
     ship(spark)
+    score = _free(docs, "score")
     model = toxicity.fit(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic"))
-    return toxicity.score(docs, model, column="_score").filter("_score < 0.5").drop("_score")
+    return toxicity.score(docs, model, column=score).filter(F.col(score) < 0.5).drop(score)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,16 +49,25 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
+#: What the mix adds to a document.
+MIX_COLUMNS = ("size", "source_size", "target", "taken", "copies")
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, with copies (1 or 2), size, source_size, target and taken words."""
+    """The documents that the mix takes, with copies (1 or 2), size, source_size, target and taken words, which replace
+    columns of these names. Documents without words are not taken; rows that share an id are queued one by one, equal rows
+    are interchangeable, and null ids and sources are taken like others. An empty table stays empty."""
     ship(spark)
-    # Rows that share an id are told apart by their order.
-    nth = F.row_number().over(Window.partitionBy("id").orderBy(F.col("source").asc_nulls_last(), "size"))
-    plan = mixing.mix(docs).filter("size > 0").withColumn("nth", nth).filter("copies > 0")
-    size = mixing.word_count(F.col("text"))
-    rows = docs.filter(size > 0).withColumn("nth", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("source").asc_nulls_last(), size)))
-    plan = plan.select(F.col("id").alias("_id"), F.col("nth").alias("_nth"), "size", "source_size", "target", "taken", "copies")
-    return rows.join(plan, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("nth") == F.col("_nth"))).drop("_id", "_nth", "nth")
+    rest = [c for c in docs.columns if c not in MIX_COLUMNS]
+    row, nth, key = _free(docs, "row"), _free(docs, "nth"), _free(docs, "key")
+    # A row's key is a digest of what the mix sees of it; only rows equal in all of that are numbered among each other.
+    rows = docs.select(*rest).withColumn(row, F.xxhash64("doc_id", "source", "text")).filter(mixing.word_count(F.col("text")) > 0)
+    plan = mixing.mix(rows, row_col=row).select("id", F.col("row").alias(key), *MIX_COLUMNS)
+    plan = plan.withColumn(nth, F.row_number().over(Window.partitionBy("id", key).orderBy("copies"))).filter("copies > 0").withColumnRenamed("id", "_mix_id" if "_mix_id" not in rest else _free(docs, "_mix_id"))
+    chosen = plan.columns[0]
+    rows = rows.withColumn(nth, F.row_number().over(Window.partitionBy("doc_id", row).orderBy(row)))
+    at = F.col("doc_id").eqNullSafe(F.col(chosen)) & (F.col(row) == F.col(key)) & (rows[nth] == plan[nth])
+    return rows.join(plan, at).select(*[rows[c] for c in rest], *MIX_COLUMNS)
 
 
 STAGES = [
@@ -60,7 +78,7 @@ STAGES = [
     ("mix", mix_sources),
 ]
 
-#: The learned stages and the similarity join have no SQL form; tests compare them with brute force.
+#: The learned stages and the similarity join have no SQL form; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
