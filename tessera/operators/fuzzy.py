@@ -6,12 +6,15 @@ bit-parallel integers, so that a comparison takes one pass over one string.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..lineage import cut_lineage
+
 CUTOFF = 87.0
 
 
@@ -81,38 +84,77 @@ def weighted_ratio(a: str, b: str) -> float:
     return max(whole, part * partial_ratio(a, b), 0.95 * part * partial_token_ratio(a, b))
 
 
-def best_match(queries: DataFrame, candidates: DataFrame, query: str, candidate: str, cutoff: float = CUTOFF, most: int = 200_000) -> DataFrame:
-    """(query, match, score): for every distinct query the candidate of highest score at or above cutoff, ties to the first
-    in order. Exact matches are found by equi-join; only the rest is compared.
+#: Queries and candidates of a block; a task compares two blocks at a time.
+BLOCK = 2_000
+
+
+def _bound(a: str, b: str, shared: int) -> float:
+    """No ratio of the two strings exceeds this: their characters in common, whatever their order."""
+    return 200.0 * shared / (len(a) + len(b))
 
-    The candidates are sent to all tasks. They are a reference registry: more than `most` are an error, not a silent cut."""
+
+def best_match(queries: DataFrame, candidates: DataFrame, query: str, candidate: str, cutoff: float = CUTOFF, block: int = BLOCK) -> DataFrame:
+    """(query, match, score): for every distinct query the candidate of highest score at or above cutoff, ties to the first
+    in order. Exact matches are found by equi-join; only the rest is compared, the stated queries with all candidates, block
+    by block: blocks of both sides are joined by number, so that no table is gathered anywhere and none has to be small.
+    A pair is scored only if its characters and lengths allow the cutoff. Null and empty strings match nothing."""
     asked = queries.select(F.col(query).alias("query")).filter("query is not null and query <> ''").distinct()
     known = candidates.select(F.col(candidate).alias("match")).filter("match is not null and match <> ''").distinct()
     exact = asked.join(known, asked["query"] == known["match"]).select("query", "match", F.lit(100.0).alias("score"))
-    names = [r[0] for r in known.orderBy("match").limit(most + 1).collect()]
-    if len(names) > most:
-        raise ValueError(f"more than {most} candidates: split them by region first")
+    rest = cut_lineage(asked.join(known, asked["query"] == known["match"], "left_anti"), "asked")
+    known = cut_lineage(known, "known")
+    rows, columns = (max(1, -(-df.count() // block)) for df in (rest, known))
+    pack = lambda df, c, n, other, as_: df.groupBy(F.pmod(F.xxhash64(c), F.lit(n)).alias(f"_{as_}")).agg(F.array_sort(F.collect_list(c)).alias(f"{as_}s")).withColumn("_at", F.explode(F.sequence(F.lit(0), F.lit(other - 1))))
+    left = pack(rest, "query", rows, columns, "query").select((F.col("_query") * columns + F.col("_at")).alias("_cell"), "querys")
+    right = pack(known, "match", columns, rows, "match").select((F.col("_at") * columns + F.col("_match")).alias("_cell"), "matchs")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = []
-            for q in pdf["query"]:
-                best, at = cutoff, None
-                for name in names:
-                    s = weighted_ratio(q, name)
-                    if s > best or (s == best and at is None):
-                        best, at = s, name
-                if at is not None:
-                    rows.append((q, at, best))
-            yield pd.DataFrame(rows, columns=["query", "match", "score"])
-
-    rest = asked.join(known, asked["query"] == known["match"], "left_anti")
-    return exact.unionByName(rest.mapInPandas(run, "query string, match string, score double"))
+            out = []
+            for asked_here, names in zip(pdf["querys"], pdf["matchs"], strict=True):
+                counted = [(name, Counter(name)) for name in names]
+                for q in asked_here:
+                    best, at, letters = cutoff, None, Counter(q)
+                    for name, other in counted:
+                        lengths = max(len(q), len(name)) / min(len(q), len(name))
+                        if lengths < 1.5 and _bound(q, name, sum(min(k, other[c]) for c, k in letters.items())) < best and not set(q.split()) & set(name.split()):
+                            continue
+                        s = weighted_ratio(q, name)
+                        if s > best or (s == best and at is None):
+                            best, at = s, name
+                    if at is not None:
+                        out.append((q, at, best))
+            yield pd.DataFrame(out, columns=["query", "match", "score"])
+
+    found = left.join(right, "_cell").select("querys", "matchs").mapInPandas(run, "query string, match string, score double")
+    return exact.unionByName(first_best(found))
+
+
+def first_best(found: DataFrame) -> DataFrame:
+    """Of each query's matches the one of highest score, then the first in order."""
+    return found.groupBy("query").agg(F.min(F.struct((-F.col("score")).alias("s"), "match")).alias("m")).select("query", "m.match", (-F.col("m.s")).alias("score"))
 
 
 def levenshtein_best(queries: DataFrame, candidates: DataFrame, query: str, candidate: str, most: int) -> DataFrame:
-    """The JVM-side form: the candidate of least edit distance up to `most`, among those of equal first letter."""
-    q = queries.select(F.col(query).alias("query")).filter("query is not null").distinct().withColumn("k", F.substring("query", 1, 1))
-    c = candidates.select(F.col(candidate).alias("match")).filter("match is not null").distinct().withColumn("k", F.substring("match", 1, 1))
-    near = q.join(c, "k").withColumn("d", F.levenshtein("query", "match", most)).filter("d >= 0")
+    """(query, match, distance): the candidate of least edit distance up to `most`, ties to the first in order, inside the JVM.
+
+    Nothing is lost by blocking: a query is cut into most + 1 pieces, of which one stands unharmed in any candidate within
+    `most` edits, shifted by at most `most` places; pieces are joined with the candidates' substrings of their lengths at
+    those places. Queries too short for pieces are compared with the candidates of like length."""
+    n = most + 1
+    q = queries.select(F.col(query).alias("query")).filter("query is not null").distinct().withColumn("len", F.length("query"))
+    c = candidates.select(F.col(candidate).alias("match")).filter("match is not null").distinct().withColumn("size", F.length("match"))
+    q = cut_lineage(q, "asked")
+    long = q.filter(F.col("len") >= n)
+    cut = lambda k: F.floor(F.col("len") * k / n).cast("int")
+    pieces = F.array(*[F.struct(F.lit(k).alias("piece"), cut(k).alias("at"), F.substring(F.col("query"), cut(k) + 1, cut(k + 1) - cut(k)).alias("text")) for k in range(n)])
+    left = long.withColumn("p", F.explode(pieces)).select("query", "len", F.col("p.piece"), F.col("p.text"))
+    # The candidates' substrings: for each length of a query within reach, piece and shift.
+    spread = c.withColumn("len", F.explode(F.sequence(F.greatest(F.col("size") - most, F.lit(n)), F.greatest(F.col("size") + most, F.lit(n)))))
+    spots = F.array(*[F.struct(F.lit(k).alias("piece"), (cut(k) + F.lit(d)).alias("at"), (cut(k + 1) - cut(k)).alias("width")) for k in range(n) for d in range(-most, most + 1)])
+    right = spread.withColumn("p", F.explode(spots)).filter("p.at >= 0 and p.at + p.width <= size").select("match", "len", F.col("p.piece"), F.substring(F.col("match"), F.col("p.at") + 1, F.col("p.width")).alias("text"))
+    pairs = left.join(right.distinct(), ["len", "piece", "text"]).select("query", "match").distinct()
+    short = q.filter(F.col("len") < n).withColumn("size", F.explode(F.sequence(F.greatest(F.col("len") - most, F.lit(0)), F.col("len") + most)))
+    pairs = pairs.union(short.join(c, "size").select("query", "match"))
+    near = pairs.withColumn("d", F.levenshtein("query", "match", most)).filter("d >= 0")
     return near.groupBy("query").agg(F.min(F.struct("d", "match")).alias("m")).select("query", "m.match", F.col("m.d").alias("distance"))

@@ -31,14 +31,25 @@ def neighbours(b: Column) -> Column:
     return F.concat(F.array(b), F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: b.bitwiseXOR(F.expr("1").cast("int") * F.pow(F.lit(2), i).cast("int"))))
 
 
-def blocked_pairs(new: DataFrame, old: DataFrame, key: str, word: str, block: str, most: int = MOST, with_new: bool = True) -> DataFrame:
+def pieces(words_of: Column, n_words: int, most: int, bits: int = 32) -> Column:
+    """array<struct<place, piece>>: the hash in more than `most` pieces. Hashes that differ in at most `most` bits have one
+    of them in common, whichever bits these are."""
+    parts = 1 if n_words > most else -(-(most + 1) // n_words)
+    width = bits // parts
+    cut = lambda w, i, k: F.struct((i * parts + k).alias("place"), F.shiftright(w, k * width).bitwiseAND(F.lit((1 << width) - 1).cast("bigint")).alias("piece"))
+    return F.flatten(F.transform(words_of, lambda w, i: F.array(*[cut(w, i, k) for k in range(parts)])))
+
+
+def blocked_pairs(new: DataFrame, old: DataFrame, key: str, word: str, block: str, most: int = MOST, with_new: bool = True, n_words: int = 8) -> DataFrame:
     """(key1, key2, distance) of new hashes with old (and other new) ones in their own or a neighbouring bucket at up to
-    `most` bits, each pair once with key1 < key2. Every bucket holds the hashes of a byte; the join is on the exploded
-    bucket, and adaptive execution splits a large one."""
-    left = new.select(F.col(key).alias("k1"), F.col(word).alias("w1"), F.explode(neighbours(F.col(block))).alias("b"))
+    `most` bits, each pair once with key1 < key2.
+
+    The join is on pieces of the hash (see pieces), of which near hashes share one, so that a bucket is never compared with
+    itself as a whole; the rule of buckets is a filter on what the join finds."""
+    made = lambda df, n: df.select(F.col(key).alias(f"k{n}"), F.col(word).alias(f"w{n}"), F.col(block).alias(f"b{n}"), F.explode(pieces(F.col(word), n_words, most)).alias("p")).select(f"k{n}", f"w{n}", f"b{n}", "p.place", "p.piece")
     other = old.unionByName(new) if with_new else old
-    right = other.select(F.col(key).alias("k2"), F.col(word).alias("w2"), F.col(block).alias("b"))
-    near = left.join(right, "b").filter(F.col("k1") != F.col("k2")).withColumn("distance", distance(F.col("w1"), F.col("w2"))).filter(F.col("distance") <= most)
+    near = made(new, 1).join(made(other, 2), ["place", "piece"]).filter((F.col("k1") != F.col("k2")) & F.array_contains(neighbours(F.col("b1")), F.col("b2")))
+    near = near.withColumn("distance", distance(F.col("w1"), F.col("w2"))).filter(F.col("distance") <= most)
     return near.select(F.least("k1", "k2").alias("key1"), F.greatest("k1", "k2").alias("key2"), "distance").distinct()
 
 

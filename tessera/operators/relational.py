@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,9 +53,22 @@ def latest_order(df: DataFrame, wanted: Sequence[str], last: str) -> list[Column
 
 
 def insert_absent(target: DataFrame, rows: DataFrame, keys: Sequence[str], dedup: bool = True) -> DataFrame:
-    """The rows whose key the target lacks; with dedup one row per key among them (conflict ignored), to be appended."""
+    """The rows whose key the target lacks; with dedup one row per key among them (conflict ignored), the one that sorts
+    first, to be appended."""
     new = rows.join(target.select(*keys), list(keys), "left_anti").select(*rows.columns)
-    return new.dropDuplicates(list(keys)) if dedup else new
+    return first_of(new, keys) if dedup else new
+
+
+def first_of(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key, the one whose other columns sort first: reruns agree. A partial aggregate, not a sort of all rows."""
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    orderable = [c for c in rest if not isinstance(df.schema[c].dataType, T.MapType | T.VariantType)]
+    least = df.groupBy(*keys).agg(F.min(F.struct(*orderable)).alias("_least")) if len(orderable) == len(rest) else None
+    if least is None:
+        return pick_one(df, keys, [F.col(c).asc_nulls_first() for c in orderable])
+    return least.select(*[F.col(c) if c in keys else F.col(f"_least.{c}").alias(c) for c in df.columns])
 
 
 def upsert(target: DataFrame, rows: DataFrame, keys: Sequence[str], merge: dict[str, str]) -> DataFrame:
@@ -114,7 +127,7 @@ def sync_snapshot(state: DataFrame, current: DataFrame, snapshot_date: Column, p
 
     One full-outer join; ids are made unique per snapshot first. Columns of current that the state lacks are dropped."""
     fields = [c for c in state.columns if c not in (key, "added_date", "archived_date", available)]
-    curr = current.dropDuplicates([key])
+    curr = first_of(current, [key])
     curr = curr.select(key, *[(F.col(c) if c in curr.columns else F.lit(None).cast(state.schema[c].dataType)).alias(f"_n_{c}") for c in fields], F.lit(True).alias("_curr"))
     both = state.withColumn("_state", F.lit(True)).join(curr, key, "full_outer")
     if previous is not None and archive_scope == "previous":
@@ -148,8 +161,8 @@ def sync_counts(state: DataFrame, current: DataFrame, previous: DataFrame | None
 
 def price_changes(previous: DataFrame, current: DataFrame, change_date: Column, key: str = "id", value: str = "price") -> DataFrame:
     """(id, old_price, new_price, change_date) of keys on both sides with different non-null values."""
-    p, c = previous.select(key, F.col(value).alias("old_price")), current.select(key, F.col(value).alias("new_price"))
-    return p.join(c, key).filter(F.col("old_price") != F.col("new_price")).withColumn("change_date", change_date).dropDuplicates([key, "old_price", "new_price"])
+    p, c = previous.select(key, F.col(value).alias("old_price")).distinct(), current.select(key, F.col(value).alias("new_price")).distinct()
+    return p.join(c, key).filter(F.col("old_price") != F.col("new_price")).withColumn("change_date", change_date)
 
 
 def move_rows(source: DataFrame, target: DataFrame, key: str, moves: Column) -> tuple[DataFrame, DataFrame]:
@@ -181,16 +194,24 @@ def cascade_delete(parent: DataFrame, child: DataFrame, key: str, bad: DataFrame
 def fallback_join(rows: DataFrame, dimension: DataFrame, levels: Sequence[str], drop_order: Sequence[str], key: str, unknown: str = "") -> DataFrame:
     """rows with the dimension's key of the finest level that hits: all levels first, then drop_order's are blanked in turn.
 
-    One equi-join over exploded candidate keys; the best candidate is the one of least level. rows needs a unique _row."""
+    Rows are looked up by their distinct addresses: these are exploded into candidates, which carry one digest instead of
+    all levels through the shuffle, and the levels themselves confirm a hit. The best candidate is the one of least level."""
+    addresses = rows.select(*levels).distinct()
     blanked: list[str] = []
     candidates = []
     for n in range(len(drop_order) + 1):
-        candidates.append(F.struct(F.lit(n).alias("_level"), *[F.lit(unknown).alias(c) if c in blanked else F.col(c) for c in levels]))
+        at = [F.lit(unknown) if c in blanked else F.col(c) for c in levels]
+        candidates.append(F.struct(F.lit(n).alias("_level"), F.xxhash64(*at).alias("_h")))
         if n < len(drop_order):
             blanked.append(drop_order[n])
-    probe = rows.select("_row", F.explode(F.array(*candidates)).alias("_c")).select("_row", "_c.*")
-    hits = probe.join(dimension.select(*levels, key), list(levels)).groupBy("_row").agg(F.min_by(key, "_level").alias(key))
-    return rows.join(hits, "_row", "left")
+    known = dimension.select(F.xxhash64(*levels).alias("_h"), F.struct(*levels).alias("_known"), key)
+    probe = addresses.withColumn("_c", F.explode(F.array(*candidates))).select(*levels, "_c._level", "_c._h")
+    same = F.lit(True)
+    for c in levels:
+        cut = len(drop_order) if c not in drop_order else drop_order.index(c)
+        same = same & (F.col(f"_known.{c}") == F.when(F.col("_level") > cut, F.lit(unknown)).otherwise(F.col(c)))
+    hits = probe.join(known, "_h").filter(same).groupBy(*levels).agg(F.min_by(key, "_level").alias(key))
+    return rows.join(hits, list(levels), "left")
 
 
 def share_of_group(df: DataFrame, group: Sequence[str], part: str) -> DataFrame:
@@ -220,26 +241,35 @@ def global_rank(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     return placed.join(base, "_p").withColumn(name, F.col("_base") + F.col("_i") + 1).select(*df.columns, name)
 
 
-def outer_bounds(df: DataFrame, *columns: str, today: Column | None = None) -> tuple[Column, Column]:
-    dates = [F.max(c) for c in columns] + ([today] if today is not None else [])
-    return F.min(columns[0]), F.greatest(*dates) if len(dates) > 1 else dates[0]
-
+def within_pairs(df: DataFrame, group: str, key: str, equal: Sequence[str] = ()) -> DataFrame:
+    """(a, b) rows of each group with a.key < b.key and equal values in the columns of `equal`, as structs.
 
-def within_pairs(df: DataFrame, group: str, key: str) -> DataFrame:
-    """(a, b) rows of each group with a.key < b.key, as structs. A group is a cluster of bounded size by contract of its maker."""
+    The columns of `equal` are part of the join's key, so that a large group is cut into its classes before any pair is
+    made; adaptive execution splits a class that is still large. Nulls in them equal nothing."""
     whole = F.struct(*df.columns)
-    left, right = df.select(F.col(group), whole.alias("a")), df.select(F.col(group), whole.alias("b"))
-    return left.join(right, group).filter(F.col(f"a.{key}") < F.col(f"b.{key}"))
+    on = [f"_g{k}" for k in range(1 + len(equal))]
+    keys = [F.col(c).alias(o) for o, c in zip(on, (group, *equal), strict=True)]
+    left, right = df.select(*keys, whole.alias("a")), df.select(*keys, whole.alias("b"))
+    return left.join(right, on).filter(F.col(f"a.{key}") < F.col(f"b.{key}")).select(F.col("_g0").alias(group), "a", "b")
 
 
 def split_views(df: DataFrame, by: dict[str, Sequence[str]]) -> dict[tuple[str, ...], DataFrame]:
-    """One lazily filtered view for each combination of values."""
+    """One lazily filtered view for each combination of values. To count or write all of them use split_counts or a write
+    partitioned by the columns: both are one pass."""
     out: dict[tuple[str, ...], Column] = {(): F.lit(True)}
     for column, values in by.items():
         out = {(*k, v): cond & (F.col(column) == v) for k, cond in out.items() for v in values}
     return {k: df.filter(cond) for k, cond in out.items()}
 
 
+def split_counts(df: DataFrame, by: dict[str, Sequence[str]]) -> DataFrame:
+    """Rows of every combination of the listed values that has any, in one pass."""
+    kept = F.lit(True)
+    for column, values in by.items():
+        kept = kept & F.col(column).isin(*values)
+    return df.filter(kept).groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+
+
 def drop_older(df: DataFrame, ts: str, cutoff: Column) -> DataFrame:
     return df.filter(F.coalesce(F.col(ts) >= cutoff, F.lit(True)))
 
@@ -248,9 +278,27 @@ def top_counts(df: DataFrame, column: str, n: int) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("cnt")).orderBy(F.desc("cnt"), column).limit(n)
 
 
-def with_metrics(df: DataFrame, name: str) -> tuple[DataFrame, Callable[[], dict]]:
-    """df observed for its row count, and a function that reads it after an action: no second job is run."""
-    from pyspark.sql import Observation
+def chunks(df: DataFrame, order: Sequence[Column], size: int, column: str = "chunk") -> DataFrame:
+    """df with the number of its chunk of `size` rows in the given order (unique), from 0."""
+    return global_rank(df, order, "_rank").withColumn(column, F.floor((F.col("_rank") - 1) / size).cast("long")).drop("_rank")
+
+
+def delete_plan(df: DataFrame, ts: str, cutoff: Column, order: Sequence[Column], size: int) -> DataFrame:
+    """(chunk, rows, first_ts, last_ts): what a delete of the rows before the cutoff would remove, in chunks of `size`."""
+    old = chunks(df.filter(F.col(ts) < cutoff), [F.col(ts), *order], size)
+    return old.groupBy("chunk").agg(F.count(F.lit(1)).alias("rows"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"))
+
+
+def value_preview(before: DataFrame, after: DataFrame, column: str) -> DataFrame:
+    """(value, before, after): how often each value of a column stands in a table before and after a change."""
+    count = lambda df, name: df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias(name))
+    b, a = count(before, "before"), count(after, "after").withColumnRenamed("value", "_v")
+    return b.join(a, b["value"].eqNullSafe(a["_v"]), "full_outer").select(F.coalesce("value", "_v").alias("value"), F.coalesce("before", F.lit(0)).alias("before"), F.coalesce("after", F.lit(0)).alias("after"))
+
 
-    seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), lambda: dict(seen.get)
+def column_facts(df: DataFrame, facts: dict[str, str]) -> DataFrame:
+    """(column, type, expected, present, matches) of the expected columns, and bool_and over them as all_match."""
+    have = {f.name: f.dataType.simpleString() for f in df.schema}
+    rows = [(c, have.get(c), t, c in have, have.get(c) == t) for c, t in facts.items()]
+    made = df.sparkSession.createDataFrame(rows, "column string, type string, expected string, present boolean, matches boolean")
+    return made.withColumn("all_match", F.bool_and("matches").over(Window.partitionBy()))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import domain as D
 from ..functions import text as X
-from ..operators.relational import fallback_join, global_rank, pick_one, share_of_group, split_views
+from ..operators.relational import fallback_join, global_rank, pick_one, share_of_group, split_counts, split_views
 
 UNKNOWN_REGION, UNKNOWN_COUNTY = "Neznámý kraj", "Neznámý okres"
 LEVELS = {"region": ("norm_district", UNKNOWN_REGION), "district": ("norm_okres", UNKNOWN_COUNTY), "city": ("norm_city", ""), "city_part": ("norm_city_part", ""), "street": ("norm_street", ""), "house_number": ("norm_house_number", "")}
@@ -47,7 +47,7 @@ def fact(totalized: DataFrame, geo: DataFrame, closed: bool) -> DataFrame:
     """One representative listing per object, with the geo key of the finest address level that is known."""
     rows = totalized.filter(F.col("archived_date").isNotNull() if closed else F.col("archived_date").isNull())
     order = ([F.desc("archived_date")] if closed else []) + [F.col("updated_at").desc_nulls_last(), F.col("added_date").desc_nulls_last(), F.col("source_id"), F.col("internal_id")]
-    rep = pick_one(rows, ["object_id"], order).withColumn("_row", F.col("object_id")).withColumns(level_keys())
+    rep = pick_one(rows, ["object_id"], order).withColumns(level_keys())
     rep = fallback_join(rep, geo, [f"{k}_norm" for k in LEVELS], ["house_number_norm", "street_norm", "city_part_norm"], "geo_key")
     return rep.select(
         "object_id", "added_date", *(["archived_date"] if closed else []), F.col("internal_id").alias("internal_id_rep"), F.col("source_id").alias("source_id_rep"), "geo_key", D.deal_norm(F.col("deal_type")).alias("deal_type"),
@@ -55,10 +55,21 @@ def fact(totalized: DataFrame, geo: DataFrame, closed: bool) -> DataFrame:
     )
 
 
+SPLITS = {"state": ("active", "closed"), "deal_type": D.DEALS, "bucket": D.BUCKETS}
+
+
+def both_facts(active: DataFrame, closed: DataFrame) -> DataFrame:
+    return active.withColumn("state", F.lit("active")).unionByName(closed.withColumn("state", F.lit("closed")), allowMissingColumns=True)
+
+
 def splits(active: DataFrame, closed: DataFrame) -> dict[tuple[str, ...], DataFrame]:
-    """The 30 split facts: state, deal and bucket."""
-    both = active.withColumn("state", F.lit("active")).unionByName(closed.withColumn("state", F.lit("closed")), allowMissingColumns=True)
-    return split_views(both, {"state": ("active", "closed"), "deal_type": D.DEALS, "bucket": D.BUCKETS})
+    """The 30 split facts: state, deal and bucket, as views."""
+    return split_views(both_facts(active, closed), SPLITS)
+
+
+def split_sizes(active: DataFrame, closed: DataFrame) -> DataFrame:
+    """Rows of each split fact, in one pass over the facts."""
+    return split_counts(both_facts(active, closed), SPLITS)
 
 
 def flat_mart(totalized: DataFrame, as_of: Column, days: int = 180) -> DataFrame:

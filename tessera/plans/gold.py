@@ -18,11 +18,12 @@ def latest_listings(geo: DataFrame, subset: DataFrame) -> DataFrame:
     return rows.select(*kept).join(good, "internal_id").filter(F.col("norm_district").isin(*sorted(set(D.REGIONS.values()))))
 
 
-def objects(listings: DataFrame, pairs: DataFrame, object_map: DataFrame, totalized: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(new object map rows, new totalized rows). A listing that is there already keeps its object."""
+def objects(listings: DataFrame, pairs: DataFrame, object_map: DataFrame, totalized: DataFrame, roots: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(new object map rows, new totalized rows). A listing that is there already keeps its object. roots: the components
+    of the pairs, if they are known already."""
     ids = listings.select("internal_id")
     edges = pairs.select(F.col("iid1").alias("a"), F.col("iid2").alias("b")).join(ids.select(F.col("internal_id").alias("a")), "a", "left_semi").join(ids.select(F.col("internal_id").alias("b")), "b", "left_semi")
-    led = graph.leader_of(listings, graph.connected_components(edges), "internal_id").withColumnRenamed("canonical", "canonical_internal_id")
+    led = graph.leader_of(listings, graph.connected_components(edges) if roots is None else roots, "internal_id").withColumnRenamed("canonical", "canonical_internal_id")
     new_map = allocate_ids(object_map, led.select("canonical_internal_id"), "canonical_internal_id", "object_id", D.OBJECT_ID_START)
     both = object_map.select("canonical_internal_id", "object_id").unionByName(new_map)
     rows = led.join(both, "canonical_internal_id", "left").withColumn("object_id", F.coalesce("object_id", "internal_id")).drop("canonical_internal_id")

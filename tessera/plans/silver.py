@@ -143,11 +143,11 @@ CLUSTER_MERGE = {"members_count": "overwrite", "member_internal_ids": "overwrite
 def clean_pairs(listings: DataFrame, mapping: DataFrame) -> DataFrame:
     """(iid1, iid2, level, price_ok, area_mode, …) of listings in one cluster that agree on place, kind, deal and area."""
     rows = listings.join(mapping.select("internal_id", "canonical_internal_id"), "internal_id")
-    pairs = within_pairs(rows, "canonical_internal_id", "internal_id")
+    pairs = within_pairs(rows, "canonical_internal_id", "internal_id", ("category_value", "deal_type"))
     level = D.geo_level([(F.col(f"a.{c}"), F.col(f"b.{c}")) for c in ("norm_okres", "norm_city", "norm_city_part", "norm_street")])
     price = D.price_check(F.col("a.price"), F.col("b.price"))
     area = D.area_check(*[F.col(f"{x}.{c}") for x in "ab" for c in ("category_value", "area_build", "area_land")])
-    found = pairs.select(F.col("a.internal_id").alias("iid1"), F.col("b.internal_id").alias("iid2"), "canonical_internal_id", (F.col("a.category_value") == F.col("b.category_value")).alias("same_kind"), (F.col("a.deal_type") == F.col("b.deal_type")).alias("same_deal"), level.alias("level"), price.alias("price"), area.alias("area"))
-    found = found.filter("level is not null and same_kind and same_deal and area.ok")
+    found = pairs.select(F.col("a.internal_id").alias("iid1"), F.col("b.internal_id").alias("iid2"), "canonical_internal_id", level.alias("level"), price.alias("price"), area.alias("area"))
+    found = found.filter("level is not null and area.ok")
     found = found.select("iid1", "iid2", "canonical_internal_id", "level", F.col("price.ok").alias("price_ok"), F.col("price.hi").alias("price_hi"), F.col("price.lo").alias("price_lo"), F.col("area.mode").alias("area_mode"), F.col("area.v1").alias("area1"), F.col("area.v2").alias("area2"))
     return pick_one(found, ["iid1", "iid2"], [F.col("level"), F.desc("price_ok"), F.col("area_mode"), F.col("canonical_internal_id")])

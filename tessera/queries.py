@@ -310,7 +310,7 @@ def _fallback(prefix: str) -> str:
 @query(f"WITH {LISTINGS}, {_GAPS}, {_GAP_DIM}, {_DIM.format(where='').split('dim AS')[0].rstrip().rstrip(',')} SELECT k.internal_id, coalesce(g0.geo_key, g1.geo_key, g2.geo_key, g3.geo_key) AS geo_key FROM keyed k {_fallback('k')}")
 def geo_fallback_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = listings(spark, sf_dir)
-    keyed = rows.withColumn("_row", F.col("internal_id")).withColumns(bi.level_keys())
+    keyed = rows.withColumns(bi.level_keys())
     return R.fallback_join(keyed, _partial_dim(rows), _KEYS, _KEYS[5:2:-1], "geo_key").select("internal_id", "geo_key")
 
 
@@ -338,9 +338,7 @@ query(_fact_oracle(True))(_fact(True, "fact_closed"))
 def fact_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = listings(spark, sf_dir)
     geo = bi.dim_geo(rows)
-    views = bi.splits(bi.fact(rows, geo, False), bi.fact(rows, geo, True))
-    parts = [v.select(*[F.lit(x).alias(c) for c, x in zip(("state", "deal_type", "bucket"), k, strict=True)]) for k, v in views.items()]
-    return R.union_by_name(*parts).groupBy("state", "deal_type", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    return bi.split_sizes(bi.fact(rows, geo, False), bi.fact(rows, geo, True))
 
 
 @query(f"WITH {LISTINGS} SELECT strftime(d, '%Y%m%d')::INTEGER AS date_key, d::DATE AS date, year(d)::INTEGER AS year, quarter(d)::INTEGER AS quarter, month(d)::INTEGER AS month, strftime(d, '%b') AS month_name, weekofyear(d)::INTEGER AS week, day(d)::INTEGER AS day, isodow(d)::INTEGER AS dow, isodow(d) >= 6 AS is_weekend FROM (SELECT unnest(generate_series(min(added_date), greatest(max(added_date), max(archived_date), DATE '2001-08-01'), INTERVAL 1 DAY)) AS d FROM listings)")
@@ -373,7 +371,7 @@ def registry_fuzzy_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy.best_match(typos, p.filter("p_partkey % 2 = 0"), "name", "name").withColumn("score", F.round("score", 6))
 
 
-@query("""WITH n AS (SELECT DISTINCT lower(p_name) AS m FROM part), q AS (SELECT DISTINCT substr(m, 1, 3) || substr(m, 5) AS q FROM n), d AS (SELECT q, m, levenshtein(q, m) AS distance FROM q JOIN n ON substr(q, 1, 1) = substr(m, 1, 1))
+@query("""WITH n AS (SELECT DISTINCT lower(p_name) AS m FROM part), q AS (SELECT DISTINCT substr(m, 1, 3) || substr(m, 5) AS q FROM n), d AS (SELECT q, m, levenshtein(q, m) AS distance FROM q JOIN n ON abs(length(q) - length(m)) <= 3)
 SELECT q AS query, m AS "match", distance::INTEGER AS distance FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY distance, m) AS k FROM d WHERE distance <= 3) WHERE k = 1""")
 def registry_levenshtein(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "part").select(F.lower("p_name").alias("name")).distinct()
@@ -507,10 +505,11 @@ def equal_text_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 def object_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("internal_id"))
     pairs = _edges(spark, sf_dir).select(F.col("a").alias("iid1"), F.col("b").alias("iid2"))
-    led = graph.leader_of(rows, graph.connected_components(_edges(spark, sf_dir)), "internal_id").select(F.col("canonical").alias("canonical_internal_id")).filter("canonical_internal_id % 5 = 0").distinct()
+    roots = graph.connected_components(_edges(spark, sf_dir))
+    led = graph.leader_of(rows, roots, "internal_id").select(F.col("canonical").alias("canonical_internal_id")).filter("canonical_internal_id % 5 = 0").distinct()
     none = spark.createDataFrame([], "canonical_internal_id bigint, object_id bigint")
     old = R.allocate_ids(none, led, "canonical_internal_id", "object_id", D.OBJECT_ID_START)
-    _, out = gold.objects(rows, pairs, old, rows.limit(0))
+    _, out = gold.objects(rows, pairs, old, rows.limit(0), roots)
     return out.select("internal_id", "object_id")
 
 
@@ -552,7 +551,7 @@ def phash_blocked_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     block = F.col("w0").bitwiseAND(F.lit(255).cast("bigint")).cast("int")
     old = e.select((F.col("vec_id") * 2).alias("k"), F.array("w0", "w1").alias("w"), block.alias("b"))
     new = e.select((F.col("vec_id") * 2 + 1).alias("k"), F.array("w0", F.col("w1").bitwiseXOR(F.expr(_MASK))).alias("w"), block.alias("b"))
-    pairs = phash.blocked_pairs(new, old, "k", "w", "b", with_new=False)
+    pairs = phash.blocked_pairs(new, old, "k", "w", "b", with_new=False, n_words=2)
     odd = lambda a, b: F.when(F.col(a) % 2 == 1, F.col(a)).otherwise(F.col(b))
     even = lambda a, b: F.when(F.col(a) % 2 == 0, F.col(a)).otherwise(F.col(b))
     half = lambda c: F.shiftright(c, 1)
@@ -623,9 +622,9 @@ def intersect_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.filter("o_orderstatus = 'F'").select(F.col("o_custkey").alias("k")).intersect(o.filter("o_orderstatus = 'O'").select("o_custkey"))
 
 
-@query("SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 300000")
 def set_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")).subtract(table(spark, sf_dir, "orders").select("o_custkey"))
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")).subtract(table(spark, sf_dir, "orders").filter("o_orderstatus = 'F' and o_totalprice > 300000").select("o_custkey"))
 
 
 @query("SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty, sum(l_extendedprice * (1 - l_discount)) AS revenue, avg(l_discount) AS avg_disc, count(*) AS n FROM lineitem WHERE l_shipdate::DATE <= DATE '1998-09-02' GROUP BY 1, 2")
