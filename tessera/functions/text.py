@@ -28,6 +28,25 @@ def strip_diacritics(c: Column) -> Column:
     return F.translate(c, DIACRITICS, PLAIN)
 
 
+#: Marks that letters bear, as one letter each and as combining characters: from these come all letters whose canonical
+#: decomposition is a plain letter and marks.
+COMBINING = r"\p{M}+"
+
+
+def _marked_letters() -> tuple[str, str]:
+    """Letters of Latin, Greek and Cyrillic that decompose into a letter and marks, and what is left of them without marks."""
+    import unicodedata
+
+    pairs = [(chr(k), "".join(c for c in unicodedata.normalize("NFKD", chr(k)) if not unicodedata.combining(c))) for k in (*range(0xC0, 0x530), *range(0x1E00, 0x2000))]
+    pairs = [(a, b) for a, b in pairs if len(b) == 1 and a != b]
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
+def strip_marks(c: Column) -> Column:
+    """Without the marks of any letter, precomposed or combining (canonical decomposition, marks dropped)."""
+    return F.translate(F.regexp_replace(c, COMBINING, ""), *_marked_letters())
+
+
 def plain_lower(c: Column) -> Column:
     return strip_diacritics(F.lower(F.trim(c)))
 

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import datetime as dt
 import decimal
+import importlib
 import json
+import threading
 import time
 import traceback
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
+from pyspark import InheritableThread
 from pyspark.sql import SparkSession
 
 from .. import schemas
@@ -55,6 +58,48 @@ class Step:
     enabled: bool = True
     monthly: bool = False
     alias: str | None = None
+    timeout_s: float | None = None
+
+
+class StepTimeout(RuntimeError):
+    """A step ran longer than it may; its Spark jobs are cancelled."""
+
+
+def with_timeout(spark: SparkSession | None, seconds: float | None, work: Callable[[], Any], name: str = "step") -> Any:
+    """work() in a thread whose Spark jobs carry a tag: after `seconds` the jobs are cancelled and StepTimeout is raised, so
+    that a step cannot hang for ever. Python code that starts no job goes on in its (daemon) thread, and its result is lost."""
+    if not seconds:
+        return work()
+    tag, box = f"{name}-{uuid.uuid4().hex}", {}
+
+    def body() -> None:
+        try:
+            if spark is not None:
+                spark.addTag(tag)
+            box["value"] = work()
+        except BaseException as e:  # noqa: BLE001  handed to the caller
+            box["error"] = e
+
+    thread = InheritableThread(target=body, daemon=True) if spark is not None else threading.Thread(target=body, daemon=True)
+    thread.start()
+    thread.join(seconds)
+    if thread.is_alive():
+        if spark is not None:
+            spark.interruptTag(tag)
+        raise StepTimeout(f"{name} took more than {seconds:g} s")
+    if "error" in box:
+        raise box["error"]
+    return box.get("value")
+
+
+def load_step(layer: str, target: str, **settings: Any) -> Step:
+    """A step from "module:function", imported when it runs."""
+
+    def run(context: Any) -> Any:
+        module, _, name = target.partition(":")
+        return getattr(importlib.import_module(module), name or "main")(context)
+
+    return Step(layer, target, run, **settings)
 
 
 def select_steps(steps: Sequence[Step], only: str | None = None, today: dt.date | None = None) -> list[Step]:
@@ -66,8 +111,12 @@ def select_steps(steps: Sequence[Step], only: str | None = None, today: dt.date
     return out
 
 
-def run_steps(context: Any, steps: Sequence[Step], fail_fast: bool = True, emit: Callable[[str], None] | None = None) -> list[StepResult]:
-    """Runs steps one after the other. With fail_fast the steps after a failure are recorded as skipped."""
+def run_steps(context: Any, steps: Sequence[Step], fail_fast: bool = True, emit: Callable[[str], None] | None = None, spark: SparkSession | None = None, dry_run: bool = False) -> list[StepResult]:
+    """Runs steps one after the other, each within its timeout. With fail_fast the steps after a failure are recorded as
+    skipped. dry_run: the context (a Database, or anything with a `dry_run`) writes nothing while the steps run, and what
+    they would write is in their metrics under "planned"."""
+    if dry_run:
+        context.dry_run = True
     results: list[StepResult] = []
     failed = False
     for step in steps:
@@ -76,11 +125,13 @@ def run_steps(context: Any, steps: Sequence[Step], fail_fast: bool = True, emit:
             continue
         began = time.monotonic()
         try:
-            made = step.run(context)
+            made = with_timeout(spark, step.timeout_s, lambda s=step: s.run(context), step.name)
             result = made if isinstance(made, StepResult) else StepResult(step.layer, step.name, metrics=made or {})
         except Exception as e:  # noqa: BLE001  a step's failure is a result
             result = StepResult(step.layer, step.name, "error", error=f"{type(e).__name__}: {e}", metrics={"trace": traceback.format_exc(limit=3)})
         result.elapsed_s = time.monotonic() - began
+        if dry_run and result.status == "ok":
+            result.status, result.metrics = "dry_run", result.metrics | {"planned": list(getattr(context, "planned", ()))}
         failed |= not result.success
         results.append(result)
         if emit:
@@ -128,8 +179,7 @@ def log_run(spark: SparkSession, db: Database, results: Sequence[StepResult], ta
     run_id, now = run_id or uuid.uuid4().hex, dt.datetime.now()
     rows = [(run_id, now.date(), r.layer, r.metrics.get("source"), r.step, r.success, r.status, r.elapsed_s, r.metrics.get("rows_in"), r.metrics.get("rows_out"), r.error, r.to_json(), now) for r in results]
     new = spark.createDataFrame(rows, schemas.RUN_LOG)
-    old = db.read(table, schemas.RUN_LOG)
-    db.replace(table, old.unionByName(new))
+    db.append(table, new)
 
 
 def report(results: Sequence[StepResult]) -> str:
@@ -147,3 +197,14 @@ def retry(times: int, pause: float, work: Callable[[], Any]) -> Any:
                 raise
             time.sleep(pause)
     return None
+
+
+def failures_stop(outcomes: Iterable[bool], most: int = 8) -> int:
+    """How many outcomes may be used: all, or those before `most` failures in a row, after which a batch service is given up."""
+    run = used = 0
+    for ok in outcomes:
+        used += 1
+        run = 0 if ok else run + 1
+        if run >= most:
+            return used
+    return used

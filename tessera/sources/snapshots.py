@@ -5,13 +5,13 @@ from __future__ import annotations
 import datetime as dt
 import json
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import norm_key
+from ..functions.text import norm_key, url_without_query, ymd
 
 _NAME = re.compile(r"^(?P<prefix>.+)_(?P<d>\d{2})(?P<m>\d{2})(?P<y>\d{4})$")
 
@@ -145,5 +145,59 @@ def jdbc_table(spark: SparkSession, url: str, table: str, columns: list[str], fe
     return spark.read.format("jdbc").option("url", url).option("dbtable", table).option("fetchsize", fetch).load().select(*columns)
 
 
+def ranked_names(names: DataFrame, prefix: str, as_of: dt.date | None = None, column: str = "name") -> DataFrame:
+    """(name, snapshot_date, age) of the family's snapshot tables, the latest of age 1; other names and bad dates are left out."""
+    rows = names.filter(F.col(column).rlike(f"^{re.escape(prefix)}_[0-9]{{8}}$")).select(F.col(column).alias("name"), ymd(F.col(column)).alias("snapshot_date")).filter("snapshot_date is not null")
+    if as_of is not None:
+        rows = rows.filter(F.col("snapshot_date") <= F.lit(as_of))
+    return rows.withColumn("age", F.dense_rank().over(Window.orderBy(F.desc("snapshot_date"))))
+
+
+def download_log(listings: DataFrame, images: str = "images", key: str = "site_id", source: str = "source") -> DataFrame:
+    """(site_id, source, urls, filenames): what a download of each listing's first images would log. File names are made of
+    source, id and place; the extension is the url's, else .jpg. Listings without an image are left out."""
+    urls = image_urls(F.col(images))
+    ext = lambda u: F.coalesce(F.nullif(F.regexp_extract(F.lower(url_without_query(u)), r"\.(png|webp|jpe?g)$", 0), F.lit("")), F.lit(".jpg"))
+    named = F.transform(urls, lambda x: F.concat(F.col(source), F.lit("_"), F.col(key).cast("string"), F.lit("_"), x["pos"].cast("string"), ext(x["url"])))
+    rows = listings.select(F.col(key), F.col(source), F.transform(urls, lambda x: x["url"]).alias("urls"), named.alias("filenames")).filter(F.size("urls") > 0)
+    return rows.select(key, source, F.to_json("urls").alias("urls"), F.to_json("filenames").alias("filenames"))
+
+
+def deletable(files: DataFrame, hashed: DataFrame, prefix: str, column: str = "path") -> DataFrame:
+    """Paths of files that may be deleted: hashed ones inside the image folder, without any step out of it."""
+    root = prefix.rstrip("/") + "/"
+    inside = F.col(column).startswith(root) & ~F.col(column).rlike(r"(^|/)\.\.(/|$)")
+    return files.select(column).filter(inside).join(hashed.select(column), column, "left_semi").distinct()
+
+
+def fetch_images(urls: DataFrame, get: Callable[[str], tuple[int, str, bytes]], url: str = "url", tries: int = 4, backoff: float = 0.4) -> DataFrame:
+    """(url, status, content_type, content, tries) of every url, fetched once each in the tasks by get(url) -> (status, type,
+    content). Statuses 429 and 5xx and errors are tried again after backoff * 2**n seconds; what still fails has no content."""
+
+    def run(batches):
+        import time
+
+        import pandas as pd
+
+        for pdf in batches:
+            out = []
+            for u in pdf[url]:
+                status, kind, content, n = 0, None, None, 0
+                while n < tries:
+                    if n:
+                        time.sleep(backoff * 2 ** (n - 1))
+                    n += 1
+                    try:
+                        status, kind, content = get(u)
+                    except OSError:
+                        status, kind, content = 0, None, None
+                    if status and status != 429 and status < 500:
+                        break
+                out.append((u, status, kind, content if status == 200 else None, n))
+            yield pd.DataFrame(out, columns=["url", "status", "content_type", "content", "tries"])
+
+    return urls.select(url).filter(F.col(url).isNotNull()).distinct().mapInPandas(run, "url string, status int, content_type string, content binary, tries int")
+
+
 def lacking_downloads(listings: DataFrame, log: DataFrame, key: str = "site_id") -> DataFrame:
     return listings.join(log.select(key).distinct(), key, "left_anti")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.relational import insert_absent, sync_snapshot
+from ..lineage import checkpoint_root, cut_lineage
+from ..operators.relational import insert_absent, pick_one, sync_snapshot, union_by_name
 from ..storage import Database
 
 
@@ -34,14 +36,25 @@ def unprocessed_stream(stream: DataFrame, db: Database, processed: str, schema:
 
     def step(batch: DataFrame, _: int) -> None:
         old = db.read(processed, schema)
-        new = insert_absent(old, batch.select(*schema.names), keys)
+        new = cut_lineage(insert_absent(old, batch.select(*schema.names), keys), "new")
         found = work(new, old)
-        before = db.read(out, found.schema)
-        db.publish({out: before.unionByName(found), processed: old.unionByName(new)})
+        # Both appends are one publication: a batch that runs again finds its rows in the history and adds nothing.
+        db.publish({out: found, processed: new}, append=True)
 
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def drained(stream: DataFrame, mode: str = "append", keys: list[str] | None = None) -> DataFrame:
+    """What a stream gives for all that is there now, as a table: each batch is written to the shared folder. mode "update":
+    a later batch's row replaces the earlier one of its keys."""
+    parts: list[DataFrame] = []
+    checkpoint = f"{checkpoint_root(stream.sparkSession).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    keep = lambda batch, n: parts.append(cut_lineage(batch.withColumn("_batch", F.lit(n)), "batch"))
+    stream.writeStream.foreachBatch(keep).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    rows = union_by_name(*parts) if parts else stream.sparkSession.createDataFrame([], stream.schema).withColumn("_batch", F.lit(0))
+    return (pick_one(rows, keys, [F.desc("_batch")]) if keys else rows).drop("_batch")
+
+
 def distinct_events(stream: DataFrame, keys: list[str], ts: str, late: str = "2 days") -> DataFrame:
     """Each event once, as long as its repeats come within the watermark."""
     return stream.withWatermark(ts, late).dropDuplicatesWithinWatermark(keys)
