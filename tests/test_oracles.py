@@ -6,7 +6,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from tessera import queries as Q
+from tessera import layer_queries as Q
 
 DIR = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
