@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import domain as D
 from ..functions import text as X
+from ..lineage import cut_lineage
 from ..operators import fuzzy, graph, phash
 from ..operators.relational import allocate_ids, pick_one, union_by_name, within_pairs
 
@@ -65,28 +66,29 @@ def _keys(rows: DataFrame) -> DataFrame:
     return rows.withColumn("city_key", X.norm_key(F.col("norm_city"))).withColumn("part_key", X.norm_key(F.col("norm_city_part"))).withColumn("street_key", X.norm_key(F.col("norm_street")))
 
 
-def _look_up(rows: DataFrame, on: str, entries: DataFrame, entry_key: str, prefix: str, exact_only: bool = False) -> DataFrame:
-    """rows with <prefix>_town, _county, _district and _part of the entry that matches column `on`, exactly or fuzzily."""
+def _look_up(rows: DataFrame, base: DataFrame, on: str, entries: DataFrame, entry_key: str, prefix: str) -> DataFrame:
+    """rows with <prefix>_town, _county, _district and _part of the entry that matches column `on`, exactly or fuzzily.
+
+    base: a written table with the column, so that what is looked up does not depend on the look-ups before it."""
     e = entries.select(F.col(entry_key).alias("_m"), F.col("town").alias(f"{prefix}_town"), F.col("county").alias(f"{prefix}_county"), F.col("city_district").alias(f"{prefix}_district"), F.col("part").alias(f"{prefix}_part"))
-    if exact_only:
-        return rows.join(e, rows[on] == e["_m"], "left").drop("_m")
-    found = fuzzy.best_match(rows, entries, on, entry_key).select(F.col("query").alias("_q"), F.col("match").alias("_m")).join(e, "_m").drop("_m")
+    found = fuzzy.best_match(base, entries, on, entry_key).select(F.col("query").alias("_q"), F.col("match").alias("_m")).join(e, "_m").drop("_m")
     return rows.join(found, rows[on] == found["_q"], "left").drop("_q")
 
 
-def _verdict(rows: DataFrame, city: Column, part: Column, county: Column, region: Column, ok: Column) -> DataFrame:
+def _verdict(rows: DataFrame, city: Column, part: Column, county: Column, region: Column, ok: Column, *more: str) -> DataFrame:
     """Only what is known changes: a null fix keeps the old value, and a row without a match keeps all."""
     return rows.select(
         "internal_id", F.coalesce(F.when(ok, region), F.col("norm_district")).alias("norm_district"), F.coalesce(F.when(ok, county), F.col("norm_okres")).alias("norm_okres"),
         F.coalesce(F.when(ok, city), F.col("norm_city")).alias("norm_city"), F.coalesce(F.when(ok, part), F.col("norm_city_part")).alias("norm_city_part"), "norm_street",
-        ok.alias("geo_ok"), (~ok).alias("not_true"),
+        ok.alias("geo_ok"), (~ok).alias("not_true"), *more,
     )
 
 
 def region_cascade(subset: DataFrame, towns: DataFrame, parts: DataFrame, streets: DataFrame, region: str) -> DataFrame:
     """Verdicts for a region's open rows: town by exact or fuzzy city, else by part, else by street, else rejected."""
-    rows = _keys(subset.filter((F.col("norm_district") == region) & ~F.coalesce("geo_ok", F.lit(False))))
-    rows = _look_up(_look_up(_look_up(rows, "city_key", towns, "town_key", "c"), "part_key", parts, "part_key", "p"), "street_key", streets, "street_key", "s")
+    rows = base = cut_lineage(_keys(subset.filter((F.col("norm_district") == region) & ~F.coalesce("geo_ok", F.lit(False)))), "open")
+    for on, entries, prefix in (("city_key", towns, "c"), ("part_key", parts, "p"), ("street_key", streets, "s")):
+        rows = _look_up(rows, base, on, entries, on.replace("city", "town"), prefix)
     town, county = F.coalesce("c_town", "p_town", "s_town"), F.when(F.col("c_town").isNotNull(), F.col("c_county")).when(F.col("p_town").isNotNull(), F.col("p_county")).otherwise(F.col("s_county"))
     return _verdict(rows, town, F.col("norm_city_part"), county, F.lit(region), town.isNotNull())
 
@@ -94,12 +96,12 @@ def region_cascade(subset: DataFrame, towns: DataFrame, parts: DataFrame, street
 def capital_cascade(subset: DataFrame, capital: tuple[DataFrame, DataFrame, DataFrame], neighbour: tuple[DataFrame, DataFrame, DataFrame]) -> DataFrame:
     """Verdicts for the capital's open rows, with the phase that decided: 1 by its label, 2 by part or street of its
     registry, 3 by a town, part or street of the neighbouring region, 0 rejected."""
-    rows = _keys(subset.filter((F.col("norm_district") == D.CAPITAL) & ~F.coalesce("geo_ok", F.lit(False))))
+    rows = base = cut_lineage(_keys(subset.filter((F.col("norm_district") == D.CAPITAL) & ~F.coalesce("geo_ok", F.lit(False)))), "open")
     numbered, plain = X.is_numbered_capital(F.col("city_key")), F.coalesce(F.col("city_key").isin("praha", "praga"), F.lit(False))
     _, parts, streets = capital
-    rows = _look_up(_look_up(rows, "part_key", parts, "part_key", "p"), "street_key", streets, "street_key", "s")
     towns2, parts2, streets2 = neighbour
-    rows = _look_up(_look_up(_look_up(rows, "city_key", towns2, "town_key", "nc"), "part_key", parts2, "part_key", "np"), "street_key", streets2, "street_key", "ns")
+    for on, entries, prefix in (("part_key", parts, "p"), ("street_key", streets, "s"), ("city_key", towns2, "nc"), ("part_key", parts2, "np"), ("street_key", streets2, "ns")):
+        rows = _look_up(rows, base, on, entries, on.replace("city", "town"), prefix)
     guessed = F.coalesce("p_district", "s_district")
     town = F.coalesce("nc_town", "np_town", "ns_town")
     county = F.when(F.col("nc_town").isNotNull(), F.col("nc_county")).when(F.col("np_town").isNotNull(), F.col("np_county")).otherwise(F.col("ns_county"))
@@ -107,8 +109,7 @@ def capital_cascade(subset: DataFrame, capital: tuple[DataFrame, DataFrame, Data
     rows = rows.withColumn("phase", phase)
     city = F.when(numbered, X.capital_label(F.col("norm_city"))).when(plain, "Praha").when(F.col("phase") == 2, X.capital_label(guessed)).otherwise(town)
     part = F.when(F.col("phase") == 2, F.coalesce("norm_city_part", F.when(F.col("p_district").isNull(), F.col("s_part"))))
-    out = _verdict(rows, city, part, F.when(F.col("phase") == 3, county), F.when(F.col("phase") == 3, D.NEIGHBOUR).otherwise(D.CAPITAL), F.col("phase") > 0)
-    return out.join(rows.select("internal_id", "phase"), "internal_id")
+    return _verdict(rows, city, part, F.when(F.col("phase") == 3, county), F.when(F.col("phase") == 3, D.NEIGHBOUR).otherwise(D.CAPITAL), F.col("phase") > 0, "phase")
 
 
 # ---------------------------------------------------------------- duplicates
