@@ -225,14 +225,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     comp = stored(comp, "bucket-components")
     # Buckets with members of several components are open. The members of a bucket's largest component are compared with the
     # others alone: they are dealt to blocks once for each block of the others, so that a large group with few others in
-    # its buckets costs no more than its size.
+    # its buckets costs no more than its size. A bucket that fits into a block is one.
     per = comp.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("m"))
     apart = per.groupBy("bucket").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("k", "comp", "m")).alias("most"), F.sum("k").alias("size"), F.sum("m").alias("mass")).filter("comps > 1")
     blocks = lambda k, m: F.ceil(F.greatest(k / BLOCK_MEMBERS, m / BLOCK_SHINGLES)).cast("long")
-    apart = apart.select("bucket", F.col("most.comp").alias("major"), blocks(F.col("most.k"), F.col("most.m")).alias("x"), blocks(F.col("size") - F.col("most.k"), F.col("mass") - F.col("most.m")).alias("y"))
+    apart = apart.select("bucket", F.col("most.comp").alias("major"), blocks(F.col("most.k"), F.col("most.m")).alias("x"), blocks(F.col("size") - F.col("most.k"), F.col("mass") - F.col("most.m")).alias("y"), ((F.col("size") <= BLOCK_MEMBERS) & (F.col("mass") <= BLOCK_SHINGLES)).alias("one"))
     open_rows = comp.select("bucket", "rep", "n", "comp").join(apart, "bucket").withColumn("major", F.col("comp") == F.col("major"))
-    open_rows = open_rows.withColumn("block", F.when(F.col("major"), F.expr("pmod(xxhash64(rep), x)")).otherwise(F.col("x") + F.expr("pmod(xxhash64(rep), y)")))
-    open_rows = open_rows.withColumn("other", F.explode(F.when(F.col("major"), F.expr("sequence(x, x + y - 1)")).otherwise(F.expr("sequence(0l, x + y - 1)"))))
+    open_rows = open_rows.withColumn("block", F.when(F.col("one"), F.lit(0).cast("long")).when(F.col("major"), F.expr("pmod(xxhash64(rep), x)")).otherwise(F.col("x") + F.expr("pmod(xxhash64(rep), y)")))
+    open_rows = open_rows.withColumn("other", F.explode(F.when(F.col("one"), F.array(F.lit(0).cast("long"))).when(F.col("major"), F.expr("sequence(x, x + y - 1)")).otherwise(F.expr("sequence(0l, x + y - 1)"))))
     open_rows = open_rows.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", F.col("rep").alias("id"), "comp", "n")
     facts = _fingerprints(texts, width).join(classes.select(F.col("rep").alias("id"), "n", "bands"), "id").select("id", "bands", "low")
     members = open_rows.join(facts, "id").filter(F.array_contains("bands", F.col("bucket"))).select("bucket", "i", "j", "block", "id", "comp", "n", "bands", "low")
