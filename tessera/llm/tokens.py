@@ -9,10 +9,13 @@ stitches the documents that cross blocks and numbers them.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import BinaryIO
+from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -26,6 +29,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 SEPARATOR = 50256
 
 BLOCK_TOKENS = 1 << 16
+#: Bytes of a token file that one task reads, and blocks whose summaries one task of the prefix scan combines.
+RANGE_BYTES, CHUNK_BLOCKS = 128 << 20, 1024
 _BLOCK_SCHEMA = pa.schema([("file", pa.string()), ("block", pa.int64()), ("tokens", pa.binary())])
 #: Characters that are encoded at once; a longer text is encoded in pieces that end before a space after a letter or digit.
 PIECE = 1 << 18
@@ -101,22 +106,50 @@ def token_blocks(docs: DataFrame, id_col: str, text_col: str, ranks: dict[bytes,
     return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(run, f"file string, block long, tokens binary, ids array<{kind}>")
 
 
-def read_token_files(spark: SparkSession, path: str, width: int = 2, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """(file, block, tokens) of flat token files below 2 GB each (what one binary value can hold), in blocks. A rest
-    shorter than a token at a file's end is an error."""
+def open_file(path: str) -> BinaryIO:
+    """A file of a path as Spark names it, on any file system that pyarrow knows (local, HDFS, S3, GCS)."""
+    scheme, colon, rest = path.partition(":")
+    system, name = pyarrow.fs.FileSystem.from_uri(f"{scheme}:{quote(rest, safe='/:@')}" if colon else path)
+    return system.open_input_file(name)
+
+
+def read_token_files(spark: SparkSession, path: str, width: int = 2, block_tokens: int = BLOCK_TOKENS, opened: Callable[[str], BinaryIO] = open_file) -> DataFrame:
+    """(file, block, tokens) of flat token files of any size, in blocks. Spark lists the files; tasks read ranges of
+    RANGE_BYTES of them through `opened`, block by block, so a large file is shared by many tasks and none holds more than a
+    block. A rest shorter than a token at a file's end is an error. A job runs to count the ranges."""
+    step = block_tokens * width
+    span = max(1, RANGE_BYTES // step) * step
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = block_tokens * width
         for batch in batches:
-            for name, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                data = raw.as_buffer()
-                if data.size % width:
-                    raise ValueError(f"{name} has {data.size} bytes, no multiple of {width}")
-                for k in range(0, data.size, step):
-                    part = data.slice(k, min(step, data.size - k)).to_pybytes()
-                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([k // step], pa.int64()), pa.array([part], pa.binary())], schema=_BLOCK_SCHEMA)
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "file string, block long, tokens binary")
+            for name, length, first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if length % width:
+                    raise ValueError(f"{name} has {length} bytes, no multiple of {width}")
+                with opened(name) as f:
+                    f.seek(first)
+                    for k in range(first, min(length, first + span), step):
+                        part = f.read(min(step, length - k))
+                        if len(part) < min(step, length - k):
+                            raise OSError(f"{name} ends before its {length} bytes")
+                        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([k // step], pa.int64()), pa.array([part], pa.binary())], schema=_BLOCK_SCHEMA)
+
+    files = spark.read.format("binaryFile").load(path).select("path", "length").filter("length > 0")
+    count = files.agg(F.sum(F.ceil(F.col("length") / F.lit(span)))).first()[0] or 1
+    ranges = files.select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(span).cast("long"))).alias("first"))
+    return ranges.repartition(int(count)).mapInArrow(run, "file string, block long, tokens binary")
+
+
+def _scanned(parts: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """parts (n, size, tail) with what stands before each among those of its keys: first (separators), any (whether there is
+    one), carry (tokens since the last one, or all), and rest, the tokens since the last separator at its own end."""
+    order_by = Window.partitionBy(*keys).orderBy(order)
+    before = order_by.rowsBetween(Window.unboundedPreceding, -1)
+    # Sizes of parts without separator add up after the tail of the last part that has one.
+    parts = parts.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0))).withColumn("left", F.coalesce(F.last(F.when(F.col("n") > 0, F.col("tail")), True).over(before), F.lit(0)))
+    within = Window.partitionBy(*keys, "first").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("carry", F.col("left") + F.coalesce(F.sum(F.when(F.col("n") == 0, F.col("size"))).over(within), F.lit(0)))
+    rest = F.when(F.col("n") > 0, F.col("tail")).otherwise(F.col("size") + F.col("carry"))
+    return parts.withColumn("any", F.col("first") > 0).withColumn("rest", rest).drop("left")
 
 
 def separator_scan(blocks: DataFrame, separator: int = SEPARATOR, width: int = 2) -> DataFrame:
@@ -125,7 +158,10 @@ def separator_scan(blocks: DataFrame, separator: int = SEPARATOR, width: int = 2
     without one (place -1); if nothing stands there, none is made.
 
     blocks: file, block, tokens; a file's blocks are numbered without gaps, and empty ones may be among them. Blocks with
-    null tokens count as empty. An empty table gives an empty result; other columns are ignored."""
+    null tokens count as empty. An empty table gives an empty result; other columns are ignored.
+
+    The prefix scan has two levels: within chunks of CHUNK_BLOCKS blocks, then over one row a chunk. So of a file, however
+    large, one task sees only the chunks' sums. The summaries are written, so jobs run while the result is built."""
     dtype = {2: "<u2", 4: "<u4"}[width]
     names = ["file", "block", "n", "size", "head", "tail", "inner"]
 
@@ -143,18 +179,19 @@ def separator_scan(blocks: DataFrame, separator: int = SEPARATOR, width: int = 2
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in (n, size, head, tail)), pa.array(inner, pa.list_(pa.int64()))], names=names)
 
     summary = blocks.select("file", "block", "tokens").mapInArrow(run, "file string, block long, n long, size long, head long, tail long, inner array<long>")
-    order = Window.partitionBy("file").orderBy("block")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    # Tokens since the last separator: sizes of blocks without one add up after the last block's tail that has one.
-    summary = summary.withColumn("run", F.count(F.when(F.col("n") > 0, 1)).over(before))
-    within = Window.partitionBy("file", "run").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    summary = summary.withColumn("since", F.coalesce(F.sum(F.when(F.col("n") == 0, F.col("size"))).over(within), F.lit(0))).withColumn("left", F.coalesce(F.last(F.when(F.col("n") > 0, F.col("tail")), True).over(before), F.lit(0)))
-    summary = summary.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0))).withColumn("end", F.row_number().over(Window.partitionBy("file").orderBy(F.desc("block"))) == 1)
-    carry = F.col("since") + F.col("left")
-    lengths = F.when(F.col("n") > 0, F.concat(F.array(F.col("head") + carry), F.col("inner"))).otherwise(F.array().cast("array<bigint>"))
-    rest = F.when(F.col("n") > 0, F.col("tail")).otherwise(F.col("size") + carry)
-    found = summary.select("file", "block", "first", F.posexplode(lengths).alias("place", "n_tokens")).select("file", (F.col("first") + F.col("place")).alias("ordinal"), "n_tokens", "block", F.col("place").cast("long").alias("place"))
-    open_end = summary.filter("end").select("file", (F.col("first") + F.col("n")).alias("ordinal"), rest.alias("n_tokens"), "block", F.lit(-1).cast("long").alias("place")).filter("n_tokens > 0")
+    summary = stored(summary.withColumn("chunk", F.floor(F.col("block") / F.lit(CHUNK_BLOCKS))), "token-summaries")
+    slim = _scanned(summary.drop("head", "inner"), ["file", "chunk"], "block")
+    chunks = slim.groupBy("file", "chunk").agg(F.sum("n").alias("n"), F.max_by("rest", "block").alias("rest"), F.max("block").alias("last"))
+    # A chunk is like a block: without separators its size is its rest, with some its tail is.
+    chunks = _scanned(chunks.withColumn("size", F.col("rest")).withColumn("tail", F.col("rest")).drop("rest"), ["file"], "chunk")
+    before = chunks.select("file", "chunk", F.col("first").alias("chunk_first"), F.col("carry").alias("chunk_carry"))
+    at = slim.select("file", "chunk", "block", F.col("first"), F.col("carry"), F.col("any")).join(before, ["file", "chunk"])
+    at = at.select("file", "block", (F.col("first") + F.col("chunk_first")).alias("first"), (F.col("carry") + F.when(F.col("any"), 0).otherwise(F.col("chunk_carry"))).alias("carry"))
+    with_any = summary.filter("n > 0").select("file", "block", "head", "inner").join(at, ["file", "block"])
+    lengths = F.concat(F.array(F.col("head") + F.col("carry")), F.col("inner"))
+    found = with_any.select("file", "block", "first", F.posexplode(lengths).alias("place", "n_tokens")).select("file", (F.col("first") + F.col("place")).alias("ordinal"), "n_tokens", "block", F.col("place").cast("long").alias("place"))
+    end = chunks.groupBy("file").agg(F.max_by(F.struct("first", "n", "rest", "last"), "chunk").alias("e")).select("file", "e.*")
+    open_end = end.select("file", (F.col("first") + F.col("n")).alias("ordinal"), F.col("rest").alias("n_tokens"), F.col("last").alias("block"), F.lit(-1).cast("long").alias("place")).filter("n_tokens > 0")
     return found.unionByName(open_end)
 
 

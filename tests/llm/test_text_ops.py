@@ -125,18 +125,29 @@ def test_mix_of_nothing(spark):
 # ---------------------------------------------------------------- tokens
 
 
-@pytest.mark.parametrize("block", [1, 7, 64, 100_000])
-def test_separator_scan(spark, block, tmp_path):
+@pytest.mark.parametrize("block, chunk, span", [(1, 3, 10), (1, 1024, 128 << 20), (7, 1, 50), (7, 2, 1), (64, 5, 300), (100_000, 1024, 128 << 20)])
+def test_separator_scan(spark, monkeypatch, block, chunk, span, tmp_path):
+    monkeypatch.setattr(tokens, "CHUNK_BLOCKS", chunk)
+    monkeypatch.setattr(tokens, "RANGE_BYTES", span)
     draw = random.Random(block)
     lengths = [draw.choice([0, 0, 1, 2, 5, 40, 200]) for _ in range(120)]
     flat = np.concatenate([np.r_[np.full(n, 3), 9] for n in lengths]).astype("<u2")
     (tmp_path / "a.bin").write_bytes(flat.tobytes())
     (tmp_path / "b.bin").write_bytes(np.array([1, 2, 9, 4, 4], "<u2").tobytes())
     (tmp_path / "c.bin").write_bytes(b"")
+    (tmp_path / "d 10%.bin").write_bytes(np.array([3] * 90, "<u2").tobytes())
     got: dict[str, list] = {}
     for r in tokens.separator_scan(tokens.read_token_files(spark, str(tmp_path), 2, block), 9).orderBy("file", "ordinal").collect():
         got.setdefault(r.file[-5:], []).append((r.ordinal, r.n_tokens))
-    assert got == {"a.bin": list(enumerate(lengths)), "b.bin": [(0, 2), (1, 2)]}
+    assert got == {"a.bin": list(enumerate(lengths)), "b.bin": [(0, 2), (1, 2)], "%.bin": [(0, 90)]}
+
+
+def test_token_files_end_with_a_token(spark, tmp_path):
+    (tmp_path / "odd.bin").write_bytes(b"abc")
+    with pytest.raises(Exception, match="no multiple of 2"):
+        tokens.read_token_files(spark, str(tmp_path)).count()
+    (tmp_path / "odd.bin").write_bytes(b"")
+    assert tokens.separator_scan(tokens.read_token_files(spark, str(tmp_path))).count() == 0
 
 
 def test_vocabularies_of_one_size_and_width(spark):
