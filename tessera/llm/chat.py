@@ -83,8 +83,9 @@ def format_chats(messages: DataFrame, top: int = 1, trained_role: str = "assista
     formatted whole. An empty table gives an empty result; other columns are ignored. Jobs run while the result is built."""
     messages = messages.filter("conv_id is not null and node is not null").select("conv_id", "node", "parent", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
     once = F.row_number().over(Window.partitionBy("conv_id", "node").orderBy("parent", "role", "text", "score"))
-    messages = messages.withColumn("_nth", once).filter("_nth = 1").drop("_nth")
-    nodes = stored(messages.select("conv_id", "node", "parent", "score"), "chat-nodes")
+    # Written once: the rounds read ids and scores alone, and texts are not numbered a second time for the final join.
+    messages = stored(messages.withColumn("_nth", once).filter("_nth = 1").drop("_nth"), "chat-messages")
+    nodes = messages.select("conv_id", "node", "parent", "score")
     jumps = _jumps(nodes)
     member = path_messages(stored(ranked_leaves(nodes, jumps, top), "chat-leaves"), jumps)
     turns = member.join(messages.drop("score", "parent"), ["conv_id", "node"])
