@@ -7,9 +7,13 @@ a notice that stands alone on a line is found in a longer text.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import stored
 from .licence_digests import DIGESTS
 
 # Licence texts and notices, as their authors publish them.
@@ -55,29 +59,46 @@ LICENCES = {
     "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.",),
 }
 
-#: Steps of the normal form: pattern and replacement, for Java's and RE2's regular expressions alike.
+#: Steps of the normal form: pattern and replacement, for Java's and RE2's regular expressions alike, and literals of which a
+#: text that the pattern matches holds one at least (none: any text may match).
 STEPS = (
     # Copyright lines go whole, with what marks a comment before them.
-    (r"(^|\n)[ \t*#/;-]*((copyright[ \t]*(\(c\)|©|[0-9]|by |<|\[)|\(c\)[ \t]*[0-9]|©)|all rights reserved)[^\n]*", "\n"),
-    (r"\bsub-licen[cs]e", "sublicense"),
-    (r"\blicence", "license"),
-    (r"\bnon-(commercial|infringement)", r"non{1}"),
-    (r"\bcopyright-holder", "copyright holder"),
-    (r"\borganisation", "organization"),
-    (r"http://", "https://"),
+    (r"(^|\n)[ \t*#/;-]*((copyright[ \t]*(\(c\)|©|[0-9]|by |<|\[)|\(c\)[ \t]*[0-9]|©)|all rights reserved)[^\n]*", "\n", ("copyright", "(c)", "©", "all rights reserved")),
+    (r"\bsub-licen[cs]e", "sublicense", ("sub-licen",)),
+    (r"\blicence", "license", ("licence",)),
+    (r"\bnon-(commercial|infringement)", r"non{1}", ("non-commercial", "non-infringement")),
+    (r"\bcopyright-holder", "copyright holder", ("copyright-holder",)),
+    (r"\borganisation", "organization", ("organisation",)),
+    (r"http://", "https://", ("http://",)),
     # Everything but letters, digits and line feeds is one space.
-    (r"[^\p{L}\p{N}\n]+", " "),
-    (r" ?\n[ \n]*", "\n"),
+    (r"[^\p{L}\p{N}\n]+", " ", ()),
+    (r" ?\n[ \n]*", "\n", ()),
 )
+#: Known texts that a plan holds as a literal at most.
+INLINE = 4096
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def _stepper(pattern: str, to: str, literals: tuple[str, ...]):
+    def run(x):
+        done = F.regexp_replace(x, pattern, to.replace("{1}", "$1"))
+        return F.when(reduce(or_, [F.contains(x, F.lit(y)) for y in literals]), done).otherwise(x) if literals else done
+
+    return run
+
+
 def canonical(text):
-    """Column of the normal form; its lines are those of the text that are left, without empty ones."""
-    out = F.translate(text, _UPPER, _LOWER)
-    for pattern, to in STEPS:
-        out = F.regexp_replace(out, pattern, to.replace("{1}", "$1"))
-    return F.regexp_replace(out, r"^[ \n]+|[ \n]+$", "")
+    """Column of the normal form; its lines are those of the text that are left, without empty ones. A search for literals,
+    far cheaper than one for a pattern, tells which steps a text can do without. The text goes from step to step as the one
+    element of an array, so that the expression names it once and stays small wherever a filter is pushed."""
+    held = F.array(F.translate(text, _UPPER, _LOWER))
+    for step in STEPS:
+        held = F.transform(held, _stepper(*step))
+    return F.regexp_replace(F.element_at(held, 1), r"^[ \n]+|[ \n]+$", "")
+
+
+def _digest(form):
+    return F.md5(F.replace(form, F.lit("\n"), F.lit(" ")))
 
 
 def known_digests(spark: SparkSession, licences: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
@@ -85,7 +106,7 @@ def known_digests(spark: SparkSession, licences: dict[str, tuple[str, ...]] | No
     sorts first. The SQL equivalent knows LICENCES alone."""
     rows = [(name, text) for name, texts in (LICENCES if licences is None else licences).items() for text in texts]
     texts = spark.createDataFrame(rows, "licence string, text string")
-    digests = texts.select(F.md5(F.replace(canonical(F.col("text")), F.lit("\n"), F.lit(" "))).alias("digest"), "licence")
+    digests = texts.select(_digest(canonical(F.col("text"))).alias("digest"), "licence")
     if licences is None:
         digests = digests.union(spark.createDataFrame([(d, name) for name, ds in DIGESTS.items() for d in ds], "digest string, licence string"))
     return digests.groupBy("digest").agg(F.min("licence").alias("licence"))
@@ -97,15 +118,21 @@ def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: st
     digest is of the whole normal form, licence the known one with that digest, else null. notices lists, sorted and joined
     by commas, the licences that a line of the text is a known text of; n_notices counts such lines. A null text has a null
     digest and no notices, an empty or blank one the digest of the empty string. Repeated rows give equal rows; an empty
-    table gives an empty result; other columns are ignored. known holds a digest once and is small, as licences are."""
+    table gives an empty result; other columns are ignored. known holds a digest once. Up to INLINE known texts are looked up
+    as a literal; with more, lines are joined to them, and a job runs while the result is built."""
     names = known.select("digest", "licence")
     rows = docs.select(F.col(id_col).alias("doc_id"), canonical(F.col(text_col)).alias("form"))
-    whole = rows.withColumn("digest", F.md5(F.replace("form", F.lit("\n"), F.lit(" "))))
-    # The known notices as one map literal: a line is looked up where it stands, and no line is moved.
-    pairs = {r["digest"]: r["licence"] for r in names.collect()}
-    table = F.create_map(*[F.lit(x) for kv in sorted(pairs.items()) for x in kv]) if pairs else F.create_map().cast("map<string,string>")
-    lines = F.filter(F.transform(F.split(F.coalesce("form", F.lit("")), "\n"), lambda x: F.element_at(table, F.md5(x))), lambda x: x.isNotNull())
-    found = whole.withColumn("lines", lines)
+    whole = rows.withColumn("digest", _digest(F.col("form")))
+    lines = F.split(F.coalesce("form", F.lit("")), "\n")
+    pairs = {r["digest"]: r["licence"] for r in names.limit(INLINE + 1).collect()}
+    if len(pairs) <= INLINE:  # a line is looked up where it stands, and no line is moved
+        table = F.create_map(*[F.lit(x) for kv in sorted(pairs.items()) for x in kv]) if pairs else F.create_map().cast("map<string,string>")
+        found = whole.withColumn("lines", F.filter(F.transform(lines, lambda x: F.element_at(table, F.md5(x))), lambda x: x.isNotNull()))
+    else:
+        whole = stored(whole.withColumn("row", F.monotonically_increasing_id()), "licence-forms")
+        held = whole.select("row", F.explode(lines).alias("line")).select("row", F.md5("line").alias("digest"))
+        hits = held.join(names, "digest").groupBy("row").agg(F.collect_list("licence").alias("lines"))
+        found = whole.join(hits, "row", "left").withColumn("lines", F.coalesce("lines", F.array().cast("array<string>")))
     joined = found.join(names, "digest", "left")
     return joined.select("doc_id", "digest", "licence", F.size("lines").cast("long").alias("n_notices"), F.array_join(F.array_sort(F.array_distinct("lines")), ",").alias("notices"))
 
@@ -115,7 +142,7 @@ def oracle() -> str:
 
     def form(text: str) -> str:
         out = f"translate({text}, '{_UPPER}', '{_LOWER}')"
-        for pattern, to in STEPS:
+        for pattern, to, _ in STEPS:
             to = "' || chr(10) || '" if to == "\n" else to.replace("{1}", r"\1")
             out = f"regexp_replace({out}, '{pattern}', '{to}', 'g')"
         return rf"regexp_replace({out}, '^[ \n]+|[ \n]+$', '', 'g')"

@@ -246,6 +246,23 @@ def test_licence_scan(spark):
     assert licences.scan(df, licences.known_digests(spark).limit(0)).filter("n_notices > 0").count() == 0
 
 
+def test_licence_forms_and_joined_lines(spark, monkeypatch):
+    """Steps that a text can do without change nothing, and lines joined to known texts give what a literal table gives."""
+    marks = ["copyright 2020 x", "(c) 1999", "© me", "All Rights Reserved.", "sub-licence", "sub-license", "the licence", "non-commercial", "non-infringement", "copyright-holder", "organisation", "http://a.b", "a non-sequitur", "plain", "(c) by nobody", ""]
+    texts = [f"{x}\nReleased under the MIT License.\n{y}" for x in marks for y in marks]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    plain = F.translate("text", licences._UPPER, licences._LOWER)
+    for pattern, to, _ in licences.STEPS:
+        plain = F.regexp_replace(plain, pattern, to.replace("{1}", "$1"))
+    plain = F.regexp_replace(plain, r"^[ \n]+|[ \n]+$", "")
+    assert df.filter(~licences.canonical(F.col("text")).eqNullSafe(plain)).count() == 0
+    known = licences.known_digests(spark)
+    want = sorted(map(tuple, licences.scan(df, known).collect()))
+    assert all(r[3] >= 1 for r in want)
+    monkeypatch.setattr(licences, "INLINE", 3)
+    assert sorted(map(tuple, licences.scan(df, known).collect())) == want
+
+
 APACHE_HEADER = """# Licensed under the Apache License, Version 2.0 (the "License");
 # you may not use this file except in compliance with the License.
 # You may obtain a copy of the License at
