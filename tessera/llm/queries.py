@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import chat, covertree, decontaminate, html, licences, minhash, mixing, pii, tokens, toxicity
+from . import chat, covertree, decontaminate, html, licences, manifest, minhash, mixing, pii, tokens, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,6 +78,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.verify_tampered(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cover_tree_topk": op1_cover_tree_topk,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -89,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extract": op8_html_extract,
     "op9_pii": op9_pii,
     "op10_decontaminate": op10_decontaminate,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 ORACLES: dict[str, str] = {
     "op1_cover_tree_topk": covertree.ORACLE,
@@ -96,4 +101,5 @@ ORACLES: dict[str, str] = {
     "op3_licence_scan": licences.oracle(),
     "op5_mix_sources": mixing.ORACLE,
     "op6_chat_format": chat.ORACLE,
+    "op11_merkle_manifest": manifest.oracle(),
 }
