@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import chat, covertree, decontaminate, html, licences, manifest, minhash, mixing, pii, tokens, toxicity
+from . import chat, covertree, decontaminate, divergence, html, licences, manifest, minhash, mixing, pii, tokens, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +82,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.verify_tampered(table(spark, sf_dir, "documents"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cover_tree_topk": op1_cover_tree_topk,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -94,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": op9_pii,
     "op10_decontaminate": op10_decontaminate,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_source_divergence": op12_source_divergence,
 }
 ORACLES: dict[str, str] = {
     "op1_cover_tree_topk": covertree.ORACLE,
@@ -102,4 +107,5 @@ ORACLES: dict[str, str] = {
     "op5_mix_sources": mixing.ORACLE,
     "op6_chat_format": chat.ORACLE,
     "op11_merkle_manifest": manifest.oracle(),
+    "op12_source_divergence": divergence.ORACLE,
 }
