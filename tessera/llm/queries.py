@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import chat, covertree, decontaminate, divergence, html, licences, manifest, minhash, mixing, pii, tokens, toxicity
+from . import chat, covertree, decontaminate, divergence, html, licences, manifest, minhash, mixing, pii, repeats, tokens, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,6 +86,10 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cover_tree_topk": op1_cover_tree_topk,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -99,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontaminate": op10_decontaminate,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_source_divergence": op12_source_divergence,
+    "op13_substring_dedup": op13_substring_dedup,
 }
 ORACLES: dict[str, str] = {
     "op1_cover_tree_topk": covertree.ORACLE,
@@ -108,4 +113,5 @@ ORACLES: dict[str, str] = {
     "op6_chat_format": chat.ORACLE,
     "op11_merkle_manifest": manifest.oracle(),
     "op12_source_divergence": divergence.ORACLE,
+    "op13_substring_dedup": repeats.ORACLE,
 }
