@@ -9,6 +9,7 @@ stitches the documents that cross blocks and numbers them.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Callable, Iterator
 from typing import BinaryIO
 from urllib.parse import quote
@@ -34,6 +35,9 @@ RANGE_BYTES, CHUNK_BLOCKS = 128 << 20, 1024
 _BLOCK_SCHEMA = pa.schema([("file", pa.string()), ("block", pa.int64()), ("tokens", pa.binary())])
 #: Characters that are encoded at once; a longer text is encoded in pieces that end before a space after a letter or digit.
 PIECE = 1 << 18
+#: Runs of white space (as Unicode has it) that the pattern's engine, which tries all of their ends, is spared.
+WHITE_WORD = 1 << 12
+WHITE_RUN = re.compile(rf"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{{{WHITE_WORD},}}")
 _ENCODERS: dict[int, tiktoken.Encoding] = {}  # by the vocabulary's content
 
 
@@ -50,17 +54,28 @@ def _encoder(ranks: dict[bytes, int]) -> tiktoken.Encoding:
 
 
 def encode(encoder: tiktoken.Encoding, text: str) -> np.ndarray:
-    """All ids of a text. A long text is cut where the pattern splits anyway: before a space between two letters."""
-    if len(text) <= PIECE:
-        return np.asarray(encoder.encode_ordinary(text), np.uint32)
-    parts, at = [], 0
-    while at < len(text):
-        end = min(len(text), at + PIECE)
-        while end < len(text) and not (text[end] == " " and text[end - 1].isalpha() and text[end + 1 : end + 2].isalpha()):
+    """All ids of a text. A long text is cut where the pattern splits anyway: before a space between two letters, and around
+    long runs of white space. Of a run, the pattern takes all but the last character as one word, and all at a text's end;
+    the rest goes on with what follows."""
+    parts: list[int] = []
+    at = 0
+    for run in WHITE_RUN.finditer(text) if len(text) > WHITE_WORD else ():
+        parts += _pieces(encoder, text, at, run.start())
+        at = run.end() if run.end() == len(text) else run.end() - 1
+        parts += encoder._encode_single_piece(text[run.start() : at])
+    parts += _pieces(encoder, text, at, len(text))
+    return np.asarray(parts, np.uint32)
+
+
+def _pieces(encoder: tiktoken.Encoding, text: str, at: int, stop: int) -> list[int]:
+    parts = []
+    while at < stop:
+        end = min(stop, at + PIECE)
+        while end < stop and not (text[end] == " " and text[end - 1].isalpha() and text[end + 1 : end + 2].isalpha()):
             end += 1
         parts += encoder.encode_ordinary(text[at:end])
         at = end
-    return np.asarray(parts, np.uint32)
+    return parts
 
 
 def token_blocks(docs: DataFrame, id_col: str, text_col: str, ranks: dict[bytes, int], separator: int = SEPARATOR, block_tokens: int = BLOCK_TOKENS, width: int = 2) -> DataFrame:
