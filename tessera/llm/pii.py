@@ -72,7 +72,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
         out += [(0, s, e) for s, e in emails(text)]
     if _DIGIT.search(text):
         for m in IP.finditer(text):
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+            if all(len(p) <= 3 and int(p or "0") <= 255 for p in (x.lstrip("0") for x in m[0].split("."))):
                 out.append((1, *m.span()))
         for m in CARD.finditer(text):
             digits = m[0].replace(" ", "").replace("-", "")

@@ -560,3 +560,23 @@ def test_toxicity_edges(spark):
     assert len(scores) == 1 and max(scores) < 0.5
     assert toxicity.score(documents(spark, [(1, "i will kill you", "a")]), model).first().score > 0.5
     assert toxicity.score(docs.limit(0), model).count() == 0
+
+
+def test_octets_of_any_length_end_no_job(spark):
+    zeros = "0" * 5000
+    assert pii.base_spans(f"{zeros}.1.2.3 {zeros}1.{zeros}.2.255 9999.1.1.1 1.2.3.{'9' * 6000}") == [(1, 0, 5006), (1, 5007, 5007 + 5001 + 1 + 5000 + 6)]
+    docs = spark.createDataFrame([(1, f"a {zeros}.1.2.3"), (2, "write to bob@example.org"), (3, None)], "doc_id long, text string")
+    found = {r["doc_id"]: r for r in pii.find(docs, pii.fit(docs)).collect()}
+    assert (found[1]["n_ip"], found[2]["n_email"], found[3]["n_ip"]) == (1, 1, 0)
+
+
+def test_long_runs_of_white_space_are_encoded_as_the_whole_text():
+    encoder = tokens._encoder(tokens.load_vocabulary())
+    for white in (" ", "\t", "\n", " \n", "\u3000", "\xa0 "):
+        for before, after in (("", ""), ("a", "b"), ("x.", "?"), ("", "1"), ("z", "")):
+            for n in (tokens.WHITE_WORD - 1, tokens.WHITE_WORD, 20_001):
+                text = before + (white * n)[:n] + after
+                for whole in (text, f"{text} and {text}{text}"):
+                    assert tokens.encode(encoder, whole).tolist() == encoder.encode_ordinary(whole)
+        text = f"a{white * 2_000_000}b"
+        assert encoder.decode(tokens.encode(encoder, text).tolist()) == text
