@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -98,6 +100,21 @@ def areas_close(a: Column, b: Column) -> Column:
     return F.coalesce((a > 0) & (b > 0) & near, F.lit(False))
 
 
+def area_bin(area: Column) -> Column:
+    """A bin number such that areas_close() areas are in the same or in neighbouring bins; null for areas that are close to
+    nothing. Up to the size at which the tolerance turns from an amount into a share, bins are of equal width, beyond it of
+    equal ratio; a fiftieth of slack covers the turn."""
+    area, turn = area.cast("double"), AREA_LEAST / AREA_SHARE
+    ratio = -math.log1p(-AREA_SHARE)
+    place = F.when(area <= turn, area / AREA_LEAST).otherwise(turn / AREA_LEAST + F.log(area / turn) / ratio)
+    return F.when((area > 0) & ~F.isnan(area) & (area < 1e300), F.floor(place / 1.02).cast("long"))
+
+
+def own_area(category: Column, build: Column, land: Column) -> Column:
+    """The area that stands for a listing whose two areas are not both compared: land of land, else the built one."""
+    return F.coalesce(F.when(F.coalesce(category.isin(*LAND_CATEGORIES), F.lit(False)), land).otherwise(build), land, build)
+
+
 def area_check(cat1: Column, build1: Column, land1: Column, cat2: Column, build2: Column, land2: Column) -> Column:
     """struct(ok, mode, v1, v2): built areas first if all four are known, then land; else each listing's own kind."""
     none = F.lit(None).cast("double")

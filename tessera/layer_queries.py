@@ -12,11 +12,12 @@ from pyspark.sql import types as T
 from . import schemas
 from .functions import domain as D
 from .functions import text as X
-from .lineage import checkpoint_root
-from .operators import quality
+from .lineage import checkpoint_root, cut_lineage
+from .operators import graph, quality
 from .operators import relational as R
+from .operators.state import BucketedState
 from .plans import addresses, bi, bronze, gold, runner, silver
-from .queries import _CHAIN, AS_OF, LISTINGS, ORACLES, QUERIES, _edges, listings, query, table
+from .queries import _CHAIN, _SNAP, AS_OF, LISTINGS, ORACLES, QUERIES, _edges, _snapshots, listings, query, table
 from .sources import snapshots
 from .storage import Database
 from .streaming import snapshots as streams
@@ -426,3 +427,38 @@ def stream_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = T.StructType([T.StructField("id", T.LongType()), T.StructField("price", T.DoubleType()), T.StructField("added_date", T.DateType()), T.StructField("archived_date", T.DateType()), T.StructField("available", T.BooleanType())])
     streams.sync_stream(streams.snapshot_stream(spark, f"{folder}/*", days[0].schema, 1000), db, "state", state, _folder(spark, "checkpoint")).awaitTermination()
     return db.read("state").select("id", "price", *_text("added_date", "archived_date"), "available")
+
+
+# ---------------------------------------------------------------- state and components that follow what is new
+
+
+def _synced(state: str, curr: str, prev: str, day: str) -> str:
+    """SQL of a state after a snapshot."""
+    return f"""SELECT coalesce(s.id, c.id) AS id, CASE WHEN s.id IS NULL THEN c.price ELSE s.price END AS price, CASE WHEN s.id IS NULL THEN DATE '{day}' ELSE s.added_date END AS added_date,
+CASE WHEN s.id IS NULL OR (NOT s.available AND c.id IS NOT NULL) THEN NULL WHEN s.available AND c.id IS NULL AND p.id IS NOT NULL THEN DATE '{day}' ELSE s.archived_date END AS archived_date,
+CASE WHEN s.id IS NULL OR (NOT s.available AND c.id IS NOT NULL) THEN true WHEN s.available AND c.id IS NULL AND p.id IS NOT NULL THEN false ELSE s.available END AS available
+FROM {state} s FULL JOIN {curr} c ON s.id = c.id LEFT JOIN {prev} p ON p.id = coalesce(s.id, c.id)"""
+
+
+@query(f"""WITH {_SNAP}, third AS (SELECT o_orderkey AS id, o_totalprice AS price FROM orders WHERE o_orderkey % 11 <> 0), one AS ({_synced("state", "curr", "prev", "2001-08-01")}), two AS ({_synced("one", "third", "curr", "2001-08-02")})
+SELECT id, price, added_date::VARCHAR AS added_date, archived_date::VARCHAR AS archived_date, available FROM two""")
+def bucketed_sync_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days of snapshots merged into a bucketed state, of which no row is shuffled; the base is folded in between."""
+    prev, curr, state = _snapshots(spark, sf_dir)
+    third = table(spark, sf_dir, "orders").filter("o_orderkey % 11 <> 0").select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("price"))
+    kept = BucketedState(spark, f"state_{uuid.uuid4().hex}")
+    kept.create(state)
+    kept.sync(curr, F.lit(AS_OF), prev)
+    kept.fold()
+    kept.sync(third, F.lit(AS_OF + dt.timedelta(days=1)), curr)
+    return kept.read().select("id", "price", *_text("added_date", "archived_date"), "available")
+
+
+@query(f"WITH {_CHAIN} SELECT id, root FROM roots")
+def components_by_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of edges that come in on four days, each day's joined to the labels of the days before."""
+    edges = _edges(spark, sf_dir)
+    labels = graph.connected_components(edges.filter("a % 4 = 0"))
+    for day in (1, 2, 3):
+        labels = cut_lineage(graph.extend_components(labels, edges.filter(f"a % 4 = {day}")), "labels")
+    return labels

@@ -39,6 +39,30 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         pairs = cut_lineage(_star(_star(pairs, True), False), "edges")
 
 
+def component_changes(labels: DataFrame, edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """(id, root): the nodes that are new or get another root when edges are added to a graph whose components are labelled.
+
+    labels: id, root, as connected_components() gives them, each id once. Old components are contracted into their roots, so
+    that the star steps run over the new edges alone: their rounds and rows follow those, not the graph. A root is the least
+    id of its component before and after. Edges within a component, repeated edges, self edges and null ends change nothing.
+    Jobs run while the result is built."""
+    fresh = cut_lineage(edges.filter(F.col(a) != F.col(b)).select(F.col(a).alias("x"), F.col(b).alias("y")).distinct(), "new-edges")
+    ends = fresh.select(F.explode(F.array("x", "y")).alias("id")).distinct()
+    known = cut_lineage(ends.join(labels.select("id", "root"), "id", "left").select("id", F.coalesce("root", "id").alias("at"), F.col("root").isNull().alias("new")), "ends")
+    side = lambda end, at: known.select(F.col("id").alias(end), F.col("at").alias(at))
+    contracted = fresh.join(side("x", "u"), "x").join(side("y", "v"), "y").select("u", "v")
+    moved = cut_lineage(connected_components(contracted, "u", "v").select(F.col("id").alias("at"), F.col("root").alias("to")), "moved")
+    added = known.filter("new").join(moved, "at", "left").select("id", F.coalesce("to", "at").alias("root"))
+    merged = moved.filter(F.col("at") != F.col("to")).select(F.col("at").alias("root"), "to")
+    return labels.select("id", "root").join(merged, "root").select("id", F.col("to").alias("root")).unionByName(added)
+
+
+def extend_components(labels: DataFrame, edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """labels after edges are added: equal to connected_components() of all edges so far."""
+    changed = component_changes(labels, edges, a, b).withColumnRenamed("root", "now")
+    return labels.select("id", "root").join(changed, "id", "full_outer").select("id", F.coalesce("now", "root").alias("root"))
+
+
 def canonical_members(members: DataFrame, component: str, key: str, ts: str) -> DataFrame:
     """(id, canonical): of each component the member of earliest time, missing times last, then of least key."""
     order = F.struct(F.col(ts).isNull().alias("none"), F.col(ts).alias("ts"), F.col(key).alias("key"))

@@ -9,7 +9,7 @@ from ..functions import domain as D
 from ..functions import text as X
 from ..lineage import cut_lineage
 from ..operators import fuzzy, graph, phash
-from ..operators.relational import allocate_ids, pick_one, union_by_name, within_pairs
+from ..operators.relational import allocate_ids, band_pairs, pick_one, union_by_name
 
 
 def canonical_union(existing: DataFrame, *sources: DataFrame) -> DataFrame:
@@ -122,13 +122,16 @@ def image_pairs(new: DataFrame, old: DataFrame, with_new: bool = True) -> DataFr
     return pairs.groupBy(F.col("key1").alias("site_id1"), F.col("key2").alias("site_id2")).agg(F.min("distance").alias("distance")).withColumn("percentage", phash.percent(F.col("distance")))
 
 
-def clusters(pairs: DataFrame, geo: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(map, cluster) tables of duplicate listings. pairs: site_id1, site_id2, percentage, date; geo: internal_id, site_id, added_date."""
+def clusters(pairs: DataFrame, geo: DataFrame, known: DataFrame | None = None, fresh: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(map, cluster) tables of duplicate listings. pairs: site_id1, site_id2, percentage, date; geo: internal_id, site_id, added_date.
+
+    known: (id, root) of the pairs that are not fresh; then only fresh pairs, of which `fresh` tells, are searched for
+    components."""
     sites = geo.select(X.site_key(F.col("site_id")).alias("site"), "internal_id", "added_date")
     sites = pick_one(sites, ["site"], [F.col("added_date").asc_nulls_last(), F.col("internal_id")])
-    edge = pairs.select(X.site_key(F.col("site_id1").cast("string")).alias("site_a"), X.site_key(F.col("site_id2").cast("string")).alias("site_b"), "percentage", "date")
+    edge = pairs.select(X.site_key(F.col("site_id1").cast("string")).alias("site_a"), X.site_key(F.col("site_id2").cast("string")).alias("site_b"), "percentage", "date", (F.lit(True) if fresh is None else F.coalesce(fresh, F.lit(False))).alias("fresh"))
     edge = edge.join(sites.select(F.col("site").alias("site_a"), F.col("internal_id").alias("a")), "site_a").join(sites.select(F.col("site").alias("site_b"), F.col("internal_id").alias("b")), "site_b")
-    roots = graph.connected_components(edge)
+    roots = graph.connected_components(edge) if known is None else cut_lineage(graph.extend_components(known, edge.filter("fresh")), "roots")
     members = roots.join(sites.select(F.col("internal_id").alias("id"), "added_date"), "id")
     canon = graph.canonical_members(members, "root", "id", "added_date")
     mapping = canon.join(members.select("id", "added_date"), "id").select(F.col("id").alias("internal_id"), F.col("canonical").alias("canonical_internal_id"), F.col("added_date").alias("iid_added_min"))
@@ -141,10 +144,24 @@ def clusters(pairs: DataFrame, geo: DataFrame) -> tuple[DataFrame, DataFrame]:
 CLUSTER_MERGE = {"members_count": "overwrite", "member_internal_ids": "overwrite", "site_ids": "overwrite", "first_seen": "least", "last_seen": "greatest", "max_percentage": "greatest", "edges_count": "overwrite"}
 
 
+def near_pairs(rows: DataFrame) -> DataFrame:
+    """(canonical_internal_id, a, b): pairs of one cluster, kind and deal whose areas can pass the check. Listings that both
+    know both areas are near by either, others by the area that stands for them."""
+    build, land = F.col("area_build"), F.col("area_land")
+    whole = build.isNotNull() & land.isNotNull()
+    bands = {"build": F.when(whole, D.area_bin(build)), "land": F.when(whole, D.area_bin(land)), "own": D.area_bin(D.own_area(F.col("category_value"), build, land))}
+    pairs = band_pairs(rows.withColumn("whole", whole), "canonical_internal_id", "internal_id", ("category_value", "deal_type"), bands)
+    both, close = F.col("a.whole") & F.col("b.whole"), D.areas_close(F.col("a.area_build"), F.col("b.area_build"))
+    return pairs.filter(F.when(F.col("band") == "own", ~both).when(F.col("band") == "build", both & close).otherwise(both & ~close)).drop("band")
+
+
 def clean_pairs(listings: DataFrame, mapping: DataFrame) -> DataFrame:
-    """(iid1, iid2, level, price_ok, area_mode, …) of listings in one cluster that agree on place, kind, deal and area."""
-    rows = listings.join(mapping.select("internal_id", "canonical_internal_id"), "internal_id")
-    pairs = within_pairs(rows, "canonical_internal_id", "internal_id", ("category_value", "deal_type"))
+    """(iid1, iid2, level, price_ok, area_mode, …) of listings in one cluster that agree on place, kind, deal and area.
+
+    A listing whose areas are missing, not positive, no numbers or infinite is near nothing."""
+    seen = ("internal_id", "category_value", "deal_type", "price", "area_build", "area_land", "norm_okres", "norm_city", "norm_city_part", "norm_street")
+    rows = listings.select(*seen).join(mapping.select("internal_id", "canonical_internal_id"), "internal_id")
+    pairs = near_pairs(rows)
     level = D.geo_level([(F.col(f"a.{c}"), F.col(f"b.{c}")) for c in ("norm_okres", "norm_city", "norm_city_part", "norm_street")])
     price = D.price_check(F.col("a.price"), F.col("b.price"))
     area = D.area_check(*[F.col(f"{x}.{c}") for x in "ab" for c in ("category_value", "area_build", "area_land")])
