@@ -64,29 +64,47 @@ class CoverTree:
         self.c = x[self.centre] if self.centre else x
         self.r = np.array(self.radius)
         self.norm = np.sqrt((self.c**2).sum(axis=1))
+        self.largest = float(self.norm[0] + self.r[0]) if len(x) else 0.0  # no row's norm is above this
         self.starts = np.array([s for s, _ in self.span], np.int64)
         self.ends = np.array([e for _, e in self.span], np.int64)
         self.is_leaf = np.array([not k for k in self.children], bool)
 
 
+#: Stands for no score, and the least score that there is.
+NONE, LEAST = np.iinfo(np.int64).min, np.iinfo(np.int64).min + 1
+#: Products of norms from which on 64-bit floats may round a score.
+EXACT = 2.0**53
+
+
 class Best:
     """The k best (score, id) of each query; equal scores go to smaller ids."""
 
     def __init__(self, n: int, k: int):
         self.k = k
-        self.score = np.full((n, k), -np.inf)
+        self.score = np.full((n, k), NONE, np.int64)
         self.id = np.full((n, k), np.iinfo(np.int64).max)
 
+    def worst(self, rows: np.ndarray) -> np.ndarray:
+        """The score that a point must reach for each of the rows, as floats."""
+        last = self.score[rows, -1]
+        return np.where(last == NONE, -np.inf, last.astype(np.float64))
+
     def offer(self, q: int, score: np.ndarray, ids: np.ndarray) -> None:
         worst = self.score[q, -1]
         if len(score) > 4 * self.k:
             worst = max(worst, np.partition(score, -self.k)[-self.k])
         use = score >= worst
         s, i = np.concatenate([self.score[q], score[use]]), np.concatenate([self.id[q], ids[use]])
-        order = np.lexsort((i, -s))[: self.k]
+        order = np.lexsort((i, ~s))[: self.k]
         self.score[q], self.id[q] = s[order], i[order]
 
 
+def exact_scores(query: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Inner products of whole numbers held as floats, exact, and at the ends of a long's range beyond it."""
+    q = np.array([int(v) for v in query], object)
+    return np.array([min(max(int(sum(q * [int(v) for v in p])), LEAST), -LEAST) for p in points], np.int64)
+
+
 def dual_search(queries: CoverTree, query_ids: np.ndarray, data: CoverTree, ids: np.ndarray, best: Best) -> None:
     """Offers to every query its best data points; a point with the query's own id is not one."""
     if not len(queries.x) or not len(data.x):
@@ -94,14 +112,16 @@ def dual_search(queries: CoverTree, query_ids: np.ndarray, data: CoverTree, ids:
     bounds_slack = 1e-9
 
     def bound(q: int, nodes: np.ndarray) -> np.ndarray:
-        b = data.c[nodes] @ queries.c[q] + queries.r[q] * data.norm[nodes] + data.r[nodes] * queries.norm[q] + queries.r[q] * data.r[nodes]
-        return b + bounds_slack * (np.abs(b) + 1)
+        room = queries.r[q] * data.norm[nodes] + data.r[nodes] * queries.norm[q] + queries.r[q] * data.r[nodes]
+        b = data.c[nodes] @ queries.c[q] + room
+        rounding = queries.x.shape[1] * 2.0**-50 * (room + queries.norm[q] * data.norm[nodes])
+        return np.maximum(b + bounds_slack * (np.abs(b) + 1) + rounding, float(LEAST))
 
     def expand(q: int, rows: np.ndarray, nodes: np.ndarray) -> np.ndarray:
         """The data leaves under nodes that may hold something for the query node's rows."""
         leaves = []
         while len(nodes):
-            nodes = nodes[bound(q, nodes) >= best.score[rows, -1].min()]
+            nodes = nodes[bound(q, nodes) >= best.worst(rows).min()]
             leaves.append(nodes[data.is_leaf[nodes]])
             inner = nodes[~data.is_leaf[nodes]]
             nodes = np.array([c for n in inner.tolist() for c in data.children[n]], np.int64)
@@ -114,17 +134,34 @@ def dual_search(queries: CoverTree, query_ids: np.ndarray, data: CoverTree, ids:
         sizes = np.cumsum(data.ends[leaves] - data.starts[leaves])
         k = 0
         while k < len(leaves):
-            if b[k] < best.score[rows, -1].min():
+            if b[k] < best.worst(rows).min():
                 break
             end = max(k + 1, int(np.searchsorted(sizes, (sizes[k - 1] if k else 0) + 1024, "right")))
             points = np.concatenate([data.order[data.starts[n] : data.ends[n]] for n in leaves[k:end].tolist()])
             product = queries.x[rows] @ data.x[points].T
             product[query_ids[rows][:, None] == ids[points][None, :]] = -np.inf
-            for r in np.flatnonzero((product >= best.score[rows, -1:]).any(axis=1) & (product > -np.inf).any(axis=1)).tolist():
-                real = product[r] > -np.inf
-                best.offer(int(rows[r]), product[r][real], ids[points][real])
+            if largest_query * data.largest >= EXACT:
+                offer_wide(rows, points, product)
+            else:
+                for r in np.flatnonzero((product >= best.worst(rows)[:, None]).any(axis=1) & (product > -np.inf).any(axis=1)).tolist():
+                    real = product[r] > -np.inf
+                    best.offer(int(rows[r]), product[r][real].astype(np.int64), ids[points][real])
             k = end
 
+    def offer_wide(rows: np.ndarray, points: np.ndarray, product: np.ndarray) -> None:
+        """Scores that floats may have rounded: those that may count are made anew from whole numbers."""
+        norms = np.sqrt((data.x[points] ** 2).sum(axis=1))
+        for r, worst in enumerate(best.worst(rows).tolist()):
+            rounding = queries.x.shape[1] * 2.0**-50 * norms * np.sqrt((queries.x[rows[r]] ** 2).sum())
+            real = product[r] > -np.inf
+            sure = (product[r] - rounding)[real]
+            if len(sure) > best.k:
+                worst = max(worst, min(np.partition(sure, -best.k)[-best.k], -float(LEAST)))
+            use = np.flatnonzero(real & (np.maximum(product[r] + rounding, float(LEAST)) >= worst))
+            if len(use):
+                best.offer(int(rows[r]), exact_scores(queries.x[rows[r]], data.x[points[use]]), ids[points[use]])
+
+    largest_query = queries.largest
     pending = [(0, np.zeros(1, np.int64))]
     while pending:
         q, nodes = pending.pop()
@@ -134,7 +171,7 @@ def dual_search(queries: CoverTree, query_ids: np.ndarray, data: CoverTree, ids:
             for a in range(0, len(rows), BUNDLE):
                 score(q, rows[a : a + BUNDLE], leaves)
             continue
-        nodes = nodes[bound(q, nodes) >= best.score[rows, -1].min()]
+        nodes = nodes[bound(q, nodes) >= best.worst(rows).min()]
         small = [c for c in queries.children[q] if queries.ends[c] - queries.starts[c] <= LEAF]
         if len(small) > 4:
             # Many small children: their queries are scored in bundles, within the bounds of this node.
@@ -148,14 +185,10 @@ def dual_search(queries: CoverTree, query_ids: np.ndarray, data: CoverTree, ids:
         pending += [(c, nodes) for c in queries.children[q] if c not in small]
 
 
-#: Norm of a quantised vector from which on products could pass 2**53, where 64-bit floats stop to be exact.
-LARGEST_NORM = 2.0**26
-
-
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, factor: int = 256) -> DataFrame:
     """(vec_id, dim, v): floor(factor * x) of every component as 64-bit floats. Rows with a null id, a null or empty vector
-    or a null or non-finite component are left out. A vector of norm 2**26 or more is an error: its products could be
-    beyond what 64-bit floats hold exactly, and a rounded score is no score."""
+    or a null or non-finite component are left out, and so are those with a component that is no 64-bit whole number: beyond
+    2**63 no such number stands for it. Scores beyond that range are given as its ends."""
     schema = pa.schema([("vec_id", pa.int64()), ("dim", pa.int64()), ("v", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,16 +196,13 @@ def quantised(vectors: DataFrame, id_col: str, vector_col: str, factor: int = 25
             ids, lists = batch.column(0), batch.column(1)
             lengths = np.where(np.asarray(lists.is_valid()), np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False).astype(float)), 0).astype(np.int64)
             flat = lists.flatten()  # null lists have no part in it
-            x = np.floor(factor * np.where(np.asarray(flat.is_valid()), flat.to_numpy(zero_copy_only=False), np.nan).astype(np.float64))
+            with np.errstate(over="ignore"):
+                x = np.floor(factor * np.where(np.asarray(flat.is_valid()), flat.to_numpy(zero_copy_only=False), np.nan).astype(np.float64))
             ends = np.cumsum(lengths)
-            bad = np.concatenate([[0], np.cumsum(~np.isfinite(x))])
+            bad = np.concatenate([[0], np.cumsum(~(np.abs(x) < 2.0**63))])
             use = np.flatnonzero(np.asarray(ids.is_valid()) & (lengths > 0) & (bad[ends] == bad[ends - lengths]))
-            square = np.concatenate([[0.0], np.cumsum(np.where(np.isfinite(x), x, 0.0) ** 2)]) if np.abs(np.nan_to_num(x, posinf=0, neginf=0)).max(initial=0) < LARGEST_NORM else None
             raw = x.tobytes()
             rows = [raw[8 * (ends[k] - lengths[k]) : 8 * ends[k]] for k in use.tolist()]
-            norms = np.sqrt(square[ends] - square[ends - lengths])[use] if square is not None else np.array([np.sqrt((np.frombuffer(r) ** 2).sum()) for r in rows])
-            if (norms >= LARGEST_NORM).any():
-                raise ValueError(f"a vector of norm 2**26 or more: id {ids[int(use[int(norms.argmax())])].as_py()}")
             yield pa.RecordBatch.from_arrays([ids.take(pa.array(use)).cast(pa.int64()), pa.array(lengths[use]), pa.array(rows, pa.binary())], schema=schema)
 
     return vectors.select(F.col(id_col).cast("long"), F.col(vector_col)).mapInArrow(run, "vec_id long, dim long, v binary")
@@ -215,10 +245,10 @@ def _block_search(data: DataFrame, rows: list, k: int, number: int) -> DataFrame
         for dim in list(held):
             search(dim)
         for dim, b in best.items():
-            q, place = np.nonzero(b.score > -np.inf)
+            q, place = np.nonzero(b.score != NONE)
             # Queries of one id and different vectors are told apart by block, length and place.
             key = pa.array([f"{number}.{dim}.{x}" for x in q.tolist()], pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(ids_of[dim][q]), key, pa.array(b.id[q, place]), pa.array(b.score[q, place].astype(np.int64))], names=["query_id", "key", "vec_id", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids_of[dim][q]), key, pa.array(b.id[q, place]), pa.array(b.score[q, place])], names=["query_id", "key", "vec_id", "score"])
 
     return data.mapInArrow(run, "query_id long, key string, vec_id long, score long")
 

@@ -64,9 +64,22 @@ def test_vectors_of_all_kinds_and_too_large_ones(spark):
         fit = [(i, int(np.floor(256 * np.array(x)) @ np.floor(256 * np.array(y)))) for i, y in rows[:400] if i != q and len(y) == len(x)]
         want |= {(q, k): m for k, m in enumerate(sorted(fit, key=lambda m: (-m[1], m[0]))[:5], 1)}
     assert got == want
-    for big in ([3e5, 0.0], [1e300, 1.0]):
-        with pytest.raises(Exception, match="norm 2"):
-            covertree.search_all(spark.createDataFrame([(0, big), (1, [1.0, 1.0])], "vec_id bigint, embedding array<double>")).collect()
+
+
+def test_scores_of_large_vectors_are_exact(spark):
+    draw = np.random.default_rng(6)
+    rows = [(i, (draw.normal(size=3) * 10.0 ** draw.integers(0, 8, 3)).tolist()) for i in range(240)]
+    rows += [(240, [3e5, 0.0, 0.0]), (251, [1e13, -3e12, 5.0]), (250, [3e5, 0.0, 0.0]), (300, [2.0**54, 2.0**54, 1.0]), (301, [-(2.0**54), -(2.0**54), 1.0]), (350, [2.0**54, -(2.0**54), 3.0])]
+    rows += [(400, [1e300, 1.0, 1.0]), (401, [2.0**55, 1.0, 1.0]), (500, [1.7e308, 0.0, 0.0])]  # these hold no whole numbers of 64 bits
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in covertree.search_all(df).collect()}
+    whole = {i: [int(np.floor(256 * v)) for v in x] for i, x in rows[:-3]}
+    short = lambda v: min(max(v, 1 - 2**63), 2**63 - 1)
+    want = {}
+    for q in [i for i in whole if i % 50 == 0]:
+        fit = [(i, short(sum(a * b for a, b in zip(whole[q], y, strict=True)))) for i, y in whole.items() if i != q]
+        want |= {(q, k): m for k, m in enumerate(sorted(fit, key=lambda m: (-m[1], m[0]))[:5], 1)}
+    assert got == want and any(2**53 < abs(m[1]) < 2**63 - 1 for m in want.values())
 
 
 # ---------------------------------------------------------------- chat
