@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass, field
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from ..storage import Database, PublishRejected
+
 
 @dataclass
 class CheckResult:
@@ -65,6 +68,56 @@ def no_nulls(df: DataFrame, keys: Sequence[str]) -> CheckResult:
     return CheckResult("no_nulls", bad == 0, "error", {"rows": bad})
 
 
+@dataclass
+class Observed:
+    """A figure of a frame that is being written, an aggregate without DISTINCT, and what must hold of it (any if None)."""
+
+    name: str
+    figure: Column
+    holds: Callable[[Any], bool] | None = None
+    severity: str = "error"
+
+
+def observed(df: DataFrame, checks: Sequence[Observed]) -> tuple[DataFrame, Callable[[], dict[str, Any]]]:
+    """df with the checks' figures gathered on the way, and a function that gives them after the one action on it."""
+    seen = Observation()
+    figures = [c.figure.alias(c.name) for c in checks] or [F.count(F.lit(1)).alias("rows")]
+    return df.observe(seen, *figures), lambda: dict(seen.get)
+
+
+def null_keys(*keys: str) -> Column:
+    return F.count_if(F.lit(False) if not keys else reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]))
+
+
+def with_parent(df: DataFrame, parent: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
+    """df with a column that tells whether the parent has the row's key; a join that the write does anyway on its way."""
+    return df.join(parent.select(*keys).distinct().withColumn(flag, F.lit(True)), list(keys), "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+
+
+def with_repeats(df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
+    """df with a column that tells the second and later rows of a key; keys with nulls count as keys."""
+    return df.withColumn(flag, F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0))) > 1)
+
+
+def publish_observed(db: Database, frames: dict[str, tuple[DataFrame, Sequence[Observed], Sequence[str]]], across: Callable[[dict[str, dict[str, Any]]], Sequence[CheckResult]] | None = None) -> list[CheckResult]:
+    """Writes frames and publishes all of them if the checks hold, else none; nothing is read again to find out.
+
+    frames: by table the rows, the checks, and helper columns that are checked but not stored. Each frame is one write whose
+    own pass gathers its figures. across: checks that need the figures of several tables."""
+    figures, results, parts = {}, [], {}
+    for name, (df, checks, helpers) in frames.items():
+        seen, get = observed(df, checks)
+        parts[name] = db.stage(name, seen.drop(*helpers))
+        figures[name] = get()
+        results += [CheckResult(f"{name}.{c.name}", bool(c.holds(figures[name][c.name])), c.severity, {"figure": figures[name][c.name]}) for c in checks if c.holds]
+    results += across(figures) if across else []
+    failures = [r for r in results if not r.ok and r.severity == "error"]
+    if failures:
+        raise PublishRejected(failures)
+    db.commit(parts, base={})
+    return results
+
+
 def audit_columns(source: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """One row: of every column how many rows of equal key differ, null-safe, all in one pass."""
     t = target.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in columns])

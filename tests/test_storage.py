@@ -138,3 +138,62 @@ def test_large_star_and_long_chain(spark):
     edges = [(0, k) for k in range(1, 2000)] + [(k, k + 1) for k in range(10_000, 10_500)] + [(5, 5), (None, 3), (2**62, 2**62 + 5), (2**62 + 5, 2**62 + 9)]
     got = {r.id: r.root for r in connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert all(got[k] == 0 for k in range(2000)) and all(got[k] == 10_000 for k in range(10_000, 10_501)) and got[2**62 + 9] == 2**62 and len(got) == 2000 + 501 + 3
+
+
+def test_a_dead_claim_and_two_appenders(spark, tmp_path, monkeypatch):
+    from tessera import storage
+
+    rows = lambda k: spark.createDataFrame([(k,)], "k long")
+    one, two = storage.Database(spark, f"{tmp_path}/db"), storage.Database(spark, f"{tmp_path}/db")
+    one.replace("t", rows(1))
+    (tmp_path / "db/_manifests/00000002.claim").touch()
+    with pytest.raises(storage.StaleWrite):  # a healthy writer may have it
+        one.append("t", rows(9))
+    monkeypatch.setattr(storage, "CLAIM_SECONDS", -1.0)
+    one.append("t", rows(2))
+    assert one.read("t").count() == two.read("t").count() == 2
+    two.append("t", rows(3))
+    one.append("t", rows(4))  # both had read before the other's append
+    assert sorted(r.k for r in two.read("t").collect()) == [1, 2, 3, 4]
+    one.read("t")
+    two.append("t", rows(5))
+    with pytest.raises(storage.StaleWrite):  # a replacement rests on what was read
+        one.replace("t", rows(0))
+
+
+def test_observed_gate_reads_nothing_again(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tessera.operators import quality as Q
+    from tessera.storage import Database, PublishRejected
+
+    sc, db = spark.sparkContext, Database(spark, f"{tmp_path}/observed")
+    df = spark.range(0, 1000, 1, 4).select("id", (F.col("id") % 7).alias("g"))
+    checks = [Q.Observed(f"c{k}", F.count_if(F.col("g") == k), lambda n: n > 0) for k in range(7)] + [Q.Observed("rows", F.count(F.lit(1)), lambda n: n == 1000)]
+    sc.setJobGroup("gate", "gate")
+    results = Q.publish_observed(db, {"t": (df, checks, [])})
+    jobs = sc.statusTracker().getJobIdsForGroup("gate")
+    sc.setJobGroup("rest", "rest")
+    assert len(jobs) == 1 and len(results) == 8 and all(r.ok for r in results) and db.read("t").count() == 1000
+    bad = [Q.Observed("again", F.count_if("again"), lambda n: n == 0)]
+    with pytest.raises(PublishRejected):
+        Q.publish_observed(db, {"t": (df.limit(10), [], []), "u": (Q.with_repeats(df, ["g"], "again"), bad, ["again"])})
+    assert db.tables() == ["t"] and db.read("t").count() == 1000
+
+
+def test_crowded_hashes_are_nodes_and_pairs_of_pieces(spark):
+    draw = random.Random(8)
+    plain = [0] * 300 + [(1 << 256) - 1] * 200
+    near_plain = [sum(1 << draw.randrange(256) for _ in range(draw.randrange(1, 5))) for _ in range(120)]
+    half = [draw.getrandbits(128) ^ sum(1 << draw.randrange(256) for _ in range(draw.randrange(0, 3))) for _ in range(15) for _ in range(1)]
+    half += [h ^ (1 << draw.randrange(256)) for h in half for _ in range(4)]
+    hashes = plain + near_plain + half
+    df = spark.createDataFrame([(k, f"{h:064x}") for k, h in enumerate(hashes)], "k bigint, h string").select("k", phash.words(F.col("h")).alias("w"), phash.bucket(F.col("h")).alias("b"))
+    old, new = df.filter("k % 3 = 0"), df.filter("k % 3 > 0")
+    near = lambda x, y: (x ^ y).bit_count() <= 6 and ((x ^ y) >> 248).bit_count() <= 1
+    want = {(i, j, (x ^ y).bit_count()) for j, y in enumerate(hashes) for i, x in enumerate(hashes[:j]) if near(x, y) and (i % 3 or j % 3)}
+    for crowd in (3, 1000):
+        assert {tuple(r) for r in phash.blocked_pairs(new, old, "k", "w", "b", crowd=crowd).collect()} == want
+    pairs, members = phash.node_pairs(new, old, "k", "w", "b", crowd=3)
+    assert members.count() == len(hashes) and members.select("node").distinct().count() == len(set(hashes))
+    assert pairs.count() == len({tuple(sorted((x, y))) for i, j, d in want if d for x, y in [(hashes[i], hashes[j])]}) < len(want) / 10
