@@ -47,9 +47,21 @@ _AWAY_TAGS = frozenset("nav footer aside form title head button dialog fieldset
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _MAIN_TAGS = frozenset(("article", "main"))
 _AWAY = re.compile(r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|site-header|masthead|topbar|footer|sidebar|side|aside|widget|ads?|advert\w*|banner|promo\w*|sponsor\w*|cookies?|consent|notices?|alert|popup|modal|overlay|newsletter|subscribe|share|sharing|social|related|recommend\w*|comments?|commentlist|disqus|respond|replies|breadcrumbs?|pagination|pager|login|search|toolbar|copyright|contentinfo|complementary)(?:$|[\s_-])", re.I)
+#: Inside of an article a name counts only if it says nothing else: known words and words of layout alone.
+_AWAY_WORD = re.compile(_AWAY.pattern.removeprefix("(?:^|[\\s_-])").removesuffix("(?:$|[\\s_-])"), re.I)
+_LAYOUT_WORDS = frozenset("area bar block body bottom box btn button buttons card container content footer form group header inline inner item items left link links list outer panel post posts right section slot thread title top unit wrap wrapper".split())
+_PARTS = re.compile(r"[\s_-]+")
 _MAIN = re.compile(r"(?:^|[\s_-])(?:main|article|articlebody|post-content|entry-content|article-body|story-body)(?:$|[\s_-])", re.I)
 
 
+def _away_inside(name: str) -> bool:
+    """Whether a class or id inside of an article names something that is not of it."""
+    parts = [p for p in _PARTS.split(name) if p.strip("#0123456789")]
+    known = [bool(_AWAY_WORD.fullmatch(p)) for p in parts]
+    whole = bool(_AWAY_WORD.fullmatch(name.strip()))
+    return whole or (any(known) and all(k or p in _LAYOUT_WORDS for k, p in zip(known, parts, strict=True)))
+
+
 class Block:
     """A block's text, the container around it (its number, -1 if none), and whether it is a heading."""
 
@@ -185,12 +197,12 @@ def parse(page: str) -> Page:
             if not was:
                 out.tags.append((_hash(f"{out.tokens[container] if container >= 0 else 0}</{name}>"), False))
             continue
-        names = " ".join(v for a in _NAME.finditer(attributes) for v in (a[2] or a[3] or a[4] or "",)) if attributes else ""
-        names = re.sub("[0-9]{2,}", "#", names.lower())  # numbers of a page, but not those of a column
+        named = [re.sub("[0-9]{2,}", "#", (a[2] or a[3] or a[4] or "").lower()) for a in _NAME.finditer(attributes)] if attributes else []
+        names = " ".join(named)  # without numbers of a page, but with those of a column
         token = _hash(f"{out.tokens[container] if container >= 0 else 0}<{name} {names}>")
         was = away
         if holds and name not in _VOID:
-            away = away or name in _AWAY_TAGS or (name == "header" and not main) or bool(names and name not in ("html", "body") and _AWAY.search(names))
+            away = away or name in _AWAY_TAGS or (name == "header" and not main) or bool(names and name not in ("html", "body") and _AWAY.search(names) and (not main or any(map(_away_inside, named))))
             main = (main or name in _MAIN_TAGS or bool(names and _MAIN.search(names))) and not away
             out.parents.append(container)
             out.tokens.append(token)

@@ -389,3 +389,14 @@ def test_stages_on_an_empty_table(spark, small_corpus):
     for name, stage in P.STAGES:
         out = stage(spark, docs.limit(0), folder)
         assert out.count() == 0 and (name == "mix" or set(out.columns) == set(docs.columns)), name
+
+
+@pytest.mark.parametrize("name", ["side effects", "social science", "alert fatigue", "related-work", "search-engines", "notice-of-intent", "widget-history"])
+def test_names_that_say_more_lose_no_article_text(name):
+    page = f'<article><h1>T</h1><div class="{name}"><p>Body text.</p></div></article><div class="{name.split()[0].split("-")[0]}">Gone</div>'
+    assert html.main_text(page) == "T\nBody text."
+
+
+@pytest.mark.parametrize("name", ["share-buttons", "ad-slot-12", "related", "comments-list", "newsletter_box", "site-header"])
+def test_known_names_inside_an_article_are_not_of_it(name):
+    assert html.main_text(f'<article><h1>T</h1><div class="{name}"><p>Body text.</p></div></article>') == "T"
