@@ -17,7 +17,7 @@ from .operators import graph, quality
 from .operators import relational as R
 from .operators.state import BucketedState
 from .plans import addresses, bi, bronze, gold, runner, silver
-from .queries import _CHAIN, _SNAP, AS_OF, LISTINGS, ORACLES, QUERIES, _edges, _snapshots, listings, query, table
+from .queries import _CHAIN, _COPY, _SNAP, AS_OF, LISTINGS, ORACLES, QUERIES, _copy, _edges, _snapshots, listings, query, table
 from .sources import snapshots
 from .storage import Database
 from .streaming import snapshots as streams
@@ -489,3 +489,26 @@ def components_by_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     for day in (1, 2, 3):
         labels = cut_lineage(graph.extend_components(labels, edges.filter(f"a % 4 = {day}")), "labels")
     return labels
+
+
+# ---------------------------------------------------------------- audits by digests, drift of documents
+
+
+@query(f"""WITH {_COPY}, s AS (SELECT DISTINCT o_orderkey FROM orders), t AS (SELECT DISTINCT o_orderkey FROM copy), j AS (SELECT o.*, c.o_orderstatus AS st, c.o_totalprice AS pr FROM orders o JOIN copy c USING (o_orderkey))
+SELECT (SELECT count(*) FROM s WHERE o_orderkey NOT IN (SELECT o_orderkey FROM t)) AS missing, (SELECT count(*) FROM t WHERE o_orderkey NOT IN (SELECT o_orderkey FROM s)) AS extra, sum((o_orderstatus IS DISTINCT FROM st)::INT)::BIGINT AS o_orderstatus, sum((o_totalprice IS DISTINCT FROM pr)::INT)::BIGINT AS o_totalprice FROM j""")
+def digest_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest_audit(*_copy(spark, sf_dir), ["o_orderkey"], ["o_orderstatus", "o_totalprice"]).select("missing", "extra", "o_orderstatus", "o_totalprice")
+
+
+_DOC = "CASE WHEN day(ts) % 5 = 0 THEN '{\"k\": \"' || event_type || '\", \"e\": null}' WHEN day(ts) % 3 = 0 THEN '{\"k\": 1, \"j\": ' || event_id || ', \"e\": true}' WHEN event_id % 7 = 0 THEN '{\"k\": ' WHEN event_id % 11 = 0 THEN '[1]' ELSE props END"
+
+
+@query(f"""WITH d AS (SELECT ts::DATE::VARCHAR AS day, {_DOC.replace("|| event_id ||", "|| event_id::VARCHAR ||")} AS doc FROM events), v AS (SELECT day, doc::JSON AS doc FROM d WHERE json_valid(doc)), o AS (SELECT * FROM v WHERE json_type(doc) = 'OBJECT'),
+k AS (SELECT day, unnest(json_keys(doc)) AS key, doc FROM o), e AS (SELECT day, key, CASE json_type(doc -> key) WHEN 'NULL' THEN NULL WHEN 'VARCHAR' THEN 'text' WHEN 'BOOLEAN' THEN 'bool' ELSE 'number' END AS kind FROM k),
+t AS (SELECT day, key, string_agg(DISTINCT kind, ',' ORDER BY kind) AS types FROM e GROUP BY day, key), p AS (SELECT day, lag(day) OVER (ORDER BY day) AS previous FROM (SELECT DISTINCT day FROM t)),
+n AS (SELECT p.day, t.key, t.types FROM p JOIN t ON t.day = p.day WHERE p.previous IS NOT NULL), b AS (SELECT p.day, t.key, t.types FROM p JOIN t ON t.day = p.previous)
+SELECT coalesce(n.day, b.day) AS day, coalesce(n.key, b.key) AS key, CASE WHEN b.key IS NULL THEN 'added' WHEN n.key IS NULL THEN 'lost' ELSE 'retyped' END AS change FROM n FULL JOIN b ON n.day = b.day AND n.key = b.key WHERE b.key IS NULL OR n.key IS NULL OR n.types <> b.types""")
+def json_key_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that come, go or change their type from one day of documents to the next."""
+    events = table(spark, sf_dir, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("day"), F.expr(_DOC).alias("doc"))
+    return snapshots.key_drift(events, "doc", "day").select("day", "key", "change")

@@ -84,6 +84,30 @@ def json_records(df: DataFrame, column: str = "data") -> DataFrame:
     return v.select(*[F.try_variant_get("_v", f"$['{k}']", "string").alias(c) for c, k in RECORD_KEYS.items()], "raw_json")
 
 
+def key_types(df: DataFrame, column: str, day: str) -> DataFrame:
+    """(day, key, n, types): the top-level keys of each day's JSON documents, how many have them, and the sorted types of
+    their values but null. Invalid documents and those that are no objects have none."""
+    docs = df.select(F.col(day).alias("day"), F.try_parse_json(column).alias("doc")).filter("doc is not null and schema_of_variant(doc) like 'OBJECT%'")
+    entries = docs.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("doc").outer()))
+    kind = F.regexp_extract(F.schema_of_variant("value"), "^[A-Z]+", 0)
+    kind = F.when(~F.is_variant_null("value"), kind)
+    return entries.groupBy("day", "key").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_set(kind)).alias("types"))
+
+
+def key_drift(df: DataFrame, column: str, day: str) -> DataFrame:
+    """(day, key, change, before, now): keys that a snapshot day has added, lost or retyped against the day before it that
+    has any documents with keys. A key whose values are all null keeps its type."""
+    types = key_types(df, column, day)
+    days = types.select("day").distinct().withColumn("previous", F.lag("day").over(Window.orderBy("day")))  # a row a day
+    pairs = days.filter("previous is not null")
+    now = pairs.join(types, "day").select("day", "key", F.col("types").alias("now"))
+    before = pairs.join(types.select(F.col("day").alias("previous"), "key", F.col("types").alias("before")), "previous").select("day", "key", "before")
+    both = now.join(before, ["day", "key"], "full_outer")
+    retyped = (F.size("before") > 0) & (F.size("now") > 0) & (F.col("before") != F.col("now"))
+    change = F.when(F.col("before").isNull(), "added").when(F.col("now").isNull(), "lost").when(retyped, "retyped")
+    return both.select("day", "key", change.alias("change"), "before", "now").filter("change is not null")
+
+
 def has_json_key(c: Column, key: str) -> Column:
     """Whether a JSON object has the key, whatever its value."""
     return F.coalesce(F.array_contains(F.json_object_keys(c), key), F.lit(False))

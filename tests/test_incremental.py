@@ -90,3 +90,27 @@ def test_rounds_and_rows_follow_the_new_edges(spark, monkeypatch):
     assert max(written) <= 8 and len(written) <= 12
     assert len(changed) == 1000 + 1000 + 3
     assert {changed.index((i, r)) >= 0 for i, r in ((1999, 0), (3999, 0), (250_000, 0), (250_001, 250_001), (250_002, 250_001))} == {True}
+
+
+def test_digest_audit_joins_what_differs_only(spark):
+    from tessera.operators import quality
+
+    source = spark.range(20_000).select("id", (F.col("id") % 3).cast("string").alias("a"), F.when(F.col("id") % 4 > 0, F.col("id") * 2).alias("b"))
+    assert tuple(quality.digest_audit(source, source.repartition(7), ["id"], ["a", "b"]).first()) == (0, 0, 0, 0, 0, 0)
+    target = source.filter("id <> 17").withColumn("b", F.when(F.col("id") == 4, 1).otherwise(F.col("b"))).withColumn("a", F.when(F.col("id") == 5, None).otherwise(F.col("a")))
+    target = target.unionByName(target.filter("id = 9")).unionByName(spark.createDataFrame([(-1, "x", 1), (None, "y", 1)], "id long, a string, b long"))
+    got = quality.digest_audit(source, target, ["id"], ["a", "b"]).first()
+    keys, columns = quality.audit_keys(source, target, ["id"]).first(), quality.audit_columns(source, target, ["id"], ["a", "b"]).first()
+    assert (got["missing"], got["extra"], got["duplicates"], got["a"], got["b"]) == (keys["missing"], keys["extra"], 1, columns["a"], columns["b"]) == (1, 2, 1, 1, 1)
+    assert 0 < got["compared"] < 60
+    swapped = source.select("id", F.lit(None).cast("string").alias("a"), F.lit("v").alias("b"))
+    assert quality.digest_audit(swapped, swapped.select("id", F.col("b").alias("a"), F.col("a").alias("b")), ["id"], ["a", "b"]).first()["a"] == 20_000
+
+
+def test_key_drift_of_odd_documents(spark):
+    from tessera.sources import snapshots
+
+    rows = [("1", '{"a": 1, "b": "x", "c": null}'), ("1", "[1]"), ("1", "{"), ("1", None), ("1", "7"), ("2", '{"a": "1", "c": 5, "d": {"e": 1}}'), ("2", '{"a": null}'), ("3", "{}"), ("4", '{"a": [1], "c": 5}')]
+    df = spark.createDataFrame(rows, "day string, doc string")
+    assert {tuple(r)[:3] for r in snapshots.key_drift(df, "doc", "day").collect()} == {("2", "b", "lost"), ("2", "a", "retyped"), ("2", "d", "added"), ("4", "a", "retyped"), ("4", "d", "lost")}
+    assert snapshots.key_drift(df.limit(0), "doc", "day").collect() == []
