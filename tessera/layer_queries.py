@@ -20,6 +20,7 @@ from .plans import addresses, bi, bronze, gold, runner, silver
 from .queries import _CHAIN, _COPY, _SNAP, AS_OF, LISTINGS, ORACLES, QUERIES, _copy, _edges, _snapshots, listings, query, table
 from .sources import snapshots
 from .storage import Database
+from .streaming import keyed
 from .streaming import snapshots as streams
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -512,3 +513,24 @@ def json_key_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys that come, go or change their type from one day of documents to the next."""
     events = table(spark, sf_dir, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("day"), F.expr(_DOC).alias("doc"))
     return snapshots.key_drift(events, "doc", "day").select("day", "key", "change")
+
+
+@query("""WITH d AS (SELECT c_custkey AS id, k AS k, c_custkey % (k + 2) <> 0 AS here FROM customer, generate_series(1, 4) g(k)),
+w AS (SELECT *, lag(here) OVER o AS before, coalesce(bool_or(here) OVER (PARTITION BY id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS known FROM d WINDOW o AS (PARTITION BY id ORDER BY k))
+SELECT id, '2024-01-0' || k::VARCHAR AS day, CASE WHEN here AND NOT known THEN 'new' WHEN here THEN 'reactivated' ELSE 'archived' END AS action FROM w WHERE (here AND NOT coalesce(before, false)) OR (NOT here AND before)""")
+def stream_keyed_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four days of customers as a stream, the second day after the third and the first twice, judged key by key."""
+    c, folder = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")), _folder(spark, "presence")
+    day = lambda k: c.filter(F.col("id") % (k + 2) != 0).withColumn("day", F.lit(dt.date(2024, 1, k)))
+    last = spark.range(1).select(F.lit(-1).cast("long").alias("id"), F.lit(dt.date(2024, 1, 7)).alias("day"))  # its day tells that the others are over
+    for n, rows in enumerate((day(1), day(3), day(2), day(1), day(4), last)):
+        rows.coalesce(1).write.parquet(f"{folder}/{n}")
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    keyed.use_rocksdb(spark)
+    try:
+        stream = spark.readStream.schema(last.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/*")
+        found = streams.drained(keyed.presence_changes(stream, "id", "day"))
+    finally:
+        spark.conf.set(provider, before)
+    return found.filter("id >= 0 and day <= DATE '2024-01-04'").select("id", *_text("day"), "action")
