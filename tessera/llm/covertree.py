@@ -83,20 +83,19 @@ class Best:
         self.k = k
         self.score = np.full((n, k), NONE, np.int64)
         self.id = np.full((n, k), np.iinfo(np.int64).max)
-
-    def worst(self, rows: np.ndarray) -> np.ndarray:
-        """The score that a point must reach for each of the rows, as floats."""
-        last = self.score[rows, -1]
-        return np.where(last == NONE, -np.inf, last.astype(np.float64))
+        self.worst = np.full(n, -np.inf)  # the score that a point must reach, as a float
 
     def offer(self, q: int, score: np.ndarray, ids: np.ndarray) -> None:
-        worst = self.score[q, -1]
+        """score: whole numbers, or floats that hold them exactly."""
+        worst = self.worst[q] if score.dtype == np.float64 else self.score[q, -1]
         if len(score) > 4 * self.k:
             worst = max(worst, np.partition(score, -self.k)[-self.k])
         use = score >= worst
-        s, i = np.concatenate([self.score[q], score[use]]), np.concatenate([self.id[q], ids[use]])
+        s, i = np.concatenate([self.score[q], score[use].astype(np.int64)]), np.concatenate([self.id[q], ids[use]])
         order = np.lexsort((i, ~s))[: self.k]
         self.score[q], self.id[q] = s[order], i[order]
+        if self.score[q, -1] != NONE:
+            self.worst[q] = self.score[q, -1]
 
 
 def exact_scores(query: np.ndarray, points: np.ndarray) -> np.ndarray:
@@ -110,18 +109,20 @@ def dual_search(queries: CoverTree, query_ids: np.ndarray, data: CoverTree, ids:
     if not len(queries.x) or not len(data.x):
         return
     bounds_slack = 1e-9
+    wide = queries.largest * data.largest >= EXACT
 
     def bound(q: int, nodes: np.ndarray) -> np.ndarray:
-        room = queries.r[q] * data.norm[nodes] + data.r[nodes] * queries.norm[q] + queries.r[q] * data.r[nodes]
-        b = data.c[nodes] @ queries.c[q] + room
-        rounding = queries.x.shape[1] * 2.0**-50 * (room + queries.norm[q] * data.norm[nodes])
-        return np.maximum(b + bounds_slack * (np.abs(b) + 1) + rounding, float(LEAST))
+        b = data.c[nodes] @ queries.c[q] + queries.r[q] * data.norm[nodes] + data.r[nodes] * queries.norm[q] + queries.r[q] * data.r[nodes]
+        b += bounds_slack * (np.abs(b) + 1)
+        if wide:
+            b = np.maximum(b + queries.x.shape[1] * 2.0**-50 * (queries.norm[q] + queries.r[q]) * (data.norm[nodes] + data.r[nodes]), float(LEAST))
+        return b
 
     def expand(q: int, rows: np.ndarray, nodes: np.ndarray) -> np.ndarray:
         """The data leaves under nodes that may hold something for the query node's rows."""
         leaves = []
         while len(nodes):
-            nodes = nodes[bound(q, nodes) >= best.worst(rows).min()]
+            nodes = nodes[bound(q, nodes) >= best.worst[rows].min()]
             leaves.append(nodes[data.is_leaf[nodes]])
             inner = nodes[~data.is_leaf[nodes]]
             nodes = np.array([c for n in inner.tolist() for c in data.children[n]], np.int64)
@@ -134,24 +135,24 @@ def dual_search(queries: CoverTree, query_ids: np.ndarray, data: CoverTree, ids:
         sizes = np.cumsum(data.ends[leaves] - data.starts[leaves])
         k = 0
         while k < len(leaves):
-            if b[k] < best.worst(rows).min():
+            if b[k] < best.worst[rows].min():
                 break
             end = max(k + 1, int(np.searchsorted(sizes, (sizes[k - 1] if k else 0) + 1024, "right")))
             points = np.concatenate([data.order[data.starts[n] : data.ends[n]] for n in leaves[k:end].tolist()])
             product = queries.x[rows] @ data.x[points].T
             product[query_ids[rows][:, None] == ids[points][None, :]] = -np.inf
-            if largest_query * data.largest >= EXACT:
+            if wide:
                 offer_wide(rows, points, product)
             else:
-                for r in np.flatnonzero((product >= best.worst(rows)[:, None]).any(axis=1) & (product > -np.inf).any(axis=1)).tolist():
+                for r in np.flatnonzero((product >= best.worst[rows][:, None]).any(axis=1) & (product > -np.inf).any(axis=1)).tolist():
                     real = product[r] > -np.inf
-                    best.offer(int(rows[r]), product[r][real].astype(np.int64), ids[points][real])
+                    best.offer(int(rows[r]), product[r][real], ids[points][real])
             k = end
 
     def offer_wide(rows: np.ndarray, points: np.ndarray, product: np.ndarray) -> None:
         """Scores that floats may have rounded: those that may count are made anew from whole numbers."""
         norms = np.sqrt((data.x[points] ** 2).sum(axis=1))
-        for r, worst in enumerate(best.worst(rows).tolist()):
+        for r, worst in enumerate(best.worst[rows].tolist()):
             rounding = queries.x.shape[1] * 2.0**-50 * norms * np.sqrt((queries.x[rows[r]] ** 2).sum())
             real = product[r] > -np.inf
             sure = (product[r] - rounding)[real]
@@ -161,7 +162,6 @@ def dual_search(queries: CoverTree, query_ids: np.ndarray, data: CoverTree, ids:
             if len(use):
                 best.offer(int(rows[r]), exact_scores(queries.x[rows[r]], data.x[points[use]]), ids[points[use]])
 
-    largest_query = queries.largest
     pending = [(0, np.zeros(1, np.int64))]
     while pending:
         q, nodes = pending.pop()
@@ -171,7 +171,7 @@ def dual_search(queries: CoverTree, query_ids: np.ndarray, data: CoverTree, ids:
             for a in range(0, len(rows), BUNDLE):
                 score(q, rows[a : a + BUNDLE], leaves)
             continue
-        nodes = nodes[bound(q, nodes) >= best.worst(rows).min()]
+        nodes = nodes[bound(q, nodes) >= best.worst[rows].min()]
         small = [c for c in queries.children[q] if queries.ends[c] - queries.starts[c] <= LEAF]
         if len(small) > 4:
             # Many small children: their queries are scored in bundles, within the bounds of this node.
