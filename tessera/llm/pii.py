@@ -6,8 +6,8 @@ into tokens and scores whole segments of up to LONGEST tokens by features of the
 checksums, mix of characters, what stands before it). A dynamic program over the bounded segments jointly chooses boundaries
 and kinds; base spans stay as they are, and stretches are cut at them. It is trained by likelihood on stretches whose
 segments the base patterns mark (secrets: what is assigned to a name such as token or password), some of them rewritten in
-other forms or places (spelled at signs, phones without a plus sign, secrets after other words, digests that are none), and
-its spans that meet no base span are added.
+other forms or places (spelled at signs, national phone numbers, secrets after other words), and on numbers put in their
+places that are none (dates, times, account and book numbers, orders, digests); its spans that meet no base span are added.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ import hashlib
 import random
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,8 @@ _DIGIT = re.compile(r"[0-9]")
 TRAIN_ROWS, TRAIN_CASES = 300, 1000
 #: Characters of a segment at least, its tokens at most, and the log-odds against no entity that an added segment needs.
 SHORTEST, LONGEST, MARGIN = 7, 28, 1.0
+#: Groups of digits of a segment without letters at most.
+GROUPS = 7
 
 
 def luhn(digits: str) -> bool:
@@ -106,8 +109,54 @@ _HINT = re.compile(rf"[0-9]|@|[(\[]\s?at\s?[)\]]|\sat\s\s?[A-Za-z0-9-]{{1,63}}{_
 _TOKEN = re.compile(r"(?=[0-9]*[A-Za-z])(?=[A-Za-z]*[0-9])[A-Za-z0-9]{16,}|[0-9]+|[A-Za-z]+|\s+|.", re.S)
 _CALL = re.compile(r"(?:tel|phone|call|fon|fax|mobile|móvil|tél)\W*$", re.I)
 _GOES_ON = re.compile(rf"{_DOT}[A-Za-z0-9]|[A-Za-z0-9]|[ -]?[0-9]")
-_NUMBER = re.compile(r"(?:\bid|\bno|\bnr|version|revision|commit|checksum|sha|sha1|sha256|md5|hash|\bv)\W*$", re.I)
+_NUMBER = re.compile(r"(?:\bid|\bno|\bnr|version|revision|commit|checksum|sha|sha1|sha256|md5|hash|\bv|isbn|issn|iban|ean|order|invoice|ref|item|article|artikel|rechnung|bestellung|commande|facture|pedido|factura)\W*$", re.I)
 _SECRET = re.compile(r"(?:token|secret|key|passw(?:or)?d|pwd|auth|bearer)\W*$", re.I)
+#: Forms of figures that are no personal data here: dates, times of day, account numbers of banks and numbers of books. A
+#: segment's features tell which of them it meets; what that means is learned.
+OTHERS = re.compile(
+    r"(?<![0-9])(?P<date>(?:1[5-9]|20)[0-9]{2}([-/.])(?:0?[1-9]|1[0-2])\2(?:0?[1-9]|[12][0-9]|3[01])"
+    r"|(?:0?[1-9]|[12][0-9]|3[01])([-/.] ?)(?:0?[1-9]|[12][0-9]|3[01])\3(?:1[5-9]|20)[0-9]{2})(?![0-9])"
+    r"|(?<![0-9:])(?P<clock>(?:[01]?[0-9]|2[0-3]):[0-5][0-9](?::[0-5][0-9])?)(?![0-9])"
+    r"|(?<![A-Za-z0-9])(?P<iban>[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?)(?![A-Za-z0-9])"
+    r"|(?<![0-9])(?P<isbn>97[89](?:[- ]?[0-9]){9}[- ]?[0-9X])(?![0-9])"
+)
+_DIGITS = re.compile(r"[0-9]+")
+_NO_KEY = re.compile(r"[^A-Za-z0-9+/_=-]")
+_HAS_AT = re.compile(_AT)
+_FORM = str.maketrans("0123456789", "1111111111")
+#: What is written before phone numbers, and before numbers that are none.
+BEFORE_PHONE = ("call ", "Call ", "tel. ", "Tel: ", "phone: ", "mobile ", "fax ")
+BEFORE_NUMBER = ("order ", "invoice no. ", "ref: ", "id ", "ISBN ", "IBAN ", "article ", "version ", "item ")
+
+
+def _figures(draw: random.Random, form: str) -> str:
+    """The form with each # as a random digit and each 9 as one from 1."""
+    return "".join(str(draw.randrange(10)) if c == "#" else str(draw.randrange(1, 10)) if c == "9" else c for c in form)
+
+
+def national(draw: random.Random) -> str:
+    """A phone number without a country's code."""
+    return _figures(draw, draw.choice(("09# #######", "09## ######", "09##-#######", "09##/######", "(09#) ### ## ##", "(09##) ######", "09 ## ## ## ##", "09# ### ####", "09########", "9## ### ####", "(9##) ###-####", "9##-###-####")))
+
+
+def no_entity(draw: random.Random) -> tuple[str, str]:
+    """What may stand before a number that is no personal data, and the number."""
+    day, month, year = draw.randrange(1, 29), draw.randrange(1, 13), draw.randrange(1900, 2040)
+    clock = f"{draw.randrange(24):02d}:{draw.randrange(60):02d}" + draw.choice(("", f":{draw.randrange(60):02d}"))
+    mark = draw.choice("-/.")
+    date = draw.choice((f"{year}{mark}{month:02d}{mark}{day:02d}", f"{day:02d}{mark}{month:02d}{mark}{year}", f"{month}/{day}/{year}", f"{day}. {month}. {year}"))
+    bank = draw.choice(("DE", "FR", "ES", "GB", "CZ")) + _figures(draw, draw.choice(("## #### #### #### #### ##", "####################")))
+    book = draw.choice(("978", "979")) + _figures(draw, draw.choice(("-#-##-######-#", "-#-####-####-#", "##########")))
+    free = ("", "on ", "at ", "of ")
+    return draw.choice(
+        (
+            *((draw.choice(free), x) for x in (date, f"{date} {clock}", f"{date} {clock}", f"{clock} {date}")),
+            (draw.choice(("", "IBAN ", "account ")), bank),
+            (draw.choice(("", "ISBN ", "ISBN: ")), book),
+            (draw.choice(BEFORE_NUMBER), _figures(draw, draw.choice(("9###-####-##", "9## ### ###", "9########", "9###-####", "9###.##.##", "0###-#####", "9##/####/##")))),
+            (draw.choice(free), _figures(draw, draw.choice(("9## ### ###", "9 ### ###", "9# ### ### ###", "9#.9#.9#.9###", "9# 9# 9# 9#", "9### 9### 9###")))),
+        )
+    )
 
 
 def free_stretches(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
@@ -141,59 +190,125 @@ def free_stretches(text: str, base: list[tuple[int, int, int]]) -> list[tuple[in
     return out
 
 
-def segment_features(text: str, start: int, end: int) -> list[str]:
-    """Names of a whole segment's features."""
-    piece = text[start:end]
-    digits = "".join(c for c in piece if "0" <= c <= "9")
-    groups = re.findall(r"[0-9]+", piece)
-    marks = "".join(sorted(set(re.sub(r"[0-9A-Za-z]", "", re.sub(r"^[^@]*@|^.*?[(\[\s]at\b", "@", piece))))) or "none"
+def context(text: str, start: int) -> tuple[bool, bool, bool, bool]:
+    """Whether a phone, another number or a secret is told before this place, and whether it stands within a word's marks."""
     before = text[max(0, start - 14) : start]
-    letters = len(re.findall("[A-Za-z]", piece))
+    joined = start > 0 and text[start - 1] in "@._%+-"
+    if before.lower() == before.upper():
+        return False, False, False, joined
+    return bool(_CALL.search(before)), bool(_NUMBER.search(before)), bool(_SECRET.search(before)), joined
+
+
+def around(told: tuple[bool, bool, bool, bool], goes_on: bool, edge: bool, other: str, kind: str) -> list[str]:
+    """Names of the features of what stands around a segment."""
+    call, number, secret, joined = told
+    return [f"goes on={goes_on}&{joined}", f"inside={edge}", f"call={call}", f"number={number}", f"secret={secret}", f"other={other}&{kind}"]
+
+
+@lru_cache(1 << 15)
+def figure_features(form: str, zero: bool, octets: bool, checks: bool, told: tuple[bool, bool, bool, bool], goes_on: bool, edge: bool, other: str) -> list[str]:
+    """Names of the features of a segment of digits and marks, which its form (each digit as 1) and what else is given decide."""
+    groups = _DIGITS.findall(form)
+    digits, first = sum([len(g) for g in groups]), form[0]
+    marks = "".join(sorted(set(form) - {"1"})) or "none"
+    out = [f"digits={min(digits, 20)}", f"groups={len(groups)}", f"marks={marks[:6]}", f"first={first if first in '+(' else '0' if zero else 'd'}"]
+    out.append(f"shape={'-'.join([str(min(len(g), 9)) for g in groups[:6]])}")
+    opens = zero or first in "+("
+    out.append(f"opens={opens}&{told[0]}&{told[1]}")
+    out.append(f"thousands={not opens and len(groups) > 1 and all([len(g) == 3 for g in groups[1:]])}")
+    if len(groups) == 4:
+        dots = form.count(".") == 3
+        out.append(f"octets={dots and octets}&{dots}")
+    if 13 <= digits <= 19:
+        out.append(f"luhn={checks}")
+    return [*out, f"closed={form.count('(') == form.count(')')}", *around(told, goes_on, edge, other, "digits")]
+
+
+def segment_features(text: str, start: int, end: int, told: tuple[bool, bool, bool, bool], goes_on: bool, other: str, letters: bool = True) -> list[str]:
+    """Names of a whole segment's features; `told` is the context of its start, `other` the form of OTHERS that it meets."""
+    piece = text[start:end]
     edge = (start > 0 and text[start - 1].isalnum()) or (end < len(text) and text[end].isalnum())
-    out = [f"digits={min(len(digits), 20)}", f"groups={min(len(groups), 8)}", f"marks={marks[:6]}", f"first={'+' if piece[0] == '+' else '(' if piece[0] == '(' else 'd' if piece[0].isdigit() else 'a'}"]
-    out.append(f"shape={'-'.join(str(min(len(g), 9)) for g in groups[:6])}" if not letters else "letters")
-    if letters and digits and not re.search(r"[^A-Za-z0-9+/_=-]", piece):
+    groups = _DIGITS.findall(piece)
+    digits = "".join(groups)
+    checks = 13 <= len(digits) <= 19 and luhn(digits)
+    if not letters:
+        octets = len(groups) == 4 and all([int(g[-4:]) <= 255 for g in groups])
+        return figure_features(piece.translate(_FORM), piece[0] == "0", octets, checks, told, goes_on, edge, other)
+    marks = "".join(sorted(set(re.sub(r"[0-9A-Za-z]", "", re.sub(r"^[^@]*@|^.*?[(\[\s]at\b", "@", piece))))) or "none"
+    first = piece[0]
+    out = [f"digits={min(len(digits), 20)}", f"groups={min(len(groups), 8)}", f"marks={marks[:6]}", f"first={first if first in '+(0' else 'd' if first.isdigit() else 'a'}", "letters"]
+    if digits and not _NO_KEY.search(piece):
         cases = f"{bool(re.search('[a-z]', piece))}{bool(re.search('[A-Z]', piece))}"
         out.append(f"key={min(len(piece) // 8, 8)}&{cases}&{'hex' if re.fullmatch('[0-9a-fA-F]+', piece) else 'any'}")
-        out.append(f"key after={bool(_SECRET.search(before))}&{bool(_NUMBER.search(before))}")
+        out.append(f"key after={told[2]}&{told[1]}")
         out.append(f"mixed={min(4 * len(digits) // len(piece), 3)}")
-    elif letters:
+    else:
         ats = list(re.finditer(_AT, piece))
         out.append(f"at={len(ats)}&dots={min(len(re.findall(_DOT, piece[ats[-1].end() :] if ats else piece)), 3)}")
         out.append(f"host={bool(re.search(_AT + r'.*' + _DOT, piece))}")
-    elif len(groups) == 4 and piece.count(".") == 3:
-        out.append(f"octets={all(int(g[-4:]) <= 255 for g in groups)}")
     if 13 <= len(digits) <= 19:
-        out.append(f"luhn={luhn(digits)}")
-    out.append(f"goes on={bool(_GOES_ON.match(text, end))}&{start > 0 and text[start - 1] in '@._%+-'}")
-    out += [f"inside={edge}", f"call={bool(_CALL.search(before))}", f"number={bool(_NUMBER.search(before))}", f"secret={bool(_SECRET.search(before))}", f"closed={piece.count('(') == piece.count(')')}"]
-    return out
+        out.append(f"luhn={checks}")
+    return [*out, f"closed={piece.count('(') == piece.count(')')}", *around(told, goes_on, edge, other, "letters")]
 
 
 class Lattice:
-    """The tokens of a stretch and the segments that may be entities."""
+    """The tokens of a stretch and the segments that may be entities.
+
+    A segment of digits and marks has 7 to 19 digits in at most GROUPS groups, or four groups and three dots; one with letters
+    has a written or spelled at sign, four digits, or a digit in 16 characters. Counts of the segments come from prefix sums,
+    so that a text of nothing but numbers takes a few segments a token."""
 
     def __init__(self, text: str, start: int, end: int):
-        self.cuts = [start, *(start + m.end() for m in _TOKEN.finditer(text[start:end]))]
-        n = len(self.cuts) - 1
+        cuts = self.cuts = [start, *(start + m.end() for m in _TOKEN.finditer(text[start:end]))]
+        self.n = n = len(cuts) - 1
         self.segments: list[tuple[int, int]] = []
         self.features: list[list[str]] = []
+        # Before each cut: digits, groups of digits, letters and figures, letters (at signs too).
+        sums = [(0, 0, 0, 0)]
+        for k in range(n):
+            d, g, m, c = sums[-1]
+            token = text[cuts[k] : cuts[k + 1]]
+            if token.isdigit():
+                figures = alnum = len(token)
+            else:
+                figures, alnum = sum([ch.isdigit() for ch in token]), sum([ch.isalnum() for ch in token])
+            sums.append((d + figures, g + (figures > 0), m + alnum, c + alnum - figures + (token == "@")))
+        ends = [j for j in range(1, n + 1) if text[cuts[j] - 1].isalnum() or text[cuts[j] - 1] == ")"]
+        goes_on = {j: bool(_GOES_ON.match(text, cuts[j])) for j in ends}
+        origin = max(0, start - 24)
+        others = [(origin + m.start(), origin + m.end(), m.lastgroup) for m in OTHERS.finditer(text[origin : end + 24])]
+        low = 0
         for i in range(n):
-            first = text[self.cuts[i]]
-            if not (first.isalnum() or first in "+("):
+            while low < len(ends) and ends[low] <= i:
+                low += 1
+            at = cuts[i]
+            if not (text[at].isalnum() or text[at] in "+("):
                 continue
-            for j in range(i + 1, min(n, i + LONGEST) + 1):
-                last = text[self.cuts[j] - 1]
-                piece = text[self.cuts[i] : self.cuts[j]]
-                if not (last.isalnum() or last == ")") or len(piece) < SHORTEST:
+            d0, g0, m0, c0 = sums[i]
+            told = None
+            for j in ends[low : low + LONGEST]:
+                if j > i + LONGEST:
+                    break
+                d, g, m, c = sums[j]
+                d, g, m, c = d - d0, g - g0, m - m0, c - c0
+                size = cuts[j] - at
+                if c == 0 and (g > GROUPS or d > 19):
+                    # What follows could still reach an at sign or a letter.
+                    if sums[-1][3] == c0:
+                        break
                     continue
-                if 2 * sum(c.isalnum() for c in piece) < len(piece) and not re.search("[A-Za-z]", piece):
+                if size < SHORTEST or (c == 0 and 2 * m < size):
                     continue
-                if sum(c.isdigit() for c in piece) < 4 and not re.search(_AT, piece) and not (len(piece) >= 16 and re.search("[0-9]", piece)):
+                if c == 0:
+                    if d < 7 and not (g == 4 and text.count(".", at, cuts[j]) == 3):
+                        continue
+                elif d < 4 and not (size >= 16 and d) and not _HAS_AT.search(text, at, cuts[j]):
                     continue
+                if told is None:
+                    told = context(text, at)
+                other = next((name for a, b, name in others if a < cuts[j] and at < b), "none") if others else "none"
                 self.segments.append((i, j))
-                self.features.append(segment_features(text, self.cuts[i], self.cuts[j]))
-        self.n = n
+                self.features.append(segment_features(text, at, cuts[j], told, goes_on[j], other, c > 0))
 
 
 class Field:
@@ -286,13 +401,17 @@ def train(texts: list[str], epochs: int = 10, rate: float = 0.5, ridge: float =
             if any(a <= s and e <= b and b - a > e - s for _, a, b in base):
                 continue
             left, piece, right = text[max(0, s - 40) : s], text[s:e], text[e : e + 20]
-            forms = [piece] + [f(piece) for f in rewrites.get(kind, ()) if draw.random() < 0.5]
-            for form in forms:
-                around = left + form + right
-                a, b = len(left), len(left) + len(form)
+            forms = [(left, piece, True)] + [(left, f(piece), True) for f in rewrites.get(kind, ()) if draw.random() < 0.5]
+            if kind == 3:
+                forms += [(left + draw.choice(("", *BEFORE_PHONE)), national(draw), True) for _ in range(2)]
+            # In the same place, numbers that are no entities.
+            forms += [(left + words, number, False) for words, number in (no_entity(draw) for _ in range(1 + 2 * (kind == 3))) if not base_spans(number)]
+            for before, form, entity in forms:
+                around = before + form + right
+                a, b = len(before), len(before) + len(form)
                 m = next((m for m in STRETCH.finditer(around) if m.start() < b and a < m.end()), None)
                 if m:
-                    add(around, [(kind, a, b)], min(a, m.start()), max(b, m.end()))
+                    add(around, [(kind, a, b)] if entity else [], min(a, m.start()), max(b, m.end()))
         for m in SEED.finditer(text):
             s, e = m.span(1)
             if any(a < e and s < b for _, a, b in base):

@@ -389,14 +389,54 @@ def test_field_on_planted_forms(field):
     assert right >= 0.9 * found, (right, found)
 
 
+def test_field_tells_phones_from_other_numbers(field):
+    """National phone numbers against dates, times, account, book and order numbers, in places that training has not seen."""
+    draw = random.Random(77)
+    n = lambda k: "".join(str(draw.randrange(10)) for _ in range(k))
+    day = lambda: f"{draw.randrange(1, 29):02d}"
+    month, year = (lambda: f"{draw.randrange(1, 13):02d}"), (lambda: str(draw.randrange(1950, 2030)))
+    phones = (lambda: f"0{n(2)} {n(7)}", lambda: f"0{n(3)}-{n(7)}", lambda: f"(0{n(2)}) {n(3)} {n(2)} {n(2)}", lambda: f"0{n(1)} {n(2)} {n(2)} {n(2)} {n(2)}", lambda: f"(0{n(2)}) {n(3)}-{n(4)}")
+    others = (
+        lambda: f"{year()}-{month()}-{day()} {day()}:{n(1)}5:1{n(1)}",
+        lambda: f"{day()}.{month()}.{year()} {day()}:2{n(1)}",
+        lambda: f"{month()}/{day()}/{year()} 1{n(1)}:30",
+        lambda: f"{year()}/{month()}/{day()}",
+        lambda: f"ISBN 978-{draw.randrange(10)}-{n(2)}-{n(6)}-{n(1)}",
+        lambda: f"DE{n(2)} {n(4)} {n(4)} {n(4)} {n(4)} {n(2)}",
+        lambda: f"order 4{n(3)}-{n(4)}-{n(2)}",
+        lambda: f"1{n(1)} {n(3)} {n(3)} inhabitants",
+    )
+    wanted = hits = found = right = 0
+    for _ in range(600):
+        left = draw.choice(("wir sahen ", "la casa es ", "please see ", "Call ", "fon ")) if draw.random() < 0.5 else "mmh abc "
+        form = draw.choice(phones)() if draw.random() < 0.5 else ""
+        text = f"{left if form else 'on the '}{form or draw.choice(others)()} and so it goes"
+        base = pii.base_spans(text)
+        if base:
+            continue
+        spans = field.extra(text, base)
+        span = (3, len(left), len(left) + len(form))
+        wanted, hits = wanted + bool(form), hits + bool(form and span in spans)
+        found, right = found + len(spans), right + bool(form and span in spans)
+    assert hits >= 0.9 * wanted > 200 and right >= 0.9 * found, (wanted, hits, found, right)
+
+
+def test_field_of_the_tables_leaves_dates_and_numbers(spark):
+    field = pii.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    for text in ("2024-02-29 12:34:56", "12/05/2023 10:30", "ISBN 978-3-16-148410-0", "DE89 3704 0044 0532 0130 00", "order 4711-0815-99", "version 10.2.33.4567", "1 234 567 890 people"):
+        assert field.extra(text, pii.base_spans(text)) == [], text
+    text = "Call 030 1234567 today"
+    assert field.extra(text, []) == [(3, 5, 16)]
+
+
 def test_field_in_linear_time(field):
     import time
 
-    for piece in ("mail a.b@c.de and 192.168.0.1 then +1 (017) 555-7713 or 017 555 7713 ", "1", "a1B2", "ab12+/", "joe at ", "1.2.3.", "+1 ("):
+    for piece in ("mail a.b@c.de and 192.168.0.1 then +1 (017) 555-7713 or 017 555 7713 ", "1", "a1B2", "ab12+/", "joe at ", "1.2.3.", "+1 (", "1 ", "12 345 6 ", "2024-02-29 12:34:56,"):
         text = piece * (200_000 // len(piece))
         start = time.perf_counter()
         field.extra(text, pii.base_spans(text))
-        assert time.perf_counter() - start < 30, piece
+        assert time.perf_counter() - start < 15, piece
 
 
 def test_field_adds_and_keeps(field):
