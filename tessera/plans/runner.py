@@ -19,7 +19,7 @@ from pyspark.sql import SparkSession
 
 from .. import schemas
 from ..operators.quality import CheckResult
-from ..storage import Database
+from ..storage import Database, Fence
 
 
 def json_default(value: Any) -> Any:
@@ -67,12 +67,14 @@ class StepTimeout(RuntimeError):
 
 def with_timeout(spark: SparkSession | None, seconds: float | None, work: Callable[[], Any], name: str = "step") -> Any:
     """work() in a thread whose Spark jobs carry a tag: after `seconds` the jobs are cancelled and StepTimeout is raised, so
-    that a step cannot hang for ever. Python code that starts no job goes on in its (daemon) thread, and its result is lost."""
+    that a step cannot hang for ever. Python code that starts no job goes on in its (daemon) thread, but its result is lost, and
+    a fence keeps it from publishing tables: what a step publishes is there before its failure is told, or never."""
     if not seconds:
         return work()
-    tag, box = f"{name}-{uuid.uuid4().hex}", {}
+    tag, box, fence = f"{name}-{uuid.uuid4().hex}", {}, Fence()
 
     def body() -> None:
+        fence.hold()
         try:
             if spark is not None:
                 spark.addTag(tag)
@@ -84,6 +86,7 @@ def with_timeout(spark: SparkSession | None, seconds: float | None, work: Callab
     thread.start()
     thread.join(seconds)
     if thread.is_alive():
+        fence.close()
         if spark is not None:
             spark.interruptTag(tag)
         raise StepTimeout(f"{name} took more than {seconds:g} s")
