@@ -18,7 +18,7 @@ from .operators import relational as R
 from .operators.state import BucketedState
 from .plans import addresses, bi, bronze, gold, runner, silver
 from .queries import _CHAIN, _COPY, _SNAP, AS_OF, LISTINGS, ORACLES, QUERIES, _copy, _edges, _snapshots, listings, query, table
-from .sources import snapshots
+from .sources import batches, snapshots
 from .storage import Database
 from .streaming import keyed
 from .streaming import snapshots as streams
@@ -492,6 +492,21 @@ def components_by_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labels
 
 
+@query("SELECT c_custkey AS internal_id, CASE WHEN c_custkey % 10 > 0 THEN upper(c_name) END AS answer, c_custkey % 10 > 0 AS received FROM customer")
+def address_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests sent in batches, half of them twice; a service answers batch by batch in two rounds and leaves some requests
+    open; the answers come in by a stream of offsets and are held against what was sent."""
+    rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("internal_id"), F.col("c_name").alias("prompt"))
+    folder, db = _folder(spark, "addresses"), Database(spark, _folder(spark, "answers"))
+    for part in (rows.filter("internal_id % 2 = 0"), rows):
+        batches.send(part, folder, 100)
+        batches.answer(spark, folder, lambda asked: [q["prompt"].upper() if q["internal_id"] % 10 else None for q in asked])
+        batches.receive(db, folder, "answers", f"{db.root}/checkpoint")
+    found = db.read("answers", T.StructType.fromDDL(batches.ANSWERS))
+    both = batches.sent_requests(spark, folder).join(found.withColumn("received", F.lit(True)), ["batch", "internal_id"], "full_outer")
+    return both.select("internal_id", "answer", F.coalesce("received", F.lit(False)).alias("received"))
+
+
 # ---------------------------------------------------------------- audits by digests, drift of documents
 
 

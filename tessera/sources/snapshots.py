@@ -164,9 +164,18 @@ def empty(spark: SparkSession, schema) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def jdbc_table(spark: SparkSession, url: str, table: str, columns: list[str], fetch: int = 10_000) -> DataFrame:
-    """A database table with only the named columns, fetched in batches."""
-    return spark.read.format("jdbc").option("url", url).option("dbtable", table).option("fetchsize", fetch).load().select(*columns)
+def jdbc_table(spark: SparkSession, url: str, table: str, columns: list[str], fetch: int = 10_000, split: str | None = None, parts: int = 8, where: Column | None = None) -> DataFrame:
+    """A database table with only the named columns, fetched in batches. With `split` (a number, date or timestamp column) it
+    is read by `parts` tasks, each a range between the column's least and greatest value of now; rows beyond these and nulls
+    go to the outer ranges, so that none is lost. An empty table, or one without any value in `split`, is read by one task.
+    `where` and the columns are pushed into the database's query where it can take them."""
+    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table).option("fetchsize", fetch)
+    if split is not None:
+        low, high = reader.load().agg(F.min(split), F.max(split)).first()
+        if low is not None:
+            reader = reader.option("partitionColumn", split).option("lowerBound", str(low)).option("upperBound", str(high)).option("numPartitions", parts)
+    rows = reader.load()
+    return (rows if where is None else rows.filter(where)).select(*columns)
 
 
 def ranked_names(names: DataFrame, prefix: str, as_of: dt.date | None = None, column: str = "name") -> DataFrame:
