@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import domain as D
@@ -144,28 +144,45 @@ def clusters(pairs: DataFrame, geo: DataFrame, known: DataFrame | None = None, f
 CLUSTER_MERGE = {"members_count": "overwrite", "member_internal_ids": "overwrite", "site_ids": "overwrite", "first_seen": "least", "last_seen": "greatest", "max_percentage": "greatest", "edges_count": "overwrite"}
 
 
-def near_pairs(rows: DataFrame) -> DataFrame:
-    """(canonical_internal_id, a, b): pairs of one cluster, kind and deal whose areas can pass the check. Listings that both
-    know both areas are near by either, others by the area that stands for them."""
-    build, land = F.col("area_build"), F.col("area_land")
-    whole = build.isNotNull() & land.isNotNull()
-    bands = {"build": F.when(whole, D.area_bin(build)), "land": F.when(whole, D.area_bin(land)), "own": D.area_bin(D.own_area(F.col("category_value"), build, land))}
-    pairs = band_pairs(rows.withColumn("whole", whole), "canonical_internal_id", "internal_id", ("category_value", "deal_type"), bands)
-    both, close = F.col("a.whole") & F.col("b.whole"), D.areas_close(F.col("a.area_build"), F.col("b.area_build"))
-    return pairs.filter(F.when(F.col("band") == "own", ~both).when(F.col("band") == "build", both & close).otherwise(both & ~close)).drop("band")
+def near_pairs(rows: DataFrame, others: DataFrame | None = None) -> DataFrame:
+    """(canonical_internal_id, a, b): pairs of one cluster, kind and deal whose areas pass the check, b of `others` if given,
+    each pair of rows once. Listings that both know both areas are near by either, others by the area that stands for them.
+
+    a.area and b.area are the areas that are near, a.mode and b.mode what they are."""
+    build, land, category = F.col("area_build"), F.col("area_land"), F.col("category_value")
+
+    def placed(df: DataFrame) -> DataFrame:
+        place = lambda band, area, mode, before=None: F.struct(F.lit(band).alias("band"), area.alias("area"), mode.alias("mode"), (F.lit(None) if before is None else before).cast("double").alias("_before"))
+        whole = build.isNotNull() & land.isNotNull()
+        own = place("own", D.own_area(category, build, land), D.own_mode(category, build, land))
+        places = F.when(whole, F.array(place("build", build, F.lit("build")), place("land", land, F.lit("land"), build), own)).otherwise(F.array(own))
+        out = df.withColumn("whole", whole).withColumn("_place", F.explode(places)).select("*", "_place.*").drop("_place")
+        return out.withColumn("_bin", D.area_bin(F.col("area"))).withColumn("_apart", F.col("whole") & (F.col("band") == "own"))
+
+    pairs = band_pairs(placed(rows), placed(rows if others is None else others), "canonical_internal_id", "internal_id", ("category_value", "deal_type", "band"), "_bin")
+    close = lambda c: D.areas_close(F.col(f"a.{c}"), F.col(f"b.{c}"))
+    # Two that know both areas are apart in the band own, and near by land only if not by built areas before.
+    return pairs.filter(close("area") & ~(F.col("a._apart") & F.col("b._apart")) & ~close("_before"))
 
 
 def clean_pairs(listings: DataFrame, mapping: DataFrame) -> DataFrame:
-    """(iid1, iid2, level, price_ok, area_mode, …) of listings in one cluster that agree on place, kind, deal and area.
-
-    A listing whose areas are missing, not positive, no numbers or infinite is near nothing."""
-    seen = ("internal_id", "category_value", "deal_type", "price", "area_build", "area_land", "norm_okres", "norm_city", "norm_city_part", "norm_street")
-    rows = listings.select(*seen).join(mapping.select("internal_id", "canonical_internal_id"), "internal_id")
-    pairs = near_pairs(rows)
-    level = D.geo_level([(F.col(f"a.{c}"), F.col(f"b.{c}")) for c in ("norm_okres", "norm_city", "norm_city_part", "norm_street")])
-    price = D.price_check(F.col("a.price"), F.col("b.price"))
-    area = D.area_check(*[F.col(f"{x}.{c}") for x in "ab" for c in ("category_value", "area_build", "area_land")])
-    found = pairs.select(F.col("a.internal_id").alias("iid1"), F.col("b.internal_id").alias("iid2"), "canonical_internal_id", level.alias("level"), price.alias("price"), area.alias("area"))
-    found = found.filter("level is not null and area.ok")
-    found = found.select("iid1", "iid2", "canonical_internal_id", "level", F.col("price.ok").alias("price_ok"), F.col("price.hi").alias("price_hi"), F.col("price.lo").alias("price_lo"), F.col("area.mode").alias("area_mode"), F.col("area.v1").alias("area1"), F.col("area.v2").alias("area2"))
-    return pick_one(found, ["iid1", "iid2"], [F.col("level"), F.desc("price_ok"), F.col("area_mode"), F.col("canonical_internal_id")])
+    """(iid1, iid2, level, price_ok, …) of listings in one cluster that agree on place, kind, deal and area.
+
+    A listing whose areas are missing, not positive, no numbers or infinite is near nothing. Pairs are as many as there are
+    near listings, so they are not shuffled: only an id that stands in more than one row (of listings or clusters) can give a
+    pair twice, and only pairs with such an id are gathered to pick one."""
+    geo = ("norm_okres", "norm_city", "norm_city_part", "norm_street")
+    seen = listings.select("internal_id", "category_value", "deal_type", "price", "area_build", "area_land", *[X.text_key(F.col(c)).alias(c) for c in geo])
+    rows = seen.join(mapping.select("internal_id", "canonical_internal_id"), "internal_id")
+    rows = rows.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("internal_id")))
+    once, repeated = rows.filter("_n = 1").drop("_n"), rows.filter("_n > 1").drop("_n")
+
+    def found(pairs: DataFrame) -> DataFrame:
+        both = lambda c: (F.col(f"a.{c}"), F.col(f"b.{c}"))
+        level, price = D.key_level([both(c) for c in geo]), D.price_check(*both("price"))
+        made = pairs.select(F.col("a.internal_id").alias("iid1"), F.col("b.internal_id").alias("iid2"), "canonical_internal_id", level.alias("level"), price.alias("price"), F.when(F.col("a.mode") == F.col("b.mode"), F.col("a.mode")).otherwise("mixed").alias("area_mode"), F.col("a.area").alias("area1"), F.col("b.area").alias("area2"))
+        return made.filter("level is not null").select("iid1", "iid2", "canonical_internal_id", "level", F.col("price.ok").alias("price_ok"), F.col("price.hi").alias("price_hi"), F.col("price.lo").alias("price_lo"), "area_mode", "area1", "area2")
+
+    several = found(near_pairs(repeated, rows.drop("_n"))).unionByName(found(near_pairs(once, repeated)))
+    several = pick_one(several, ["iid1", "iid2"], [F.col("level"), F.desc("price_ok"), F.col("area_mode"), F.col("canonical_internal_id")])
+    return found(near_pairs(once)).unionByName(several)

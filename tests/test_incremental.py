@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import domain as D
 from tessera.operators import graph
-from tessera.operators.relational import within_pairs
+from tessera.operators.relational import pick_one, within_pairs
 from tessera.plans import silver
 
 LISTING = "internal_id long, canonical_internal_id long, category_value long, deal_type string, price double, area_build double, area_land double, norm_okres string, norm_city string, norm_city_part string, norm_street string"
@@ -48,6 +48,32 @@ def test_band_join_looks_at_few_pairs(spark):
     assert looked.count() < 0.15 * 6000 * 5999 / 2
 
 
+def plain_clean_pairs(rows, mapping):
+    """All pairs of a class, one picked of each."""
+    geo = ("norm_okres", "norm_city", "norm_city_part", "norm_street")
+    pairs = within_pairs(rows.drop("canonical_internal_id").join(mapping, "internal_id"), "canonical_internal_id", "internal_id", ("category_value", "deal_type"))
+    area = D.area_check(*[F.col(f"{x}.{c}") for x in "ab" for c in ("category_value", "area_build", "area_land")])
+    level = D.geo_level([(F.col(f"a.{c}"), F.col(f"b.{c}")) for c in geo])
+    price = D.price_check(F.col("a.price"), F.col("b.price"))
+    found = pairs.select(F.col("a.internal_id").alias("iid1"), F.col("b.internal_id").alias("iid2"), "canonical_internal_id", level.alias("level"), price.alias("p"), area.alias("area")).filter("level is not null and area.ok")
+    found = found.select("iid1", "iid2", "canonical_internal_id", "level", F.col("p.ok").alias("price_ok"), F.col("p.hi").alias("price_hi"), F.col("p.lo").alias("price_lo"), F.col("area.mode").alias("area_mode"), F.col("area.v1").alias("area1"), F.col("area.v2").alias("area2"))
+    return pick_one(found, ["iid1", "iid2"], [F.col("level"), F.desc("price_ok"), F.col("area_mode"), F.col("canonical_internal_id")])
+
+
+def test_only_pairs_with_repeated_ids_are_gathered(spark):
+    # Kind 90 is land, whose own area is the land's; every seventh listing is in two clusters.
+    made = [(*r[:2], 90 if r[0] % 5 == 0 else r[2], *r[3:7], *((" O " if r[0] % 2 else r[7]), r[8], r[9], r[10])) for r in listings(random.Random(4), 400)]
+    made = [r for r in made if float("inf") not in (r[5], r[6])]
+    rows = spark.createDataFrame(made, LISTING)
+    once = rows.select("internal_id", "canonical_internal_id")
+    plan = silver.clean_pairs(rows, once)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan.split("Join")[0]
+    twice = once.unionByName(once.filter("internal_id % 7 = 0").withColumn("canonical_internal_id", (F.col("canonical_internal_id") + 1) % 3))
+    for mapping in (once, twice):
+        got, want = (sorted(map(repr, df.collect())) for df in (silver.clean_pairs(rows, mapping), plain_clean_pairs(rows, mapping)))
+        assert got == want and len(got) > 150
+
+
 def labels_of(df) -> list[tuple]:
     return sorted((r["id"], r["root"]) for r in df.collect())
 
