@@ -54,3 +54,21 @@ def test_late_and_repeated_days_give_what_days_in_order_give(spark, tmp_path):
     want = in_order(days, 30, 5)
     assert got == want and len(parts) == len(set(parts)) and {a for *_, a in want} == {"new", "archived", "reactivated"}
     assert max(sizes) > 25 and sizes[-1] < max(sizes) / 4
+
+
+def test_many_keys_share_a_row_of_state(spark, tmp_path):
+    keyed.use_rocksdb(spark)
+    src = str(tmp_path / "days")
+    for n, (keys, d) in enumerate((((0, 3000), 0), ((1000, 3000), 1), ((5000, 5001), 9))):
+        spark.range(*keys).selectExpr("concat('k', id) AS k", f"date_add(DATE '2024-01-01', {d}) AS d").coalesce(1).write.parquet(f"{src}/{n}")
+    counts = {}
+
+    def keep(batch, _):
+        for r in batch.groupBy("action", "day").count().collect():
+            counts[r["action"], (r["day"] - START).days] = r["count"]
+
+    stream = spark.readStream.schema("k string, d date").option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
+    q = keyed.presence_changes(stream, "k", "d").writeStream.foreachBatch(keep).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert counts == {("new", 0): 3000, ("archived", 1): 1000, ("archived", 2): 2000}
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]) < 3000
