@@ -159,3 +159,9 @@ def test_anti_join_plan_has_no_cartesian(spark):
     t = spark.range(10).withColumnRenamed("id", "k")
     plan = R.insert_absent(t, t, ["k"])._jdf.queryExecution().executedPlan().toString()
     assert "LeftAnti" in plan and "CartesianProduct" not in plan
+
+
+def test_column_facts_count_what_fits(spark):
+    df = spark.createDataFrame([("1", 1), ("x", 2), (None, None)], "t string, n int")
+    got = rows(R.column_facts(df, {"t": "bigint", "n": "int", "gone": "int"}), "column", "type", "matches", "filled", "fitting", "all_match")
+    assert got == [("gone", None, False, 0, 0, False), ("n", "int", True, 2, 2, False), ("t", "string", False, 2, 1, False)]
